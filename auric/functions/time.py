@@ -39,23 +39,29 @@ def day_slice(c: str | Column, day: dt.date | str, days: int = 1) -> Column:
     return (_col(c) >= ts_literal(start)) & (_col(c) < ts_literal(start + dt.timedelta(days=days)))
 
 
-# Spark datetime patterns for truncating to a unit before
-# subtracting (so that the difference counts unit boundaries crossed).
-_UNIT_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}
+_UNIT_MICROS = {"second": 1_000_000, "minute": 60_000_000, "hour": 3_600_000_000,
+                "day": 86_400_000_000}
+
+
+def epoch_micros(c: str | Column) -> Column:
+    """Microseconds since 1970-01-01 of a TIMESTAMP_NTZ (no time zone involved)."""
+    return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"),
+                            _col(c))
+
+
+def _floor_div(x: Column, n: int) -> Column:
+    return ((x - F.pmod(x, F.lit(n))) / F.lit(n)).cast("bigint")
 
 
 def units_between(start: str | Column, end: str | Column, unit: str) -> Column:
     """Number of ``unit`` boundaries crossed from ``start`` to ``end``.
 
-    ``10:59 → 11:01`` is one hour.  Both sides are truncated to the unit and
-    the difference of the truncated values is divided by the unit length.
+    ``10:59 → 11:01`` is one hour (Spark's ``timestampdiff`` would say 0).
     """
-    if unit not in _UNIT_SECONDS:
+    if unit not in _UNIT_MICROS:
         raise ValueError(f"unsupported unit {unit!r}")
-    a = F.date_trunc(unit, _col(start)).cast("timestamp_ntz")
-    b = F.date_trunc(unit, _col(end)).cast("timestamp_ntz")
-    secs = F.unix_micros(b.cast("timestamp")) - F.unix_micros(a.cast("timestamp"))
-    return (secs / F.lit(1_000_000 * _UNIT_SECONDS[unit])).cast("bigint")
+    n = _UNIT_MICROS[unit]
+    return _floor_div(epoch_micros(end), n) - _floor_div(epoch_micros(start), n)
 
 
 def seconds_between(start: str | Column, end: str | Column) -> Column:
