@@ -16,7 +16,9 @@ def cte(name: str, deps: tuple[str, ...], text: str) -> None:
     CTES[name] = (deps, text)
 
 
-def sql(body: str, *needs: str) -> str:
+def sql(body: str, *needs: str, local: str = "") -> str:
+    """``body`` preceded by the CTEs it needs; ``local`` adds query-own CTEs
+    (``"name AS (...), ..."``) after them."""
     order: list[str] = []
 
     def visit(n: str) -> None:
@@ -28,9 +30,11 @@ def sql(body: str, *needs: str) -> str:
 
     for n in needs:
         visit(n)
-    if not order:
-        return body
     parts = [f"{n} AS (\n{CTES[n][1]}\n)" for n in order]
+    if local:
+        parts.append(local.strip())
+    if not parts:
+        return body
     return "WITH " + ",\n".join(parts) + "\n" + body
 
 

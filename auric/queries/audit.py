@@ -59,7 +59,7 @@ def lookback_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------- audits
-_LAG = """lagged AS (
+_LAG_CTES = """lagged AS (
     SELECT CAST(date_diff('second', event_time, _ingested_at) AS DOUBLE) / 86400.0 AS lag,
            _ingested_at > event_time + INTERVAL 1 DAY AS late
     FROM silver_events),
@@ -71,14 +71,14 @@ prof AS (
            round(CAST(avg(CASE WHEN late THEN 1.0 ELSE 0.0 END) AS DOUBLE), 6) AS late_share,
            count(*) AS n_rows,
            CAST(ceil(round(quantile_cont(lag, 0.99), 6)) AS INT) AS lookback_days
-    FROM lagged)
-SELECT prof.*,
+    FROM lagged)"""
+_LAG = """SELECT prof.*,
        round((SELECT count(*) FROM lagged WHERE lag > prof.lookback_days) / prof.n_rows, 6)
            AS beyond_share
 FROM prof"""
 
 
-@register("lag_profile", sql(", " + _LAG, "silver_events").replace("\n, ", ",\n", 1))
+@register("lag_profile", sql(_LAG, "silver_events", local=_LAG_CTES))
 def lag_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.lag_profile(silver_events_of(spark, sf_dir), p=0.99)
 
@@ -140,24 +140,22 @@ def _naive_target(se: DataFrame) -> DataFrame:
     return gold.feature_daily(se.where(F.col("ingested_date") == F.col("event_date")))
 
 
-@register("missing_pairs", sql(
-    ", " + _NAIVE_GOLD + """
+@register("missing_pairs", sql("""
 SELECT s.event_date, count(DISTINCT s.customer_id) AS n_missing
 FROM silver_events s LEFT JOIN naive_gold g
   ON g.event_date = s.event_date AND g.customer_id = s.customer_id
-WHERE g.customer_id IS NULL GROUP BY 1""", "silver_events").replace("\n, ", ",\n", 1))
+WHERE g.customer_id IS NULL GROUP BY 1""", "silver_events", local=_NAIVE_GOLD))
 def missing_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     se = silver_events_of(spark, sf_dir)
     return audit.missing_by_day(se, _naive_target(se))
 
 
-@register("missing_arrivals", sql(
-    ", " + _NAIVE_GOLD + """
+@register("missing_arrivals", sql("""
 SELECT s.event_date, min(s.ingested_date) AS first_arrival, max(s.ingested_date) AS last_arrival,
        count(*) AS n_rows
 FROM silver_events s LEFT JOIN naive_gold g
   ON g.event_date = s.event_date AND g.customer_id = s.customer_id
-WHERE g.customer_id IS NULL GROUP BY 1""", "silver_events").replace("\n, ", ",\n", 1))
+WHERE g.customer_id IS NULL GROUP BY 1""", "silver_events", local=_NAIVE_GOLD))
 def missing_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
     se = silver_events_of(spark, sf_dir)
     return audit.missing_arrivals(se, _naive_target(se))
@@ -213,16 +211,16 @@ def join_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("join_computed_key", sql("""
-, cal AS (
-    SELECT event_date, date_diff('day', (SELECT min(event_date) FROM silver_events), event_date)
-               AS day_idx
-    FROM (SELECT DISTINCT event_date FROM silver_events))
 SELECT t.ticket_id, c.event_date AS follow_up_date
 FROM silver_tickets t
 JOIN cal c ON c.day_idx = least(
     date_diff('day', (SELECT min(event_date) FROM silver_events), CAST(t.updated_at AS DATE))
         + 1 + t.csat % 3,
-    (SELECT max(day_idx) FROM cal))""", "silver_events", "silver_tickets").replace("\n\n, ", ",\n", 1))
+    (SELECT max(day_idx) FROM cal))""", "silver_events", "silver_tickets", local="""
+cal AS (
+    SELECT event_date, date_diff('day', (SELECT min(event_date) FROM silver_events), event_date)
+               AS day_idx
+    FROM (SELECT DISTINCT event_date FROM silver_events))"""))
 def join_computed_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each ticket's follow-up day: ``least(created + 1 + csat % 3, last day)``."""
     se = silver_events_of(spark, sf_dir)
