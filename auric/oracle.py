@@ -178,3 +178,68 @@ cte("feature_daily", ("silver_events",), f"""
 SELECT event_date, customer_id, customer_name, segment,
        {FEATURE_MEASURES}
 FROM silver_events GROUP BY 1, 2, 3, 4""")
+
+
+def features_over(source: str, where: str = "TRUE") -> str:
+    """The daily-feature aggregation over ``source`` rows matching ``where``."""
+    return (f"SELECT event_date, customer_id, customer_name, segment,\n       {FEATURE_MEASURES}\n"
+            f"FROM {source} WHERE {where} GROUP BY 1, 2, 3, 4")
+
+
+def silver_tickets_before(cutoff: str) -> str:
+    """Silver tickets rebuilt from change records that arrived before ``cutoff``."""
+    return f"""SELECT ticket_id, customer_id, customer_name, segment, priority_clean AS priority,
+       category, channel, status, csat, first_response_sec, subject, body,
+       event_time AS updated_at, _ingested_at
+FROM (SELECT * FROM cdc_clean
+      WHERE priority_clean IS NOT NULL AND _ingested_at < TIMESTAMP '{cutoff} 00:00:00'
+      QUALIFY row_number() OVER (PARTITION BY ticket_id ORDER BY event_time DESC, cdc_seq DESC) = 1)
+WHERE op <> 'd'"""
+
+
+TRAINING_PROJECTION = """ticket_id, customer_id, customer_name, segment, priority, category, channel, status,
+       csat, first_response_sec,
+       CAST(length(subject) + length(body) AS INT) AS text_len,
+       CASE WHEN status IN ('resolved', 'closed') THEN 1 ELSE 0 END AS label_resolved,
+       updated_at, _ingested_at"""
+
+# End state of replaying every arrival day: a record updates the training set
+# on its arrival day iff no record arrived by then ranks above it; the last
+# such non-tombstone record per ticket is what stays.
+cte("training_set_incremental", ("cdc_clean",), f"""
+SELECT {TRAINING_PROJECTION}
+FROM (
+    SELECT *, priority_clean AS priority, event_time AS updated_at
+    FROM (
+        SELECT *, CAST(_ingested_at AS DATE) AS arr FROM cdc_clean WHERE priority_clean IS NOT NULL
+        QUALIFY coalesce(min(CAST(_ingested_at AS DATE)) OVER (
+                    PARTITION BY ticket_id ORDER BY event_time DESC, cdc_seq DESC
+                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) > arr, TRUE))
+    WHERE op <> 'd'
+    QUALIFY row_number() OVER (PARTITION BY ticket_id ORDER BY arr DESC) = 1)""")
+
+# End state of replaying every arrival day with a 3-day lookback anchored on
+# the target's newest event_date.
+cte("feature_runs", ("silver_events",), """
+SELECT run_date, m, lag(m) OVER (ORDER BY run_date) AS m_before
+FROM (SELECT CAST(r AS DATE) AS run_date,
+             (SELECT max(event_date) FROM silver_events s WHERE s.ingested_date <= CAST(r AS DATE)) AS m
+      FROM generate_series((SELECT min(ingested_date) FROM silver_events)::TIMESTAMP,
+                           (SELECT max(ingested_date) FROM silver_events)::TIMESTAMP,
+                           INTERVAL 1 DAY) AS t(r))""")
+
+cte("feature_last_run", ("feature_runs", "silver_events"), """
+SELECT d.event_date, max(r.run_date) AS last_run
+FROM (SELECT DISTINCT event_date FROM silver_events) d
+JOIN (SELECT run_date,
+             CASE WHEN run_date = (SELECT min(run_date) FROM feature_runs WHERE m IS NOT NULL)
+                  THEN DATE '0001-01-01'
+                  ELSE CAST(m_before - INTERVAL 3 DAY AS DATE) END AS t
+      FROM feature_runs
+      WHERE run_date >= (SELECT min(run_date) FROM feature_runs WHERE m IS NOT NULL)) r
+  ON r.t <= d.event_date
+GROUP BY 1""")
+
+cte("feature_daily_incremental", ("feature_last_run", "silver_events"),
+    features_over("silver_events s JOIN feature_last_run l USING (event_date)",
+                  "s.ingested_date <= l.last_run"))

@@ -40,7 +40,11 @@ def has_data(spark: SparkSession, path: str) -> bool:
         return False
     for st in fs.listStatus(p):
         name = st.getPath().getName()
-        if not name.startswith((".", "_")) or name == "_SUCCESS":
+        if name.startswith(".") or name == "_temporary":
+            continue                      # hidden files, in-flight job output
+        if st.isDirectory() and "=" in name:
+            return True                   # partition folder, e.g. _bucket=3
+        if not name.startswith("_") or name == "_SUCCESS":
             return True
     return False
 
