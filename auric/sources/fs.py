@@ -55,3 +55,21 @@ def list_dirs(spark: SparkSession, path: str) -> list[str]:
     if not fs.exists(p):
         return []
     return sorted(st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory())
+
+
+def data_files(spark: SparkSession, path: str) -> list[str]:
+    """Data file paths directly under ``path``, sorted by name."""
+    fs, p = _fs(spark, path)
+    return sorted(str(st.getPath()) for st in fs.listStatus(p)
+                  if st.isFile() and not st.getPath().getName().startswith((".", "_")))
+
+
+def stamp_in_order(spark: SparkSession, paths: list[str], step_ms: int = 1000) -> None:
+    """Give files strictly increasing modification times in list order."""
+    if not paths:
+        return
+    fs, _ = _fs(spark, paths[0])
+    jvm = spark.sparkContext._jvm
+    base = int(fs.getFileStatus(jvm.org.apache.hadoop.fs.Path(paths[0])).getModificationTime())
+    for i, f in enumerate(paths):
+        fs.setTimes(jvm.org.apache.hadoop.fs.Path(f), base + i * step_ms, -1)
