@@ -94,12 +94,31 @@ def assert_unique_keys(df: DataFrame, keys: Sequence[str]) -> None:
         raise WriteError(f"batch keys {keys} not unique / NULL, e.g. {[r.asDict() for r in bad]}")
 
 
-def _touched_values(df: DataFrame, col: str, limit: int = MAX_TOUCHED_PARTITIONS) -> list:
-    """Distinct partition values of a batch — bounded, checked."""
-    vals = df.select(col).distinct().limit(limit + 1).collect()
-    if len(vals) > limit:
-        raise WriteError(f"batch touches more than {limit} partitions of {col}")
-    return [r[0] for r in vals]
+def _inspect_batch(df: DataFrame, keys: Sequence[str], partition_col: str, check_keys: bool,
+                   limit: int = MAX_TOUCHED_PARTITIONS) -> list:
+    """One job: key uniqueness / NULL check and the touched partition values.
+
+    The partition column is a function of the key (bucket) or part of it
+    (day), so per-key groups carry one partition value; the partition list
+    is bounded (buckets, or ``limit`` days) and checked before use.
+    """
+    keys = list(keys)
+    null_key = F.lit(False)
+    for k in keys:
+        null_key = null_key | F.col(k).isNull()
+    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"),
+                                    F.first(partition_col).alias("_p"))
+    r = per_key.agg(
+        F.count_if((F.col("_n") > 1) | null_key).alias("_bad"),
+        F.slice(F.collect_set("_p"), 1, limit + 1).alias("_parts")).first()
+    if check_keys and r["_bad"]:
+        sample = (per_key.where((F.col("_n") > 1) | null_key).limit(5).collect())
+        raise WriteError(f"batch keys {keys} not unique / NULL ({r['_bad']} keys), "
+                         f"e.g. {[x.asDict() for x in sample]}")
+    parts = r["_parts"] or []
+    if len(parts) > limit:
+        raise WriteError(f"batch touches more than {limit} partitions of {partition_col}")
+    return parts
 
 
 # ---------------------------------------------------------------- strategies
@@ -133,7 +152,15 @@ def append(df: DataFrame, path: str) -> None:
 
 
 def _dynamic_overwrite(df: DataFrame, path: str, partition_col: str) -> None:
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    """Replace exactly the partitions present in ``df``.
+
+    ``rebalance`` on the partition column sends each partition's rows to
+    few tasks (few files per folder instead of tasks × partitions) while
+    AQE splits a partition that holds a large share of the rows across
+    several tasks and packs small ones together.
+    """
+    (df.hint("rebalance", partition_col)
+       .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
        .partitionBy(partition_col).parquet(path))
 
 
@@ -193,16 +220,14 @@ def merge_upsert(df: DataFrame, path: str, keys: str | Sequence[str],
 def _merge(df: DataFrame, path: str, keys: list[str], buckets: int, on_match: str,
            check_keys: bool, on_schema_change: str) -> None:
     spark = df.sparkSession
-    if check_keys:
-        assert_unique_keys(df, keys)
     new = with_bucket(df, keys, buckets)
+    touched = _inspect_batch(new, keys, BUCKET_COL, check_keys, buckets)
     if not fs.has_data(spark, path):
         _dynamic_overwrite(new, path, BUCKET_COL)
         return
     old = read_table(spark, path)
     if on_schema_change == "fail":
         guard_schema(old.schema, new.schema, ignore=[BUCKET_COL])
-    touched = _touched_values(new, BUCKET_COL, buckets)
     if not touched:
         return
     old_t = old.where(F.col(BUCKET_COL).isin(touched)).select(*new.columns)
@@ -234,15 +259,13 @@ def delete_insert(df: DataFrame, path: str, keys: str | Sequence[str], partition
 def _delete_insert(df: DataFrame, path: str, keys: list[str], partition_col: str,
                    check_keys: bool, on_schema_change: str) -> None:
     spark = df.sparkSession
-    if check_keys:
-        assert_unique_keys(df, keys)
+    touched = _inspect_batch(df, keys, partition_col, check_keys)
     if not fs.has_data(spark, path):
         _dynamic_overwrite(df, path, partition_col)
         return
     old = read_table(spark, path)
     if on_schema_change == "fail":
         guard_schema(old.schema, df.schema)
-    touched = _touched_values(df, partition_col)
     if not touched:
         return
     old_t = old.where(F.col(partition_col).isin(touched)).select(*df.columns)
