@@ -9,7 +9,9 @@ puts every row in a single task.  Instead:
    at most 65,536 rows, a size fixed in advance, so it may come to the driver;
 3. the driver turns the counts into each bucket's rank offset and finds the
    few buckets that straddle a cut;
-4. only rows of those straddling buckets are ranked exactly, with a window
+4. whole buckets get their label from a range test on the bucket number
+   (a Column expression — nothing is shipped back to the cluster);
+5. only rows of the straddling buckets are ranked exactly, with a window
    partitioned by bucket (each holds ~1/65,536 of the rows when the key is
    unique — the operator samples *entities*, so the key must be unique).
 
@@ -23,7 +25,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 BUCKET_HEX_DIGITS = 4
 N_BUCKETS = 16 ** BUCKET_HEX_DIGITS
@@ -62,7 +63,6 @@ def rank_cohorts(df: DataFrame, key: str, sizes: Sequence[int],
     for s in sizes:
         acc += int(s)
         cuts.append(acc)                    # cohort i holds ranks (cuts[i-1], cuts[i]]
-    spark = df.sparkSession
     hashed = _with_hash(df, key)
     buckets, offsets = _bucket_offsets(hashed)
 
@@ -70,36 +70,43 @@ def rank_cohorts(df: DataFrame, key: str, sizes: Sequence[int],
         i = bisect_right(cuts, rank - 1)    # first cut >= rank
         return i if i < len(cuts) else None
 
-    # Per bucket: its rank range (offset, end]; whole buckets get a label here,
-    # straddling ones are ranked row by row below.
-    plan = []
+    # Walk the buckets in hash order: runs of whole buckets with one label
+    # become range tests; the few buckets that straddle a cut are "split".
+    whole: list[tuple[int, int, str]] = []  # (first bucket, last bucket, label)
+    split: dict[int, int] = {}              # bucket -> rank offset
     for i, b in enumerate(buckets):
         lo, hi = offsets[i] + 1, offsets[i + 1]
         first, last = label_of(lo), label_of(hi)
-        if first is not None and first == last:
-            plan.append((b, offsets[i], labels[first], False))
-        elif first is None:
-            continue                        # every rank beyond the last cut
+        if first is None:
+            break                           # every later rank is beyond the last cut
+        if first == last:
+            if whole and whole[-1][2] == labels[first] and whole[-1][1] == buckets[i - 1]:
+                whole[-1] = (whole[-1][0], b, labels[first])
+            else:
+                whole.append((b, b, labels[first]))
         else:
-            plan.append((b, offsets[i], None, True))
-    schema = T.StructType([T.StructField("_bucket", T.IntegerType()),
-                           T.StructField("_offset", T.LongType()),
-                           T.StructField("_whole", T.StringType()),
-                           T.StructField("_split", T.BooleanType())])
-    # At most N_BUCKETS rows by construction: safe to broadcast.
-    plan_df = F.broadcast(spark.createDataFrame(plan, schema))
-    tagged = hashed.join(plan_df, "_bucket", "inner")
-
-    whole = tagged.where(~F.col("_split")).withColumn(label_col, F.col("_whole"))
-    w = Window.partitionBy("_bucket").orderBy("_h", key)
-    split = (tagged.where(F.col("_split"))
-             .withColumn("_rank", F.col("_offset") + F.row_number().over(w)))
-    label_expr = F.lit(None).cast("string")
-    for i in reversed(range(len(cuts))):
-        label_expr = F.when(F.col("_rank") <= cuts[i], F.lit(labels[i])).otherwise(label_expr)
-    split = split.withColumn(label_col, label_expr).where(F.col(label_col).isNotNull())
-    drop = ["_h", "_bucket", "_offset", "_whole", "_split"]
-    return whole.drop(*drop).unionByName(split.drop(*drop, "_rank"))
+            split[b] = offsets[i]
+
+    bucket = F.col("_bucket")
+    whole_label = F.lit(None).cast("string")
+    for lo_b, hi_b, lab in reversed(whole):
+        whole_label = F.when(bucket.between(lo_b, hi_b), F.lit(lab)).otherwise(whole_label)
+    out = hashed.where(whole_label.isNotNull()).withColumn(label_col, whole_label)
+
+    if split:
+        offset = F.lit(None).cast("long")
+        for b, o in split.items():
+            offset = F.when(bucket == b, F.lit(o)).otherwise(offset)
+        w = Window.partitionBy("_bucket").orderBy("_h", key)
+        ranked = (hashed.where(bucket.isin(list(split)))
+                  .withColumn("_rank", offset + F.row_number().over(w)))
+        label_expr = F.lit(None).cast("string")
+        for i in reversed(range(len(cuts))):
+            label_expr = F.when(F.col("_rank") <= cuts[i], F.lit(labels[i])).otherwise(label_expr)
+        ranked = (ranked.withColumn(label_col, label_expr)
+                  .where(F.col(label_col).isNotNull()).drop("_rank"))
+        out = out.unionByName(ranked)
+    return out.drop("_h", "_bucket")
 
 
 def exact_n_sample(df: DataFrame, key: str, n: int) -> DataFrame:

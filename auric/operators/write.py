@@ -30,6 +30,8 @@ replaceWhere and gain atomic commits.
 from __future__ import annotations
 
 import datetime as dt
+import json
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -39,8 +41,9 @@ from pyspark.sql import types as T
 from auric.sources import fs
 
 BUCKET_COL = "_bucket"
-DEFAULT_BUCKETS = 64
+TARGET_BUCKET_BYTES = 128 * 1024 * 1024
 MAX_TOUCHED_PARTITIONS = 10_000
+META_FILE = "_auric_table.json"     # ignored by Parquet readers (leading underscore)
 
 
 class WriteError(RuntimeError):
@@ -192,19 +195,40 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
     return r.parquet(path)
 
 
+def table_meta(spark: SparkSession, path: str) -> dict:
+    text = fs.read_text(spark, f"{path.rstrip('/')}/{META_FILE}")
+    return json.loads(text) if text else {}
+
+
+def _save_meta(spark: SparkSession, path: str, meta: dict) -> None:
+    fs.write_text(spark, f"{path.rstrip('/')}/{META_FILE}", json.dumps(meta, sort_keys=True))
+
+
+def size_buckets(df: DataFrame, target_bytes: int = TARGET_BUCKET_BYTES) -> int:
+    """Bucket count for a table whose first load is ``df``: ~target bytes each."""
+    from auric.operators.layout import estimated_bytes
+    size = estimated_bytes(df) or 0
+    return max(1, math.ceil(size / target_bytes))
+
+
 def with_bucket(df: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
     return df.withColumn(BUCKET_COL,
                          F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int"))
 
 
 def merge_upsert(df: DataFrame, path: str, keys: str | Sequence[str],
-                 buckets: int = DEFAULT_BUCKETS, on_match: str = "update",
+                 buckets: int | None = None, on_match: str = "update",
                  check_keys: bool = True, on_schema_change: str = "fail") -> None:
     """Keyed upsert into a bucketed Parquet table.
 
     ``on_match='update'`` — a batch row replaces the stored row with its key;
     ``on_match='ignore'`` — stored rows win, only new keys are inserted.
     Stored rows whose key is not in the batch are kept.
+
+    The bucket count is fixed when the table is created (``buckets``, or
+    sized from the first batch at ~128 MB per bucket) and kept in the table's
+    metadata file; a batch only rewrites the buckets its keys hash to.
+    Use :func:`rebucket` when a table has outgrown its bucket count.
     """
     if on_match not in ("update", "ignore"):
         raise ValueError("on_match must be 'update' or 'ignore'")
@@ -212,11 +236,35 @@ def merge_upsert(df: DataFrame, path: str, keys: str | Sequence[str],
     keys = _keys(keys)
     df = stage(df, "merge")
     try:
+        meta = table_meta(spark, path) if fs.has_data(spark, path) else {}
+        if meta:
+            if meta.get("keys") != keys:
+                raise WriteError(f"table keyed on {meta.get('keys')}, batch on {keys}")
+            buckets = int(meta["buckets"])
+        elif buckets is None:
+            buckets = size_buckets(df)
         _merge(df, path, keys, buckets, on_match, check_keys, on_schema_change)
+        if not meta:
+            _save_meta(spark, path, {"keys": keys, "buckets": buckets})
     finally:
         _unstage(df)
 
 
+def rebucket(spark: SparkSession, path: str, buckets: int) -> None:
+    """Rewrite a bucketed table with a new bucket count (full rewrite)."""
+    meta = table_meta(spark, path)
+    if not meta:
+        raise WriteError(f"{path} is not a bucketed table")
+    rows = read_table(spark, path).drop(BUCKET_COL)
+    staged = stage(rows, "rebucket")
+    try:
+        fs.delete(spark, path)
+        _dynamic_overwrite(with_bucket(staged, meta["keys"], buckets), path, BUCKET_COL)
+        _save_meta(spark, path, {"keys": meta["keys"], "buckets": buckets})
+    finally:
+        _unstage(staged)
+
+
 def _merge(df: DataFrame, path: str, keys: list[str], buckets: int, on_match: str,
            check_keys: bool, on_schema_change: str) -> None:
     spark = df.sparkSession

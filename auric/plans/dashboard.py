@@ -43,3 +43,37 @@ def dashboard_wrapped(events: DataFrame, customer_name: str, day: dt.date | str)
     return (events.where((F.col("customer_name") == customer_name)
                          & (F.date_format("event_time", "yyyy-MM-dd") == d.isoformat()))
             .groupBy("customer_name").agg(*_measures()))
+
+
+def scan_metrics(df: DataFrame) -> dict[str, int]:
+    """Run ``df`` and sum the file-scan metrics of its executed plan.
+
+    ``files`` = data files opened, ``rows_scanned`` = rows the Parquet reader
+    produced (row groups skipped by min/max statistics and folders pruned by
+    partition filters are not counted) — the "rows scanned" of the
+    reference's dashboard budget.
+    """
+    df.collect()                            # the result is one row
+    totals = {"files": 0, "rows_scanned": 0}
+
+    def metric(node, name: str) -> int:
+        m = node.metrics()
+        return int(m.apply(name).value()) if m.contains(name) else 0
+
+    def walk(node) -> None:
+        cls = node.getClass().getSimpleName()
+        if cls == "AdaptiveSparkPlanExec":
+            walk(node.executedPlan())
+            return
+        if cls.endswith("QueryStageExec"):
+            walk(node.plan())
+            return
+        if cls.startswith("FileSourceScanExec"):
+            totals["files"] += metric(node, "numFiles")
+            totals["rows_scanned"] += metric(node, "numOutputRows")
+        children = node.children()
+        for i in range(children.size()):
+            walk(children.apply(i))
+
+    walk(df._jdf.queryExecution().executedPlan())
+    return totals

@@ -48,7 +48,7 @@ def lookback_filter(source: DataFrame, target: DataFrame | None, date_col: str =
 
 
 def update_training_set(silver_tickets: DataFrame, path: str, run_date: dt.date | str,
-                        buckets: int = 64) -> None:
+                        buckets: int | None = None) -> None:
     merge_upsert(gold.training_set(silver_tickets, run_date), path, "ticket_id", buckets=buckets)
 
 
@@ -56,11 +56,30 @@ def update_feature_daily(silver_events: DataFrame, path: str,
                          lookback: int = DEFAULT_LOOKBACK_DAYS, anchor: str = "target",
                          run_date: dt.date | str | None = None) -> None:
     spark = silver_events.sparkSession
-    target = read_table(spark, path) if fs.has_data(spark, path) else None
-    src = lookback_filter(silver_events, target, "event_date", lookback, anchor, run_date)
+    if not fs.has_data(spark, path):
+        src = silver_events                       # first run: everything
+    elif anchor == "target":
+        newest = newest_partition_date(spark, path, "event_date")
+        src = (silver_events if newest is None else silver_events.where(
+            F.col("event_date") >= date_literal(newest - dt.timedelta(days=lookback))))
+    else:
+        src = lookback_filter(silver_events, read_table(spark, path), "event_date", lookback,
+                              anchor, run_date)
     delete_insert(gold.feature_daily(src), path, gold.FEATURE_KEYS, "event_date")
 
 
+def newest_partition_date(spark: SparkSession, path: str, col: str) -> dt.date | None:
+    """``max(col)`` of a table partitioned by the date ``col``, from folder names.
+
+    The same value as ``SELECT max(col)`` over the table (a partition folder
+    exists only if it holds rows of that day), read from the file listing
+    instead of the data — a metadata lookup, bounded by the number of days.
+    """
+    prefix = f"{col}="
+    days = [as_date(n[len(prefix):]) for n in fs.list_dirs(spark, path) if n.startswith(prefix)]
+    return max(days) if days else None
+
+
 def refresh_doc_chunks(silver_transcripts: DataFrame, path: str) -> None:
     full_refresh(gold.doc_chunks(silver_transcripts), path)
 

@@ -28,6 +28,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -59,23 +60,40 @@ def run_dates(first: dt.date | str, last: dt.date | str) -> list[dt.date]:
     return [a + dt.timedelta(days=i) for i in range((b - a).days + 1)]
 
 
+def concurrently(*steps: Callable[[], None]) -> None:
+    """Submit independent Spark jobs from parallel driver threads (the
+    scheduler interleaves their tasks); re-raises the first failure."""
+    with ThreadPoolExecutor(max_workers=len(steps)) as pool:
+        for f in [pool.submit(s) for s in steps]:
+            f.result()
+
+
 def run_day(spark: SparkSession, feeds: Mapping[str, DataFrame], layout: Layout,
             run_date: dt.date | str, lookback: int = DEFAULT_LOOKBACK_DAYS) -> None:
-    bronze.load_day(feeds, layout.bronze_root, run_date)
+    """One operational day; each layer's tables are written concurrently,
+    layers in order (Bronze → Silver → Gold)."""
+    concurrently(*[
+        (lambda n=n: bronze.load_day({n: feeds[n]}, layout.bronze_root, run_date))
+        for n in FEEDS])
     b = {n: bronze.read_bronze(spark, layout.bronze_root, n).drop(bronze.BATCH_COL)
          for n in FEEDS}
 
-    full_refresh(silver.silver_tickets(b["tickets_cdc"]), layout.path("silver", "tickets"))
-    full_refresh(silver.quarantine_tickets(b["tickets_cdc"]), layout.path("silver", "quarantine"))
-    full_refresh(silver.silver_events(b["events"]), layout.path("silver", "events"))
-    full_refresh(silver.silver_transcripts(b["transcripts"]), layout.path("silver", "transcripts"))
+    concurrently(
+        lambda: full_refresh(silver.silver_tickets(b["tickets_cdc"]),
+                             layout.path("silver", "tickets")),
+        lambda: full_refresh(silver.quarantine_tickets(b["tickets_cdc"]),
+                             layout.path("silver", "quarantine")),
+        lambda: full_refresh(silver.silver_events(b["events"]), layout.path("silver", "events")),
+        lambda: full_refresh(silver.silver_transcripts(b["transcripts"]),
+                             layout.path("silver", "transcripts")))
 
     st = read_table(spark, layout.path("silver", "tickets"))
     se = read_table(spark, layout.path("silver", "events"))
     tr = read_table(spark, layout.path("silver", "transcripts"))
-    incremental.update_training_set(st, layout.path("gold", "training_set"), run_date)
-    incremental.update_feature_daily(se, layout.path("gold", "feature_daily"), lookback)
-    incremental.refresh_doc_chunks(tr, layout.path("gold", "doc_chunks"))
+    concurrently(
+        lambda: incremental.update_training_set(st, layout.path("gold", "training_set"), run_date),
+        lambda: incremental.update_feature_daily(se, layout.path("gold", "feature_daily"), lookback),
+        lambda: incremental.refresh_doc_chunks(tr, layout.path("gold", "doc_chunks")))
 
 
 def replay(spark: SparkSession, feeds: Mapping[str, DataFrame], layout: Layout,

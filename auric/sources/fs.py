@@ -73,3 +73,24 @@ def stamp_in_order(spark: SparkSession, paths: list[str], step_ms: int = 1000) -
     base = int(fs.getFileStatus(jvm.org.apache.hadoop.fs.Path(paths[0])).getModificationTime())
     for i, f in enumerate(paths):
         fs.setTimes(jvm.org.apache.hadoop.fs.Path(f), base + i * step_ms, -1)
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    fs, p = _fs(spark, path)
+    out = fs.create(p, True)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return None
+    jvm = spark.sparkContext._jvm
+    stream = fs.open(p)
+    try:
+        return jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()

@@ -65,7 +65,7 @@ def read_topic(spark: SparkSession, path: str, schema: T.StructType,
 
 
 def sink_writer(sink: str, path: str, key: str | Sequence[str] = "event_id",
-                on_match: str = "update", buckets: int = 16
+                on_match: str = "update", buckets: int | None = None
                 ) -> Callable[[DataFrame, int], None]:
     if sink not in SINKS:
         raise ValueError(f"sink must be one of {SINKS}")
@@ -138,7 +138,7 @@ def feature_upkeep(silver_path: str, gold_path: str) -> Callable[[DataFrame, int
     def handle(batch: DataFrame, batch_id: int) -> None:
         events = (batch.withColumn("event_date", F.to_date("event_time"))
                   .dropDuplicates(["event_id"]))
-        merge_upsert(events, silver_path, "event_id", buckets=16, on_match="ignore")
+        merge_upsert(events, silver_path, "event_id", on_match="ignore")
         spark = batch.sparkSession
         stored = read_table(spark, silver_path)
         touched = events.select("event_date", "customer_id").distinct()
