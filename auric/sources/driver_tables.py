@@ -21,7 +21,15 @@ from pyspark.sql import functions as F
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A given table; a scan with fewer splits than the cluster has cores
+    (one small file = one row group = one task) is spread out first, so the
+    per-row derivations below do not run in a single task.  On large inputs
+    the scan already has enough splits and this is a no-op."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    want = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < want:
+        df = df.repartition(want)
+    return df
 
 
 def _late(event_id: Column) -> Column:
