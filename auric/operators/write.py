@@ -189,6 +189,12 @@ def _unstage(df: DataFrame) -> None:
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """Read a table folder; a keyed table's stored schema is used when known,
+    so a table whose rows were all deleted still reads (as empty)."""
+    if schema is None:
+        stored = table_meta(spark, path).get("schema")
+        if stored:
+            schema = T.StructType.fromJson(json.loads(stored))
     r = spark.read
     if schema is not None:
         r = r.schema(schema)
@@ -216,22 +222,30 @@ def with_bucket(df: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
                          F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int"))
 
 
+ON_MATCH = ("update", "ignore", "earliest")
+
+
 def merge_upsert(df: DataFrame, path: str, keys: str | Sequence[str],
                  buckets: int | None = None, on_match: str = "update",
+                 order_by: Sequence[str] = (), delete_col: str | None = None,
                  check_keys: bool = True, on_schema_change: str = "fail") -> None:
     """Keyed upsert into a bucketed Parquet table.
 
-    ``on_match='update'`` — a batch row replaces the stored row with its key;
-    ``on_match='ignore'`` — stored rows win, only new keys are inserted.
-    Stored rows whose key is not in the batch are kept.
+    ``on_match='update'``   a batch row replaces the stored row with its key;
+    ``on_match='ignore'``   stored rows win, only new keys are inserted;
+    ``on_match='earliest'`` per key the row with the smallest ``order_by``
+                            wins, stored or new (redelivery-safe dedup).
+    ``delete_col`` names a boolean batch column: rows with it true remove
+    their key from the table.  Stored rows whose key is not in the batch are
+    kept.
 
     The bucket count is fixed when the table is created (``buckets``, or
     sized from the first batch at ~128 MB per bucket) and kept in the table's
     metadata file; a batch only rewrites the buckets its keys hash to.
     Use :func:`rebucket` when a table has outgrown its bucket count.
     """
-    if on_match not in ("update", "ignore"):
-        raise ValueError("on_match must be 'update' or 'ignore'")
+    if on_match not in ON_MATCH:
+        raise ValueError(f"on_match must be one of {ON_MATCH}")
     spark = df.sparkSession
     keys = _keys(keys)
     df = stage(df, "merge")
@@ -243,9 +257,13 @@ def merge_upsert(df: DataFrame, path: str, keys: str | Sequence[str],
             buckets = int(meta["buckets"])
         elif buckets is None:
             buckets = size_buckets(df)
-        _merge(df, path, keys, buckets, on_match, check_keys, on_schema_change)
+        new = with_bucket(df, keys, buckets)
+        _rewrite(new, path, keys, BUCKET_COL, on_match, order_by,
+                 delete_col, check_keys, on_schema_change, buckets)
         if not meta:
-            _save_meta(spark, path, {"keys": keys, "buckets": buckets})
+            stored = new.drop(delete_col) if delete_col else new
+            _save_meta(spark, path, {"keys": keys, "buckets": buckets,
+                                     "schema": stored.schema.json()})
     finally:
         _unstage(df)
 
@@ -260,62 +278,80 @@ def rebucket(spark: SparkSession, path: str, buckets: int) -> None:
     try:
         fs.delete(spark, path)
         _dynamic_overwrite(with_bucket(staged, meta["keys"], buckets), path, BUCKET_COL)
-        _save_meta(spark, path, {"keys": meta["keys"], "buckets": buckets})
+        _save_meta(spark, path, dict(meta, buckets=buckets))
     finally:
         _unstage(staged)
 
 
-def _merge(df: DataFrame, path: str, keys: list[str], buckets: int, on_match: str,
-           check_keys: bool, on_schema_change: str) -> None:
-    spark = df.sparkSession
-    new = with_bucket(df, keys, buckets)
-    touched = _inspect_batch(new, keys, BUCKET_COL, check_keys, buckets)
-    if not fs.has_data(spark, path):
-        _dynamic_overwrite(new, path, BUCKET_COL)
-        return
-    old = read_table(spark, path)
-    if on_schema_change == "fail":
-        guard_schema(old.schema, new.schema, ignore=[BUCKET_COL])
-    if not touched:
-        return
-    old_t = old.where(F.col(BUCKET_COL).isin(touched)).select(*new.columns)
-    if on_match == "update":
-        out = old_t.join(new.select(*keys), keys, "left_anti").unionByName(new)
-    else:
-        out = old_t.unionByName(new.join(old_t.select(*keys), keys, "left_anti"))
-    _dynamic_overwrite(out, path, BUCKET_COL)
-
-
 def delete_insert(df: DataFrame, path: str, keys: str | Sequence[str], partition_col: str,
-                  check_keys: bool = True, on_schema_change: str = "fail") -> None:
+                  on_match: str = "update", order_by: Sequence[str] = (),
+                  delete_col: str | None = None, check_keys: bool = True,
+                  on_schema_change: str = "fail") -> None:
     """Replace the stored rows whose key occurs in the batch, then insert the batch.
 
     ``partition_col`` must be one of ``keys``; only partitions present in the
     batch are read and rewritten.  Keys absent from the batch stay as they are.
+    ``on_match`` / ``order_by`` / ``delete_col`` as in :func:`merge_upsert`.
     """
-    spark = df.sparkSession
+    if on_match not in ON_MATCH:
+        raise ValueError(f"on_match must be one of {ON_MATCH}")
     keys = _keys(keys)
     if partition_col not in keys:
         raise ValueError("partition column must be part of the key")
     df = stage(df, "delete-insert")
     try:
-        _delete_insert(df, path, keys, partition_col, check_keys, on_schema_change)
+        _rewrite(df, path, keys, partition_col, on_match, order_by, delete_col, check_keys,
+                 on_schema_change, MAX_TOUCHED_PARTITIONS)
     finally:
         _unstage(df)
 
 
-def _delete_insert(df: DataFrame, path: str, keys: list[str], partition_col: str,
-                   check_keys: bool, on_schema_change: str) -> None:
-    spark = df.sparkSession
-    touched = _inspect_batch(df, keys, partition_col, check_keys)
+def _combine(old_t: DataFrame, new: DataFrame, keys: list[str], on_match: str,
+             order_by: Sequence[str], delete_col: str | None) -> DataFrame:
+    if delete_col:
+        old_t = old_t.withColumn(delete_col, F.lit(False))
+    if on_match == "update":
+        out = old_t.join(new.select(*keys), keys, "left_anti").unionByName(new)
+    elif on_match == "ignore":
+        out = old_t.unionByName(new.join(old_t.select(*keys), keys, "left_anti"))
+    else:
+        from auric.operators.state import earliest_per_key
+        if not order_by:
+            raise ValueError("on_match='earliest' needs order_by")
+        out = earliest_per_key(old_t.unionByName(new), keys, tuple(order_by))
+    if delete_col:
+        out = out.where(~F.coalesce(F.col(delete_col), F.lit(False))).drop(delete_col)
+    return out
+
+
+def _rewrite(new: DataFrame, path: str, keys: list[str], partition_col: str, on_match: str,
+             order_by: Sequence[str], delete_col: str | None, check_keys: bool,
+             on_schema_change: str, limit: int) -> None:
+    spark = new.sparkSession
+    batch = new
+    if on_match == "earliest":
+        from auric.operators.state import earliest_per_key
+        batch = earliest_per_key(new, keys, tuple(order_by))   # redeliveries inside the batch
+        check_keys = False
+    touched = _inspect_batch(batch, keys, partition_col, check_keys, limit)
     if not fs.has_data(spark, path):
-        _dynamic_overwrite(df, path, partition_col)
+        first = batch
+        if delete_col:
+            first = batch.where(~F.coalesce(F.col(delete_col), F.lit(False))).drop(delete_col)
+        _dynamic_overwrite(first, path, partition_col)
         return
     old = read_table(spark, path)
+    stored_cols = [c for c in batch.columns if c != delete_col]
     if on_schema_change == "fail":
-        guard_schema(old.schema, df.schema)
+        guard_schema(old.schema, batch.select(*stored_cols).schema)
     if not touched:
         return
-    old_t = old.where(F.col(partition_col).isin(touched)).select(*df.columns)
-    out = old_t.join(df.select(*keys), keys, "left_anti").unionByName(df)
+    old_t = old.where(F.col(partition_col).isin(touched)).select(*stored_cols)
+    out = _combine(old_t, batch, keys, on_match, order_by, delete_col)
+    emptied: list = []
+    if delete_col:
+        present = {r[0] for r in out.select(partition_col).distinct().collect()}
+        emptied = [p for p in touched if p not in present]
     _dynamic_overwrite(out, path, partition_col)
+    for p in emptied:       # dynamic overwrite leaves a partition with no rows untouched
+        fs.delete(spark, f"{path.rstrip('/')}/{partition_col}={_partition_text(p)}")

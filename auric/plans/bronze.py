@@ -34,8 +34,9 @@ def load_day(feeds: Mapping[str, DataFrame], root: str, run_date: dt.date | str)
 
 
 def read_bronze(spark: SparkSession, root: str, name: str, raw_schema=None,
-                upto: dt.date | str | None = None) -> DataFrame:
-    """A Bronze table (optionally only batches up to ``upto``, by partition filter)."""
+                upto: dt.date | str | None = None,
+                only: dt.date | str | None = None) -> DataFrame:
+    """A Bronze table; ``upto`` / ``only`` restrict batches by partition filter."""
     path = f"{root.rstrip('/')}/{name}"
     if not fs.exists(spark, path):
         if raw_schema is None:
@@ -44,4 +45,6 @@ def read_bronze(spark: SparkSession, root: str, name: str, raw_schema=None,
     df = read_table(spark, path)
     if upto is not None:
         df = df.where(F.col(BATCH_COL) <= F.lit(as_date(upto).isoformat()).cast("date"))
+    if only is not None:
+        df = df.where(F.col(BATCH_COL) == F.lit(as_date(only).isoformat()).cast("date"))
     return df

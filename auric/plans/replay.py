@@ -69,15 +69,37 @@ def concurrently(*steps: Callable[[], None]) -> None:
 
 
 def run_day(spark: SparkSession, feeds: Mapping[str, DataFrame], layout: Layout,
-            run_date: dt.date | str, lookback: int = DEFAULT_LOOKBACK_DAYS) -> None:
+            run_date: dt.date | str, lookback: int = DEFAULT_LOOKBACK_DAYS,
+            incremental_silver: bool = True) -> None:
     """One operational day; each layer's tables are written concurrently,
-    layers in order (Bronze → Silver → Gold)."""
+    layers in order (Bronze → Silver → Gold).
+
+    ``incremental_silver`` refreshes Silver from the day's Bronze partition
+    (work proportional to the day); ``False`` rebuilds Silver from all of
+    Bronze, as the reference does.
+    """
     concurrently(*[
         (lambda n=n: bronze.load_day({n: feeds[n]}, layout.bronze_root, run_date))
         for n in FEEDS])
     b = {n: bronze.read_bronze(spark, layout.bronze_root, n).drop(bronze.BATCH_COL)
          for n in FEEDS}
-
+    if incremental_silver:
+        day = {n: bronze.read_bronze(spark, layout.bronze_root, n, only=run_date)
+               .drop(bronze.BATCH_COL) for n in FEEDS}
+        concurrently(
+            lambda: silver.refresh_tickets(b["tickets_cdc"], day["tickets_cdc"],
+                                           layout.path("silver", "tickets")),
+            lambda: silver.refresh_quarantine(day["tickets_cdc"], layout.path("silver", "quarantine"),
+                                              as_date(run_date), bronze.BATCH_COL),
+            lambda: silver.refresh_events(day["events"], layout.path("silver", "events")),
+            lambda: silver.refresh_transcripts(day["transcripts"],
+                                               layout.path("silver", "transcripts")))
+    else:
+        rebuild_silver(b, layout)
+    _update_gold(spark, layout, run_date, lookback)
+
+
+def rebuild_silver(b: Mapping[str, DataFrame], layout: Layout) -> None:
     concurrently(
         lambda: full_refresh(silver.silver_tickets(b["tickets_cdc"]),
                              layout.path("silver", "tickets")),
@@ -87,9 +109,12 @@ def run_day(spark: SparkSession, feeds: Mapping[str, DataFrame], layout: Layout,
         lambda: full_refresh(silver.silver_transcripts(b["transcripts"]),
                              layout.path("silver", "transcripts")))
 
-    st = read_table(spark, layout.path("silver", "tickets"))
-    se = read_table(spark, layout.path("silver", "events"))
-    tr = read_table(spark, layout.path("silver", "transcripts"))
+
+def _update_gold(spark: SparkSession, layout: Layout, run_date, lookback: int) -> None:
+    st = read_table(spark, layout.path("silver", "tickets")).drop("_bucket")
+    se = read_table(spark, layout.path("silver", "events")).select(
+        *silver.EVENT_COLUMNS, "event_date", "ingested_date")
+    tr = read_table(spark, layout.path("silver", "transcripts")).drop("_bucket")
     concurrently(
         lambda: incremental.update_training_set(st, layout.path("gold", "training_set"), run_date),
         lambda: incremental.update_feature_daily(se, layout.path("gold", "feature_daily"), lookback),
@@ -98,9 +123,10 @@ def run_day(spark: SparkSession, feeds: Mapping[str, DataFrame], layout: Layout,
 
 def replay(spark: SparkSession, feeds: Mapping[str, DataFrame], layout: Layout,
            dates: Sequence[dt.date | str], lookback: int = DEFAULT_LOOKBACK_DAYS,
-           after_day: Callable[[dt.date], None] | None = None) -> None:
+           after_day: Callable[[dt.date], None] | None = None,
+           incremental_silver: bool = True) -> None:
     for d in sorted(as_date(x) for x in dates):
-        run_day(spark, feeds, layout, d, lookback)
+        run_day(spark, feeds, layout, d, lookback, incremental_silver)
         if after_day:
             after_day(d)
 

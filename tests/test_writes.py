@@ -89,3 +89,19 @@ def test_bucketed_merge_writes_one_file_per_bucket(spark, work):
     W.merge_upsert(spark.range(1000).withColumnRenamed("id", "k"), path, "k", buckets=8)
     files = W.read_table(spark, path).select(F.input_file_name()).distinct().count()
     assert files <= 8 * 2
+
+
+def test_merge_earliest_and_deletes(spark, work):
+    path = work("earliest")
+    schema = "k long, v string, t int, gone boolean"
+    W.merge_upsert(spark.createDataFrame([(1, "a", 5, False), (2, "b", 5, False),
+                                          (1, "a2", 3, False)], schema),
+                   path, "k", buckets=2, on_match="earliest", order_by=["t"], delete_col="gone")
+    W.merge_upsert(spark.createDataFrame([(1, "late", 9, False), (2, "early", 1, False)], schema),
+                   path, "k", buckets=2, on_match="earliest", order_by=["t"], delete_col="gone")
+    got = {r.k: (r.v, r.t) for r in W.read_table(spark, path).collect()}
+    assert got == {1: ("a2", 3), 2: ("early", 1)}
+    # deleting every key of a bucket empties that bucket's folder too
+    W.merge_upsert(spark.createDataFrame([(1, "x", 0, True), (2, "x", 0, True)], schema),
+                   path, "k", on_match="update", delete_col="gone")
+    assert W.read_table(spark, path).count() == 0
