@@ -136,20 +136,44 @@ def replace_partition(df: DataFrame, path: str, col: str, value) -> None:
     out.write.mode("overwrite").parquet(target)
 
 
-def full_refresh(df: DataFrame, path: str) -> None:
+def full_refresh(df: DataFrame, path: str, partition_by: str | None = None,
+                 meta: dict | None = None) -> None:
     """Replace the table: write a staging copy, then swap folders.
 
     ``df`` may read ``path`` itself: the old folder is removed only after the
-    staging copy is complete.
+    staging copy is complete.  ``partition_by`` keeps a partitioned layout
+    (``rebalance`` on it, as the keyed writes do); ``meta`` is stored as the
+    table's metadata file.
     """
     spark = df.sparkSession
     staging = path.rstrip("/") + ".__staging__"
-    df.write.mode("overwrite").parquet(staging)
+    w = (df.hint("rebalance", partition_by) if partition_by else df).write.mode("overwrite")
+    if partition_by:
+        w = w.partitionBy(partition_by)
+    w.parquet(staging)
+    if meta:
+        _save_meta(spark, staging, meta)
     fs.delete(spark, path)
     if not fs.rename(spark, staging, path):
         raise WriteError(f"could not move {staging} to {path}")
 
 
+def rebuild_keyed(df: DataFrame, path: str, keys: str | Sequence[str],
+                  buckets: int | None = None) -> None:
+    """Full rebuild into the bucketed layout :func:`merge_upsert` maintains,
+    so later batches can be merged into it."""
+    spark = df.sparkSession
+    keys = _keys(keys)
+    old = table_meta(spark, path) if fs.has_data(spark, path) else {}
+    if old.get("keys") == keys:
+        buckets = int(old["buckets"])
+    elif buckets is None:
+        buckets = size_buckets(df)
+    new = with_bucket(df, keys, buckets)
+    full_refresh(new, path, BUCKET_COL,
+                 {"keys": keys, "buckets": buckets, "schema": new.schema.json()})
+
+
 def append(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from auric.functions.time import as_date
-from auric.operators.write import full_refresh, read_table
+from auric.operators.write import read_table
 from auric.plans import bronze, gold, incremental, silver
 from auric.plans.incremental import DEFAULT_LOOKBACK_DAYS
 
@@ -68,48 +68,48 @@ def concurrently(*steps: Callable[[], None]) -> None:
             f.result()
 
 
+# Below this much Bronze, rebuilding Silver costs less than merging a day
+# into it (a merge is several small jobs); above it, a rebuild re-reads all
+# history every day and the per-day refresh wins.
+SILVER_REBUILD_MAX_BYTES = 1 << 30
+
+
 def run_day(spark: SparkSession, feeds: Mapping[str, DataFrame], layout: Layout,
             run_date: dt.date | str, lookback: int = DEFAULT_LOOKBACK_DAYS,
-            incremental_silver: bool = True) -> None:
+            incremental_silver: bool | None = None) -> None:
     """One operational day; each layer's tables are written concurrently,
     layers in order (Bronze → Silver → Gold).
 
-    ``incremental_silver`` refreshes Silver from the day's Bronze partition
-    (work proportional to the day); ``False`` rebuilds Silver from all of
-    Bronze, as the reference does.
+    ``incremental_silver``: ``True`` refreshes Silver from the day's Bronze
+    partition (work proportional to the day), ``False`` rebuilds it from all
+    of Bronze (as the reference does), ``None`` picks by Bronze size.  Both
+    write the same layout and give the same tables (tests).
     """
     concurrently(*[
         (lambda n=n: bronze.load_day({n: feeds[n]}, layout.bronze_root, run_date))
         for n in FEEDS])
-    b = {n: bronze.read_bronze(spark, layout.bronze_root, n).drop(bronze.BATCH_COL)
-         for n in FEEDS}
+    b = {n: bronze.read_bronze(spark, layout.bronze_root, n) for n in FEEDS}
+    paths = {n: layout.path("silver", n) for n in ("tickets", "quarantine", "events",
+                                                     "transcripts")}
+    if incremental_silver is None:
+        from auric.operators.layout import estimated_bytes
+        size = sum(estimated_bytes(df) or 0 for df in b.values())
+        incremental_silver = size > SILVER_REBUILD_MAX_BYTES
     if incremental_silver:
         day = {n: bronze.read_bronze(spark, layout.bronze_root, n, only=run_date)
                .drop(bronze.BATCH_COL) for n in FEEDS}
         concurrently(
-            lambda: silver.refresh_tickets(b["tickets_cdc"], day["tickets_cdc"],
-                                           layout.path("silver", "tickets")),
-            lambda: silver.refresh_quarantine(day["tickets_cdc"], layout.path("silver", "quarantine"),
+            lambda: silver.refresh_tickets(b["tickets_cdc"].drop(bronze.BATCH_COL),
+                                           day["tickets_cdc"], paths["tickets"]),
+            lambda: silver.refresh_quarantine(day["tickets_cdc"], paths["quarantine"],
                                               as_date(run_date), bronze.BATCH_COL),
-            lambda: silver.refresh_events(day["events"], layout.path("silver", "events")),
-            lambda: silver.refresh_transcripts(day["transcripts"],
-                                               layout.path("silver", "transcripts")))
+            lambda: silver.refresh_events(day["events"], paths["events"]),
+            lambda: silver.refresh_transcripts(day["transcripts"], paths["transcripts"]))
     else:
-        rebuild_silver(b, layout)
+        concurrently(*silver.rebuild(b, paths, bronze.BATCH_COL))
     _update_gold(spark, layout, run_date, lookback)
 
 
-def rebuild_silver(b: Mapping[str, DataFrame], layout: Layout) -> None:
-    concurrently(
-        lambda: full_refresh(silver.silver_tickets(b["tickets_cdc"]),
-                             layout.path("silver", "tickets")),
-        lambda: full_refresh(silver.quarantine_tickets(b["tickets_cdc"]),
-                             layout.path("silver", "quarantine")),
-        lambda: full_refresh(silver.silver_events(b["events"]), layout.path("silver", "events")),
-        lambda: full_refresh(silver.silver_transcripts(b["transcripts"]),
-                             layout.path("silver", "transcripts")))
-
-
 def _update_gold(spark: SparkSession, layout: Layout, run_date, lookback: int) -> None:
     st = read_table(spark, layout.path("silver", "tickets")).drop("_bucket")
     se = read_table(spark, layout.path("silver", "events")).select(
@@ -124,7 +124,7 @@ def _update_gold(spark: SparkSession, layout: Layout, run_date, lookback: int) -
 def replay(spark: SparkSession, feeds: Mapping[str, DataFrame], layout: Layout,
            dates: Sequence[dt.date | str], lookback: int = DEFAULT_LOOKBACK_DAYS,
            after_day: Callable[[dt.date], None] | None = None,
-           incremental_silver: bool = True) -> None:
+           incremental_silver: bool | None = None) -> None:
     for d in sorted(as_date(x) for x in dates):
         run_day(spark, feeds, layout, d, lookback, incremental_silver)
         if after_day:

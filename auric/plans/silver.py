@@ -12,6 +12,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -56,9 +58,10 @@ def silver_tickets(cdc: DataFrame) -> DataFrame:
                       else F.col(c) for c in TICKET_COLUMNS]))
 
 
-def quarantine_tickets(cdc: DataFrame) -> DataFrame:
+def quarantine_tickets(cdc: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Rejected change records; ``keep`` carries extra columns (a batch date)."""
     _, rejected = split_valid(cdc)
-    return rejected.select(*QUARANTINE_COLUMNS)
+    return rejected.select(*QUARANTINE_COLUMNS, *keep)
 
 
 EVENT_COLUMNS = ["event_id", "ticket_id", "customer_id", "customer_name", "segment",
@@ -83,6 +86,25 @@ def silver_transcripts(transcripts: DataFrame) -> DataFrame:
                             ("_ingested_at",))
 
 
+# ---------------------------------------------------------------- maintained tables
+# Silver is stored so that both a full rebuild and a per-day refresh write
+# the same layout: tickets and transcripts hash-bucketed by their key,
+# events partitioned by event_date, quarantine by the Bronze batch day.
+
+def rebuild(bronze: Mapping[str, DataFrame], paths: Mapping[str, str], batch_col: str) -> list:
+    """Full rebuild of the four Silver tables from all of Bronze (returns the
+    independent write steps, for the caller to run concurrently)."""
+    from auric.operators.write import full_refresh, rebuild_keyed
+    cdc, ev, tr = bronze["tickets_cdc"], bronze["events"], bronze["transcripts"]
+    return [
+        lambda: rebuild_keyed(silver_tickets(cdc.drop(batch_col)), paths["tickets"], "ticket_id"),
+        lambda: full_refresh(quarantine_tickets(cdc, (batch_col,)), paths["quarantine"], batch_col),
+        lambda: full_refresh(silver_events(ev.drop(batch_col)), paths["events"], "event_date"),
+        lambda: rebuild_keyed(silver_transcripts(tr.drop(batch_col)), paths["transcripts"],
+                              "transcript_id"),
+    ]
+
+
 # ---------------------------------------------------------------- incremental refresh
 def refresh_tickets(bronze_all: DataFrame, bronze_day: DataFrame, path: str) -> None:
     """Silver tickets after one Bronze day, touching only that day's tickets.

@@ -19,7 +19,8 @@ def test_replay_equals_backfill_and_is_stable(spark, work):
     feeds = {"tickets_cdc": dtb.tickets_cdc(spark, SMALL), "events": dtb.runtime_events(spark, SMALL),
              "transcripts": dtb.transcripts(spark, SMALL)}
     layout = replay.Layout(work("replay"))
-    replay.replay(spark, feeds, layout, DAYS)
+    replay.replay(spark, feeds, layout, DAYS[:3], incremental_silver=False)   # rebuild ...
+    replay.replay(spark, feeds, layout, DAYS[3:], incremental_silver=True)    # ... then refresh
     ts = incremental.read_gold(spark, layout.path("gold", "training_set"))
     fd = incremental.read_gold(spark, layout.path("gold", "feature_daily"))
     bts = replay.backfill_training_set(feeds["tickets_cdc"], DAYS[0], DAYS[-1])
@@ -30,7 +31,7 @@ def test_replay_equals_backfill_and_is_stable(spark, work):
     assert _fp(fd, "gold_feature_daily") == _fp(bfd, "gold_feature_daily")
     # replaying the last days again changes nothing (idempotent re-runs)
     before = (_fp(ts, "gold_training_set"), _fp(fd, "gold_feature_daily"))
-    replay.replay(spark, feeds, layout, DAYS[-2:])
+    replay.replay(spark, feeds, layout, DAYS[-2:], incremental_silver=True)
     ts2 = incremental.read_gold(spark, layout.path("gold", "training_set"))
     fd2 = incremental.read_gold(spark, layout.path("gold", "feature_daily"))
     assert (_fp(ts2, "gold_training_set"), _fp(fd2, "gold_feature_daily")) == before
@@ -45,6 +46,7 @@ def test_replay_equals_backfill_and_is_stable(spark, work):
     keys = quality.FINGERPRINT_KEYS["gold_training_set"] + ["updated_at", "_ingested_at"]
     assert (quality.fingerprint(inc, keys).first() == quality.fingerprint(full, keys).first())
     q_inc = read_table(spark, layout.path("silver", "quarantine"))
+    assert set(q_inc.columns) >= {"ticket_id", "cdc_seq", "reject_reason", "_batch_date"}
     assert q_inc.count() == silver.quarantine_tickets(bt).count()
     ev_inc = read_table(spark, layout.path("silver", "events"))
     ev_full = silver.silver_events(b.drop("_batch_date"))
