@@ -63,7 +63,8 @@ def rank_cohorts(df: DataFrame, key: str, sizes: Sequence[int],
     for s in sizes:
         acc += int(s)
         cuts.append(acc)                    # cohort i holds ranks (cuts[i-1], cuts[i]]
-    hashed = _with_hash(df, key)
+    # counted once, then read by two branches: checkpoint to the shared folder
+    hashed = _with_hash(df, key).checkpoint(eager=True)
     buckets, offsets = _bucket_offsets(hashed)
 
     def label_of(rank: int) -> int | None:

@@ -162,8 +162,11 @@ def backfill_training_set(cdc: DataFrame, first: dt.date | str, last: dt.date |
 def backfill_feature_daily(silver_events: DataFrame, first: dt.date | str, last: dt.date | str,
                            lookback: int = DEFAULT_LOOKBACK_DAYS) -> DataFrame:
     first, last = as_date(first), as_date(last)
-    ev = silver_events.where((F.col("ingested_date") >= F.lit(first.isoformat()).cast("date"))
-                             & (F.col("ingested_date") <= F.lit(last.isoformat()).cast("date")))
+    # read three times below (newest dates, date list, rows): checkpoint once
+    # into the shared checkpoint folder instead of recomputing the dedup
+    ev = silver_events.where(
+        (F.col("ingested_date") >= F.lit(first.isoformat()).cast("date"))
+        & (F.col("ingested_date") <= F.lit(last.isoformat()).cast("date"))).checkpoint(eager=True)
     spark = silver_events.sparkSession
     runs = spark.createDataFrame([(d,) for d in run_dates(first, last)], "run_date date")
     # newest event_date among arrivals by each run (one row per run day)
