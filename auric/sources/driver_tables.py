@@ -32,13 +32,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return df
 
 
+# The arrival-delay law — 50 in 1000 events are late by
+# 155,520 s + bucket × 99 s (1.8–2.95 days), the others by bucket × 21 s
+# (0–5.8 hours), bucket in 0..999.
+LATE_PER_MILLE = 50
+LATE_BASE_SECONDS = 155520
+LATE_STEP_SECONDS = 99
+ON_TIME_STEP_SECONDS = 21
+
+
 def _late(event_id: Column) -> Column:
-    return (event_id * 104729) % 1000 < 50
+    return (event_id * 104729) % 1000 < LATE_PER_MILLE
 
 
 def _delay_seconds(event_id: Column) -> Column:
     bucket = (event_id * 7919) % 1000
-    return F.when(_late(event_id), F.lit(155520) + bucket * 99).otherwise(bucket * 21)
+    return (F.when(_late(event_id), F.lit(LATE_BASE_SECONDS) + bucket * LATE_STEP_SECONDS)
+             .otherwise(bucket * ON_TIME_STEP_SECONDS))
 
 
 def base_events(spark: SparkSession, sf_dir: str) -> DataFrame:
