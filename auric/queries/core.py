@@ -44,7 +44,7 @@ def json_extract_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("transcripts_array", sql(
-    "SELECT transcript_id, ticket_id, lang, len(turns) AS n_turns, "
+    "SELECT transcript_id, ticket_id, lang, CAST(len(turns) AS INT) AS n_turns, "
     "array_to_string(turns, chr(10)) AS turns_text, event_time, _ingested_at "
     "FROM v_transcripts", "v_transcripts"))
 def transcripts_array(spark: SparkSession, sf_dir: str) -> DataFrame:
