@@ -85,9 +85,19 @@ def run_day(spark: SparkSession, feeds: Mapping[str, DataFrame], layout: Layout,
     of Bronze (as the reference does), ``None`` picks by Bronze size.  Both
     write the same layout and give the same tables (tests).
     """
+    load_bronze(feeds, layout, run_date)
+    refresh_silver(spark, layout, run_date, incremental_silver)
+    _update_gold(spark, layout, run_date, lookback)
+
+
+def load_bronze(feeds: Mapping[str, DataFrame], layout: Layout, run_date) -> None:
     concurrently(*[
         (lambda n=n: bronze.load_day({n: feeds[n]}, layout.bronze_root, run_date))
         for n in FEEDS])
+
+
+def refresh_silver(spark: SparkSession, layout: Layout, run_date,
+                   incremental_silver: bool | None = None) -> None:
     b = {n: bronze.read_bronze(spark, layout.bronze_root, n) for n in FEEDS}
     paths = {n: layout.path("silver", n) for n in ("tickets", "quarantine", "events",
                                                      "transcripts")}
@@ -107,7 +117,6 @@ def run_day(spark: SparkSession, feeds: Mapping[str, DataFrame], layout: Layout,
             lambda: silver.refresh_transcripts(day["transcripts"], paths["transcripts"]))
     else:
         concurrently(*silver.rebuild(b, paths, bronze.BATCH_COL))
-    _update_gold(spark, layout, run_date, lookback)
 
 
 def _update_gold(spark: SparkSession, layout: Layout, run_date, lookback: int) -> None:
