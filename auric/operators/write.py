@@ -246,7 +246,7 @@ def with_bucket(df: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
                          F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int"))
 
 
-ON_MATCH = ("update", "ignore", "earliest")
+ON_MATCH = ("update", "ignore", "earliest", "latest")
 
 
 def merge_upsert(df: DataFrame, path: str, keys: str | Sequence[str],
@@ -258,7 +258,9 @@ def merge_upsert(df: DataFrame, path: str, keys: str | Sequence[str],
     ``on_match='update'``   a batch row replaces the stored row with its key;
     ``on_match='ignore'``   stored rows win, only new keys are inserted;
     ``on_match='earliest'`` per key the row with the smallest ``order_by``
-                            wins, stored or new (redelivery-safe dedup).
+                            wins, stored or new (redelivery-safe dedup);
+    ``on_match='latest'``   the row with the greatest ``order_by`` wins
+                            (applying change records out of order).
     ``delete_col`` names a boolean batch column: rows with it true remove
     their key from the table.  Stored rows whose key is not in the batch are
     kept.
@@ -330,6 +332,24 @@ def delete_insert(df: DataFrame, path: str, keys: str | Sequence[str], partition
         _unstage(df)
 
 
+def _pick(df: DataFrame, keys: list[str], on_match: str, order_by: Sequence[str]) -> DataFrame:
+    from auric.operators.state import earliest_per_key, latest_per_key
+    if on_match == "earliest":
+        return earliest_per_key(df, keys, tuple(order_by))
+    return latest_per_key(df, keys, tuple(order_by))
+
+
+def read_keys(spark: SparkSession, path: str, keys_df: DataFrame) -> DataFrame:
+    """Rows of a bucketed table whose key is in ``keys_df``, reading only the
+    buckets those keys hash to (a partition filter), then a semi join."""
+    meta = table_meta(spark, path)
+    keys = meta["keys"]
+    wanted = [r[0] for r in with_bucket(keys_df.select(*keys), keys, int(meta["buckets"]))
+              .select(BUCKET_COL).distinct().collect()]           # ≤ buckets values
+    return (read_table(spark, path).where(F.col(BUCKET_COL).isin(wanted))
+            .join(keys_df.select(*keys).distinct(), keys, "left_semi").drop(BUCKET_COL))
+
+
 def _combine(old_t: DataFrame, new: DataFrame, keys: list[str], on_match: str,
              order_by: Sequence[str], delete_col: str | None) -> DataFrame:
     if delete_col:
@@ -339,10 +359,9 @@ def _combine(old_t: DataFrame, new: DataFrame, keys: list[str], on_match: str,
     elif on_match == "ignore":
         out = old_t.unionByName(new.join(old_t.select(*keys), keys, "left_anti"))
     else:
-        from auric.operators.state import earliest_per_key
         if not order_by:
-            raise ValueError("on_match='earliest' needs order_by")
-        out = earliest_per_key(old_t.unionByName(new), keys, tuple(order_by))
+            raise ValueError(f"on_match='{on_match}' needs order_by")
+        out = _pick(old_t.unionByName(new), keys, on_match, order_by)
     if delete_col:
         out = out.where(~F.coalesce(F.col(delete_col), F.lit(False))).drop(delete_col)
     return out
@@ -353,9 +372,8 @@ def _rewrite(new: DataFrame, path: str, keys: list[str], partition_col: str, on_
              on_schema_change: str, limit: int) -> None:
     spark = new.sparkSession
     batch = new
-    if on_match == "earliest":
-        from auric.operators.state import earliest_per_key
-        batch = earliest_per_key(new, keys, tuple(order_by))   # redeliveries inside the batch
+    if on_match in ("earliest", "latest"):
+        batch = _pick(new, keys, on_match, order_by)    # several rows per key inside the batch
         check_keys = False
     touched = _inspect_batch(batch, keys, partition_col, check_keys, limit)
     if not fs.has_data(spark, path):

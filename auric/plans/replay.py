@@ -99,8 +99,8 @@ def load_bronze(feeds: Mapping[str, DataFrame], layout: Layout, run_date) -> Non
 def refresh_silver(spark: SparkSession, layout: Layout, run_date,
                    incremental_silver: bool | None = None) -> None:
     b = {n: bronze.read_bronze(spark, layout.bronze_root, n) for n in FEEDS}
-    paths = {n: layout.path("silver", n) for n in ("tickets", "quarantine", "events",
-                                                     "transcripts")}
+    paths = {n: layout.path("silver", n) for n in ("tickets", "ticket_state", "quarantine",
+                                                     "events", "transcripts")}
     if incremental_silver is None:
         from auric.operators.layout import estimated_bytes
         size = sum(estimated_bytes(df) or 0 for df in b.values())
@@ -109,8 +109,8 @@ def refresh_silver(spark: SparkSession, layout: Layout, run_date,
         day = {n: bronze.read_bronze(spark, layout.bronze_root, n, only=run_date)
                .drop(bronze.BATCH_COL) for n in FEEDS}
         concurrently(
-            lambda: silver.refresh_tickets(b["tickets_cdc"].drop(bronze.BATCH_COL),
-                                           day["tickets_cdc"], paths["tickets"]),
+            lambda: silver.refresh_tickets(day["tickets_cdc"], paths["ticket_state"],
+                                           paths["tickets"]),
             lambda: silver.refresh_quarantine(day["tickets_cdc"], paths["quarantine"],
                                               as_date(run_date), bronze.BATCH_COL),
             lambda: silver.refresh_events(day["events"], paths["events"]),
