@@ -147,6 +147,7 @@ def full_refresh(df: DataFrame, path: str, partition_by: str | None = None,
     """
     spark = df.sparkSession
     staging = path.rstrip("/") + ".__staging__"
+    recover_refresh(spark, path)
     w = (df.hint("rebalance", partition_by) if partition_by else df).write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(partition_by)
@@ -158,6 +159,16 @@ def full_refresh(df: DataFrame, path: str, partition_by: str | None = None,
         raise WriteError(f"could not move {staging} to {path}")
 
 
+def recover_refresh(spark: SparkSession, path: str) -> bool:
+    """Finish a refresh that crashed between removing the old folder and
+    moving the new one in: a *committed* staging copy (``_SUCCESS`` written
+    at job commit) is moved into place.  Returns True if it recovered."""
+    staging = path.rstrip("/") + ".__staging__"
+    if not fs.exists(spark, path) and fs.exists(spark, f"{staging}/_SUCCESS"):
+        return fs.rename(spark, staging, path)
+    return False
+
+
 def rebuild_keyed(df: DataFrame, path: str, keys: str | Sequence[str],
                   buckets: int | None = None) -> None:
     """Full rebuild into the bucketed layout :func:`merge_upsert` maintains,

@@ -105,3 +105,17 @@ def test_merge_earliest_and_deletes(spark, work):
     W.merge_upsert(spark.createDataFrame([(1, "x", 0, True), (2, "x", 0, True)], schema),
                    path, "k", on_match="update", delete_col="gone")
     assert W.read_table(spark, path).count() == 0
+
+
+def test_full_refresh_recovers_after_crash_between_delete_and_rename(spark, work):
+    from auric.sources import fs
+    path = work("refresh")
+    W.full_refresh(spark.range(4), path)
+    # simulate the crash: a committed staging copy exists, the table folder is gone
+    spark.range(7).write.parquet(path + ".__staging__")
+    fs.delete(spark, path)
+    assert W.recover_refresh(spark, path)
+    assert W.read_table(spark, path).count() == 7
+    # the next refresh of the table from itself works on the recovered data
+    W.full_refresh(W.read_table(spark, path).where("id < 5"), path)
+    assert W.read_table(spark, path).count() == 5
