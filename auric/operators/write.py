@@ -83,20 +83,6 @@ def guard_schema(stored: T.StructType, batch: T.StructType, ignore: Sequence[str
         raise SchemaChanged("; ".join(diff))
 
 
-def assert_unique_keys(df: DataFrame, keys: Sequence[str]) -> None:
-    """Fail loudly on NULL or repeated keys in a batch (a MERGE with two source
-    rows for one key is undefined; a NULL key never matches and would grow)."""
-    keys = list(keys)
-    null_key = F.lit(False)
-    for k in keys:
-        null_key = null_key | F.col(k).isNull()
-    bad = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-           .where((F.col("_n") > 1) | null_key)
-           .limit(5).collect())
-    if bad:
-        raise WriteError(f"batch keys {keys} not unique / NULL, e.g. {[r.asDict() for r in bad]}")
-
-
 def _inspect_batch(df: DataFrame, keys: Sequence[str], partition_col: str, check_keys: bool,
                    limit: int = MAX_TOUCHED_PARTITIONS) -> list:
     """One job: key uniqueness / NULL check and the touched partition values.

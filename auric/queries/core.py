@@ -14,9 +14,9 @@ from auric.sources import driver_tables as dt
 from auric.sources import jsonl
 
 
-def _feeds(spark: SparkSession, sf_dir: str):
+def _cdc(spark: SparkSession, sf_dir: str) -> DataFrame:
     ensure_conf(spark)
-    return dt
+    return dt.tickets_cdc(spark, sf_dir)
 
 
 def events_with_redelivery(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,7 +64,7 @@ def transcripts_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     "SELECT ticket_id, cdc_seq, priority_raw, priority_clean AS priority FROM cdc_clean",
     "cdc_clean"))
 def normalize_domain_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cdc = _feeds(spark, sf_dir).tickets_cdc(spark, sf_dir)
+    cdc = _cdc(spark, sf_dir)
     return cdc.select("ticket_id", "cdc_seq", "priority_raw",
                       normalize_domain("priority_raw").alias("priority"))
 
@@ -72,7 +72,7 @@ def normalize_domain_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("reject_reason", sql(
     "SELECT reject_reason, count(*) AS n FROM quarantine GROUP BY 1", "quarantine"))
 def reject_reason_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cdc = _feeds(spark, sf_dir).tickets_cdc(spark, sf_dir)
+    cdc = _cdc(spark, sf_dir)
     bad = cdc.where(normalize_domain("priority_raw").isNull())
     return (bad.groupBy(reject_reason("priority_raw").alias("reject_reason"))
             .agg(F.count(F.lit(1)).alias("n")))
@@ -80,7 +80,7 @@ def reject_reason_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("quarantine", sql("SELECT * FROM quarantine", "quarantine"))
 def quarantine_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return silver.quarantine_tickets(_feeds(spark, sf_dir).tickets_cdc(spark, sf_dir))
+    return silver.quarantine_tickets(_cdc(spark, sf_dir))
 
 
 # ---------------------------------------------------------------- state
@@ -88,7 +88,7 @@ def quarantine_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     "SELECT ticket_id, cdc_seq, op, priority_clean AS priority, event_time FROM current_state",
     "current_state"))
 def latest_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    st = silver.current_state(_feeds(spark, sf_dir).tickets_cdc(spark, sf_dir))
+    st = silver.current_state(_cdc(spark, sf_dir))
     return st.select("ticket_id", "cdc_seq", "op", F.col("priority_clean").alias("priority"),
                      "event_time")
 
@@ -115,7 +115,7 @@ def silver_tickets_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     "SELECT op, ticket_id, cdc_seq, event_time FROM v_tickets_cdc", "v_tickets_cdc"))
 def cdc_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Creates, deletes and updates as three feeds, glued by a 3-way UNION ALL."""
-    cdc = _feeds(spark, sf_dir).tickets_cdc(spark, sf_dir).select(
+    cdc = _cdc(spark, sf_dir).select(
         "op", "ticket_id", "cdc_seq", "event_time")
     creates = cdc.where(F.col("op") == "c")
     deletes = cdc.where(F.col("op") == "d")
@@ -126,7 +126,8 @@ def cdc_union(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- gold
 @register("doc_chunks", sql("SELECT * FROM doc_chunks", "doc_chunks"))
 def doc_chunks_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = silver.silver_transcripts(_feeds(spark, sf_dir).transcripts(spark, sf_dir))
+    ensure_conf(spark)
+    t = silver.silver_transcripts(dt.transcripts(spark, sf_dir))
     return gold.doc_chunks(t)
 
 

@@ -72,3 +72,20 @@ def test_lookback_recovers_late_rows_that_a_naive_run_misses(spark):
     agg = lambda df: df.selectExpr("sum(n_events)").first()[0]
     assert agg(full) == se.where("ingested_date <= date'2024-02-02'").count()
     assert agg(none) < agg(full)
+
+
+def test_lookback_anchor_on_run_date(spark, work):
+    """anchor='run_date' recomputes [run_date - L, ...] whatever the target holds."""
+    import datetime as dt
+    from pyspark.sql import functions as F
+    from auric.plans import gold
+    se = silver.silver_events(dtb.runtime_events(spark, SMALL))
+    path = work("features")
+    incremental.update_feature_daily(se.where("ingested_date <= date'2024-01-05'"), path)
+    # a future-dated row would move a target anchor; the run-date anchor ignores it
+    incremental.update_feature_daily(se.where("ingested_date <= date'2024-01-06'"), path,
+                                     anchor="run_date", run_date=dt.date(2024, 1, 6))
+    got = incremental.read_gold(spark, path)
+    want = gold.feature_daily(se.where("ingested_date <= date'2024-01-06'"))
+    days = F.col("event_date") >= F.lit("2024-01-03").cast("date")
+    assert _fp(got.where(days), "gold_feature_daily") == _fp(want.where(days), "gold_feature_daily")
