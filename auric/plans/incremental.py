@@ -16,7 +16,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from auric.functions.time import as_date, date_literal
+from auric.functions.time import as_date, date_literal, day_slice
 from auric.operators.write import delete_insert, full_refresh, merge_upsert, read_table
 from auric.plans import gold
 from auric.sources import fs
@@ -48,8 +48,24 @@ def lookback_filter(source: DataFrame, target: DataFrame | None, date_col: str =
 
 
 def update_training_set(silver_tickets: DataFrame, path: str, run_date: dt.date | str,
-                        buckets: int | None = None) -> None:
-    merge_upsert(gold.training_set(silver_tickets, run_date), path, "ticket_id", buckets=buckets)
+                        buckets: int | None = None,
+                        ticket_state: DataFrame | None = None) -> None:
+    """Merge the tickets that arrived on ``run_date`` by ``ticket_id``.
+
+    Like the reference, a ticket deleted on a later day stays in the
+    training set.  Pass ``ticket_state`` (latest valid record per ticket,
+    tombstones included) to propagate deletes: tickets whose state became a
+    tombstone on ``run_date`` are removed in the same merge.
+    """
+    rows = gold.training_set(silver_tickets, run_date).withColumn("_deleted", F.lit(False))
+    if ticket_state is not None:
+        gone = (ticket_state.where((F.col("op") == "d") & day_slice("_ingested_at", run_date))
+                .select("ticket_id"))
+        rows = rows.unionByName(gone.select(*[
+            F.col("ticket_id") if f.name == "ticket_id"
+            else F.lit(f.name == "_deleted").alias(f.name) if f.name == "_deleted"
+            else F.lit(None).cast(f.dataType).alias(f.name) for f in rows.schema.fields]))
+    merge_upsert(rows, path, "ticket_id", buckets=buckets, delete_col="_deleted")
 
 
 def update_feature_daily(silver_events: DataFrame, path: str,

@@ -76,7 +76,7 @@ SILVER_REBUILD_MAX_BYTES = 1 << 30
 
 def run_day(spark: SparkSession, feeds: Mapping[str, DataFrame], layout: Layout,
             run_date: dt.date | str, lookback: int = DEFAULT_LOOKBACK_DAYS,
-            incremental_silver: bool | None = None) -> None:
+            incremental_silver: bool | None = None, propagate_deletes: bool = False) -> None:
     """One operational day; each layer's tables are written concurrently,
     layers in order (Bronze → Silver → Gold).
 
@@ -87,7 +87,7 @@ def run_day(spark: SparkSession, feeds: Mapping[str, DataFrame], layout: Layout,
     """
     load_bronze(feeds, layout, run_date)
     refresh_silver(spark, layout, run_date, incremental_silver)
-    _update_gold(spark, layout, run_date, lookback)
+    _update_gold(spark, layout, run_date, lookback, propagate_deletes)
 
 
 def load_bronze(feeds: Mapping[str, DataFrame], layout: Layout, run_date) -> None:
@@ -119,13 +119,17 @@ def refresh_silver(spark: SparkSession, layout: Layout, run_date,
         concurrently(*silver.rebuild(b, paths, bronze.BATCH_COL))
 
 
-def _update_gold(spark: SparkSession, layout: Layout, run_date, lookback: int) -> None:
+def _update_gold(spark: SparkSession, layout: Layout, run_date, lookback: int,
+                 propagate_deletes: bool = False) -> None:
     st = read_table(spark, layout.path("silver", "tickets")).drop("_bucket")
+    state = (read_table(spark, layout.path("silver", "ticket_state")).drop("_bucket")
+             if propagate_deletes else None)
     se = read_table(spark, layout.path("silver", "events")).select(
         *silver.EVENT_COLUMNS, "event_date", "ingested_date")
     tr = read_table(spark, layout.path("silver", "transcripts")).drop("_bucket")
     concurrently(
-        lambda: incremental.update_training_set(st, layout.path("gold", "training_set"), run_date),
+        lambda: incremental.update_training_set(st, layout.path("gold", "training_set"), run_date,
+                                                ticket_state=state),
         lambda: incremental.update_feature_daily(se, layout.path("gold", "feature_daily"), lookback),
         lambda: incremental.refresh_doc_chunks(tr, layout.path("gold", "doc_chunks")))
 
@@ -133,9 +137,9 @@ def _update_gold(spark: SparkSession, layout: Layout, run_date, lookback: int) -
 def replay(spark: SparkSession, feeds: Mapping[str, DataFrame], layout: Layout,
            dates: Sequence[dt.date | str], lookback: int = DEFAULT_LOOKBACK_DAYS,
            after_day: Callable[[dt.date], None] | None = None,
-           incremental_silver: bool | None = None) -> None:
+           incremental_silver: bool | None = None, propagate_deletes: bool = False) -> None:
     for d in sorted(as_date(x) for x in dates):
-        run_day(spark, feeds, layout, d, lookback, incremental_silver)
+        run_day(spark, feeds, layout, d, lookback, incremental_silver, propagate_deletes)
         if after_day:
             after_day(d)
 

@@ -89,3 +89,21 @@ def test_lookback_anchor_on_run_date(spark, work):
     want = gold.feature_daily(se.where("ingested_date <= date'2024-01-06'"))
     days = F.col("event_date") >= F.lit("2024-01-03").cast("date")
     assert _fp(got.where(days), "gold_feature_daily") == _fp(want.where(days), "gold_feature_daily")
+
+
+def test_propagated_deletes_remove_tombstoned_tickets(spark, work):
+    feeds = {"tickets_cdc": dtb.tickets_cdc(spark, SMALL), "events": dtb.runtime_events(spark, SMALL),
+             "transcripts": dtb.transcripts(spark, SMALL)}
+    days = DAYS[:5]
+    keep = replay.Layout(work("keep"))
+    drop = replay.Layout(work("drop"))
+    replay.replay(spark, feeds, keep, days)
+    replay.replay(spark, feeds, drop, days, propagate_deletes=True)
+    kept = incremental.read_gold(spark, keep.path("gold", "training_set"))
+    dropped = incremental.read_gold(spark, drop.path("gold", "training_set"))
+    state = read_table(spark, drop.path("silver", "ticket_state"))
+    dead = state.where("op = 'd'").select("ticket_id")
+    assert dead.count() > 0
+    assert dropped.join(dead, "ticket_id", "left_semi").count() == 0
+    expected = kept.join(dead, "ticket_id", "left_anti")
+    assert _fp(dropped, "gold_training_set") == _fp(expected, "gold_training_set")
