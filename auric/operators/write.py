@@ -188,13 +188,36 @@ def _dynamic_overwrite(df: DataFrame, path: str, partition_col: str) -> None:
        .partitionBy(partition_col).parquet(path))
 
 
+# Logical operators that make re-reading a batch as cheap as reading a staged
+# copy of it: plain scans with projections and filters.
+_CHEAP_NODES = {"Project", "Filter", "LogicalRelation", "LogicalRDD", "LocalRelation",
+                "SubqueryAlias", "Union", "StreamingDataSourceV2ScanRelation"}
+
+
+def is_plain_scan(df: DataFrame) -> bool:
+    """True if ``df`` is only scans + projections/filters (no shuffle, no
+    aggregation, no window): recomputing it is a re-read of its files."""
+    def walk(node) -> bool:
+        if node.getClass().getSimpleName() not in _CHEAP_NODES:
+            return False
+        children = node.children()
+        return all(walk(children.apply(i)) for i in range(children.size()))
+    try:
+        return walk(df._jdf.queryExecution().optimizedPlan())
+    except Exception:  # noqa: BLE001 - unknown plan shape: stage it
+        return False
+
+
 def stage(df: DataFrame, name: str = "batch") -> DataFrame:
     """Materialise a batch once in the shared work folder and read it back.
 
     Cuts the lineage (checks, merge and retries read the written copy instead
     of recomputing the batch) and decouples the batch from the target table
-    it may have been computed from.
+    it may have been computed from.  A batch that is already a plain scan is
+    returned as is — re-reading it costs what reading a copy would.
     """
+    if is_plain_scan(df):
+        return df
     from auric.session import workspace
     path = workspace(df.sparkSession, f"stage-{name}")
     df.write.mode("overwrite").parquet(path)
