@@ -352,6 +352,33 @@ def delete_insert(df: DataFrame, path: str, keys: str | Sequence[str], partition
         _unstage(df)
 
 
+def replace_partitions(df: DataFrame, path: str, keys: str | Sequence[str], partition_col: str,
+                       window_start, check_keys: bool = True,
+                       on_schema_change: str = "fail") -> None:
+    """Every partition ``>= window_start`` becomes exactly the batch's rows:
+    present ones are overwritten whole, ones the batch no longer has are
+    removed.  Keys that vanished from the source vanish from the table too
+    (unlike :func:`delete_insert`, which only replaces the batch's keys)."""
+    spark = df.sparkSession
+    keys = _keys(keys)
+    df = stage(df, "replace-window")
+    try:
+        touched = _inspect_batch(df, keys, partition_col, check_keys)
+        if fs.has_data(spark, path) and on_schema_change == "fail":
+            guard_schema(read_table(spark, path).schema, df.schema)
+        prefix = f"{partition_col}="
+        stored = [n[len(prefix):] for n in fs.list_dirs(spark, path) if n.startswith(prefix)]
+        start = _partition_text(window_start)
+        present = {_partition_text(p) for p in touched}
+        if touched:
+            _dynamic_overwrite(df, path, partition_col)
+        for v in stored:             # ISO dates compare as text
+            if v >= start and v not in present:
+                fs.delete(spark, f"{path.rstrip('/')}/{prefix}{v}")
+    finally:
+        _unstage(df)
+
+
 def _pick(df: DataFrame, keys: list[str], on_match: str, order_by: Sequence[str]) -> DataFrame:
     from auric.operators.state import earliest_per_key, latest_per_key
     if on_match == "earliest":

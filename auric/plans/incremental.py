@@ -17,7 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from auric.functions.time import as_date, date_literal, day_slice
-from auric.operators.write import delete_insert, full_refresh, merge_upsert, read_table
+from auric.operators.write import (delete_insert, full_refresh, merge_upsert, read_table,
+                                   replace_partitions)
 from auric.plans import gold
 from auric.sources import fs
 
@@ -70,18 +71,35 @@ def update_training_set(silver_tickets: DataFrame, path: str, run_date: dt.date
 
 def update_feature_daily(silver_events: DataFrame, path: str,
                          lookback: int = DEFAULT_LOOKBACK_DAYS, anchor: str = "target",
-                         run_date: dt.date | str | None = None) -> None:
+                         run_date: dt.date | str | None = None,
+                         replace_window: bool = False) -> None:
+    """Recompute the lookback window and write it back.
+
+    Default (the reference's delete+insert): keys present in the recomputed
+    window replace their rows; a (day, customer) that vanished from Silver
+    stays.  ``replace_window=True`` rewrites every day of the window whole,
+    so vanished groups disappear as well.
+    """
     spark = silver_events.sparkSession
+    start = None
     if not fs.has_data(spark, path):
         src = silver_events                       # first run: everything
     elif anchor == "target":
         newest = newest_partition_date(spark, path, "event_date")
-        src = (silver_events if newest is None else silver_events.where(
-            F.col("event_date") >= date_literal(newest - dt.timedelta(days=lookback))))
+        if newest is not None:
+            start = newest - dt.timedelta(days=lookback)
+        src = (silver_events if start is None
+               else silver_events.where(F.col("event_date") >= date_literal(start)))
+    else:
+        if run_date is None:
+            raise ValueError("anchor='run_date' needs run_date")
+        start = as_date(run_date) - dt.timedelta(days=lookback)
+        src = silver_events.where(F.col("event_date") >= date_literal(start))
+    batch = gold.feature_daily(src)
+    if replace_window and start is not None:
+        replace_partitions(batch, path, gold.FEATURE_KEYS, "event_date", start)
     else:
-        src = lookback_filter(silver_events, read_table(spark, path), "event_date", lookback,
-                              anchor, run_date)
-    delete_insert(gold.feature_daily(src), path, gold.FEATURE_KEYS, "event_date")
+        delete_insert(batch, path, gold.FEATURE_KEYS, "event_date")
 
 
 def newest_partition_date(spark: SparkSession, path: str, col: str) -> dt.date | None:

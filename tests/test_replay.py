@@ -107,3 +107,20 @@ def test_propagated_deletes_remove_tombstoned_tickets(spark, work):
     assert dropped.join(dead, "ticket_id", "left_semi").count() == 0
     expected = kept.join(dead, "ticket_id", "left_anti")
     assert _fp(dropped, "gold_training_set") == _fp(expected, "gold_training_set")
+
+
+def test_replace_window_drops_vanished_groups(spark, work):
+    from pyspark.sql import functions as F
+    se = silver.silver_events(dtb.runtime_events(spark, SMALL)).where(
+        "ingested_date <= date'2024-01-08'")
+    victim = se.where("event_date = date'2024-01-07'").select("customer_id").first()[0]
+    shrunk = se.where(~((F.col("event_date") == F.lit("2024-01-07").cast("date"))
+                        & (F.col("customer_id") == victim)))
+    for replace_window, expected in ((False, 1), (True, 0)):
+        path = work("features")
+        incremental.update_feature_daily(se, path)
+        incremental.update_feature_daily(shrunk, path, replace_window=replace_window)
+        got = incremental.read_gold(spark, path).where(
+            (F.col("event_date") == F.lit("2024-01-07").cast("date"))
+            & (F.col("customer_id") == victim)).count()
+        assert got == expected
