@@ -208,15 +208,16 @@ def is_plain_scan(df: DataFrame) -> bool:
         return False
 
 
-def stage(df: DataFrame, name: str = "batch") -> DataFrame:
+def stage(df: DataFrame, name: str = "batch", force: bool = False) -> DataFrame:
     """Materialise a batch once in the shared work folder and read it back.
 
     Cuts the lineage (checks, merge and retries read the written copy instead
     of recomputing the batch) and decouples the batch from the target table
     it may have been computed from.  A batch that is already a plain scan is
-    returned as is — re-reading it costs what reading a copy would.
+    returned as is — re-reading it costs what reading a copy would — unless
+    ``force`` (the caller is about to replace the folders it reads).
     """
-    if is_plain_scan(df):
+    if not force and is_plain_scan(df):
         return df
     from auric.session import workspace
     path = workspace(df.sparkSession, f"stage-{name}")
@@ -269,10 +270,14 @@ def with_bucket(df: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
 ON_MATCH = ("update", "ignore", "earliest", "latest")
 
 
+REBUCKET_FACTOR = 4
+
+
 def merge_upsert(df: DataFrame, path: str, keys: str | Sequence[str],
                  buckets: int | None = None, on_match: str = "update",
                  order_by: Sequence[str] = (), delete_col: str | None = None,
-                 check_keys: bool = True, on_schema_change: str = "fail") -> None:
+                 check_keys: bool = True, on_schema_change: str = "fail",
+                 target_bucket_bytes: int = TARGET_BUCKET_BYTES) -> None:
     """Keyed upsert into a bucketed Parquet table.
 
     ``on_match='update'``   a batch row replaces the stored row with its key;
@@ -288,7 +293,9 @@ def merge_upsert(df: DataFrame, path: str, keys: str | Sequence[str],
     The bucket count is fixed when the table is created (``buckets``, or
     sized from the first batch at ~128 MB per bucket) and kept in the table's
     metadata file; a batch only rewrites the buckets its keys hash to.
-    Use :func:`rebucket` when a table has outgrown its bucket count.
+    When the average bucket outgrows ``REBUCKET_FACTOR`` × the target (the
+    table grew since it was created), the table is rebucketed to the target
+    size once — a full rewrite, amortised over that growth.
     """
     if on_match not in ON_MATCH:
         raise ValueError(f"on_match must be one of {ON_MATCH}")
@@ -302,7 +309,7 @@ def merge_upsert(df: DataFrame, path: str, keys: str | Sequence[str],
                 raise WriteError(f"table keyed on {meta.get('keys')}, batch on {keys}")
             buckets = int(meta["buckets"])
         elif buckets is None:
-            buckets = size_buckets(df)
+            buckets = size_buckets(df, target_bucket_bytes)
         new = with_bucket(df, keys, buckets)
         _rewrite(new, path, keys, BUCKET_COL, on_match, order_by,
                  delete_col, check_keys, on_schema_change, buckets)
@@ -310,6 +317,9 @@ def merge_upsert(df: DataFrame, path: str, keys: str | Sequence[str],
             stored = new.drop(delete_col) if delete_col else new
             _save_meta(spark, path, {"keys": keys, "buckets": buckets,
                                      "schema": stored.schema.json()})
+        size = fs.total_bytes(spark, path)
+        if size > REBUCKET_FACTOR * target_bucket_bytes * buckets:
+            rebucket(spark, path, math.ceil(size / target_bucket_bytes))
     finally:
         _unstage(df)
 
@@ -320,7 +330,7 @@ def rebucket(spark: SparkSession, path: str, buckets: int) -> None:
     if not meta:
         raise WriteError(f"{path} is not a bucketed table")
     rows = read_table(spark, path).drop(BUCKET_COL)
-    staged = stage(rows, "rebucket")
+    staged = stage(rows, "rebucket", force=True)      # a real copy: the folder is replaced
     try:
         fs.delete(spark, path)
         _dynamic_overwrite(with_bucket(staged, meta["keys"], buckets), path, BUCKET_COL)

@@ -94,3 +94,9 @@ def read_text(spark: SparkSession, path: str) -> str | None:
         return jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
     finally:
         stream.close()
+
+
+def total_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes stored under ``path`` (a metadata call)."""
+    fs, p = _fs(spark, path)
+    return int(fs.getContentSummary(p).getLength()) if fs.exists(p) else 0

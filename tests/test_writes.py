@@ -119,3 +119,18 @@ def test_full_refresh_recovers_after_crash_between_delete_and_rename(spark, work
     # the next refresh of the table from itself works on the recovered data
     W.full_refresh(W.read_table(spark, path).where("id < 5"), path)
     assert W.read_table(spark, path).count() == 5
+
+
+def test_merge_grows_buckets_with_the_table(spark, work):
+    path = work("grow")
+    tiny = 2048                                     # bytes per bucket, to force growth
+    W.merge_upsert(spark.range(10).withColumnRenamed("id", "k"), path, "k",
+                   target_bucket_bytes=tiny)
+    first = W.table_meta(spark, path)["buckets"]
+    W.merge_upsert(spark.range(20000).withColumnRenamed("id", "k"), path, "k",
+                   target_bucket_bytes=tiny)
+    meta = W.table_meta(spark, path)
+    assert meta["buckets"] > first
+    t = W.read_table(spark, path)
+    assert t.count() == 20000 and t.select("k").distinct().count() == 20000
+    assert t.where(F.col("_bucket") >= meta["buckets"]).count() == 0
