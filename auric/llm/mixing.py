@@ -163,11 +163,14 @@ mix_levels AS (
   SELECT source, source_size, weight, 3 * source_size AS cap, 3.0 * source_size / weight AS ratio,
          sum(source_size) OVER () AS total,
          coalesce(sum(3 * source_size) OVER w, 0) AS filled,
-         sum(weight) OVER () - coalesce(sum(weight) OVER w, 0) AS open_weight
+         sum(weight) OVER () - coalesce(sum(weight) OVER w, 0) AS open_weight,
+         row_number() OVER (ORDER BY 3.0 * source_size / weight, source NULLS LAST) AS clamped
   FROM mix_sources
   WINDOW w AS (ORDER BY 3.0 * source_size / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 mix_level AS (
-  SELECT min(CAST(total - filled AS DOUBLE) / CAST(open_weight AS DOUBLE)) FILTER (ratio > CAST(total - filled AS DOUBLE) / open_weight) AS level FROM mix_levels),
+  SELECT arg_min(CAST(total - filled AS DOUBLE) / CAST(open_weight AS DOUBLE), clamped)
+           FILTER (ratio > CAST(total - filled AS DOUBLE) / CAST(open_weight AS DOUBLE)) AS level
+  FROM mix_levels),
 mix_targets AS (
   SELECT s.source, source_size, least(CAST(3 * source_size AS DOUBLE), coalesce(level, 0) * weight) AS target
   FROM mix_sources s, mix_level),
