@@ -3,13 +3,20 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from auric.llm import licenses, mixing, tokens
+from auric.llm import decontam, langid, licenses, mixing, quality_classifier, quality_rules, tokens
 from auric.llm.textbatch import table
 
 TOKENIZER = "piece_bpe_32k.model"
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return langid.identify(docs, langid.fit(docs), keep=["doc_id"]).select(
+        "doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
     return tokens.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
@@ -23,5 +30,20 @@ def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sizes(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_token_counts, op3_license_scans, op4_mix_sources)}
-ORACLES: dict[str, str] = {"op4_mix_sources": mixing.OP4_SQL}
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(table(spark, sf_dir, "documents"))
+
+
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).select(
+        "doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_language_id, op2_token_counts, op3_license_scans, op4_mix_sources, op5_quality_rules, op6_quality_classifier,
+    op7_decontaminate)}
+ORACLES: dict[str, str] = {"op4_mix_sources": mixing.OP4_SQL, "op7_decontaminate": decontam.OP7_SQL}
