@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from auric.llm import decontam, langid, licenses, mixing, quality_classifier, quality_rules, tokens
+from auric.llm import decontam, html_extract, langid, licenses, mixing, quality_classifier, quality_rules, tokens
 from auric.llm.textbatch import table
 
 TOKENIZER = "piece_bpe_32k.model"
@@ -43,7 +43,11 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.main_text(table(spark, sf_dir, "pages"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_language_id, op2_token_counts, op3_license_scans, op4_mix_sources, op5_quality_rules, op6_quality_classifier,
-    op7_decontaminate)}
+    op7_decontaminate, op8_html_extraction)}
 ORACLES: dict[str, str] = {"op4_mix_sources": mixing.OP4_SQL, "op7_decontaminate": decontam.OP7_SQL}
