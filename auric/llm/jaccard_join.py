@@ -4,11 +4,13 @@ A document's set holds its distinct 5-word shingles (64-bit hashes); with
 fewer words, the whole sequence is its one shingle.  Documents with equal
 sets are one *node*.  Two nodes link when 100 * |A and B| >= 80 * |A or B|.
 
-1. Two sets that link share a shingle among the first n - ceil(0.8 n) + 1 of
-   each in any common order.  The order puts shingles that are frequent in a
-   sample of the texts last (a bounded list that decides only how fast this
-   is, never the result) and the others by hash.  Nodes that share such a
-   shingle form a *group*; groups with the same members are one group.
+1. In any common order, two sets that link share at least 1 + e shingles
+   among the first n - ceil(0.8 n) + 1 + e of each, where e is a tenth of the
+   smaller size.  The order puts shingles that are frequent in a sample of the
+   texts last (a bounded list that decides only how fast this is, never the
+   result) and the others by hash.  Nodes that share such a shingle form a
+   *group* (groups with the same members are one), and nodes that share too
+   few of theirs with any others are left out.
 2. Rounds of contraction: each member of a group is compared with one seeded
    centre of it, and what links is joined to one component.  This takes a
    comparison per node and round, also in a group of very many near copies.
@@ -37,12 +39,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from auric.llm.textbatch import LOWER, gram_hash, mix64, prefix_hash, runs, saved, span_hash, text_key, words
 
 SHINGLE = 5
+#: One shingle in so many is added to a prefix.
+EXTRA = 10
 #: Percent of the union that two sets share at least.
 PERCENT = 80
 #: One text in so many is looked at for frequent shingles; a shingle is
@@ -51,9 +55,9 @@ SAMPLE, FREQUENT, MAX_FREQUENT = 16, 4, 1 << 17
 #: Rounds of contraction after the first, for groups with more members than SMALL.
 ROUNDS, SMALL = 4, 8
 #: Members of a chunk of a large group, and sets of a leaf of the tree.
-CHUNK, LEAF = 2000, 8
-#: Text whose shingles are dealt to the buckets at a time.
-FLUSH_BYTES = 16 << 20
+CHUNK, LEAF = 2000, 32
+#: Prefix shingles that a task deals to the buckets at a time.
+FLUSH_ROWS = 1 << 19
 BUCKETS_PER_PARTITION = 8
 
 
@@ -90,13 +94,14 @@ def node_keys(grams: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         return mix64(total[ends] - total[ends - sizes] + sizes.astype(np.uint64)).view(np.int64)
 
 
-def size_class(n: np.ndarray) -> np.ndarray:
-    """Sizes that may link are at most two classes apart (a class spans a factor below 1.25 ** 0.5)."""
-    return np.floor(np.log(np.maximum(n, 1)) / np.log(1.118)).astype(np.int64)
+def prefix_length(n: np.ndarray) -> np.ndarray:
+    return np.minimum(n + (-(PERCENT * n)) // 100 + 1 + n // EXTRA, n)
 
 
-def prefix_length(n: np.ndarray) -> np.ndarray:
-    return n + (-(PERCENT * n)) // 100 + 1
+def least_shared(n: Column) -> Column:
+    """Prefix shingles that a set of a link shares at least: one and the extra
+    ones of a partner of the least size."""
+    return 1 + F.floor(F.floor(PERCENT * n / 100) / EXTRA)
 
 
 def _described(frequent: np.ndarray, weight: np.ndarray, column: pa.Array) -> Iterator[tuple]:
@@ -155,9 +160,10 @@ def document_nodes(docs: DataFrame, frequent) -> DataFrame:
 # --- groups ---------------------------------------------------------------
 
 def rare_groups(docs: DataFrame, frequent, partitions: int) -> DataFrame:
-    """(group, node, size): nodes that share a rare prefix shingle.
+    """(group, node, shared): nodes that share rare prefix shingles, and how
+    many the group stands for.
 
-    Each task packs (shingle, node, size class) by hash bucket, so a bucket
+    Each task packs (40 bits of the shingle, node) by hash bucket, so a bucket
     travels as a few binary rows; the bucket's task sorts it and keeps the
     groups of two nodes and more, once for each list of members.
     """
@@ -165,19 +171,20 @@ def rare_groups(docs: DataFrame, frequent, partitions: int) -> DataFrame:
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
-        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        held: list[tuple[np.ndarray, np.ndarray]] = []
         size = 0
 
         def flush() -> pa.RecordBatch:
-            g, k, s = (np.concatenate([h[i] for h in held]) for i in range(3))
-            to = (g >> np.uint64(20)) % np.uint64(buckets)
+            g, k = (np.concatenate([h[i] for h in held]) for i in range(2))
+            to = (g >> np.uint64(40)) % np.uint64(buckets)
             order = np.argsort(to, kind="stable")
-            g, k, s, to = g[order], k[order], s[order], to[order]
+            g, k, to = g[order], k[order], to[order]
             cut = np.flatnonzero(np.diff(to, prepend=to[:1] + np.uint64(1)))
-            cuts = [*cut, len(to)]
+            parts = (g.astype(np.uint32), (g >> np.uint64(32)).astype(np.uint8), k)
             return pa.RecordBatch.from_arrays(
-                [pa.array(to[cut].astype(np.int32))] + [pa.array([x[i:j].tobytes() for i, j in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary())
-                                                        for x in (g, k, s)], names=["bucket", "g", "k", "s"])
+                [pa.array(to[cut].astype(np.int32))]
+                + [pa.array([x[i:j].tobytes() for i, j in zip(cut, [*cut[1:], len(to)], strict=True)], pa.binary()) for x in parts],
+                names=["bucket", "low", "high", "node"])
 
         for b in batches:
             for a, z, sizes, keys, grams, owner, often in _described(*frequent.value, b.column(0)):
@@ -188,9 +195,9 @@ def rare_groups(docs: DataFrame, frequent, partitions: int) -> DataFrame:
                         new[i] = True
                 rare = ~often & new[owner]
                 if rare.any():
-                    held.append((grams[rare], keys[owner[rare]], size_class(sizes)[owner[rare]].astype(np.uint8)))
-                    size += int(rare.sum()) * 40
-                if size > FLUSH_BYTES:
+                    held.append((grams[rare], keys[owner[rare]]))
+                    size += int(rare.sum())
+                if size > FLUSH_ROWS:
                     yield flush()
                     held, size = [], 0
         if held:
@@ -201,40 +208,49 @@ def rare_groups(docs: DataFrame, frequent, partitions: int) -> DataFrame:
         for b in batches:
             for bucket, *columns in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 packed.setdefault(bucket, []).append(columns)
-        known: set[int] = set()
-        for rows in packed.values():
-            g = np.concatenate([np.frombuffer(r[0], np.uint64) for r in rows])
-            k = np.concatenate([np.frombuffer(r[1], np.int64) for r in rows])
-            s = np.concatenate([np.frombuffer(r[2], np.uint8) for r in rows])
+        for bucket in list(packed):
+            rows = packed.pop(bucket)
+            g = np.concatenate([np.frombuffer(r[0], np.uint32) for r in rows]).astype(np.uint64)
+            g |= np.concatenate([np.frombuffer(r[1], np.uint8) for r in rows]).astype(np.uint64) << np.uint64(32)
+            k = np.concatenate([np.frombuffer(r[2], np.int64) for r in rows])
             order = np.lexsort((k, g))
-            g, k, s = g[order], k[order], s[order]
+            g, k = g[order], k[order]
             new = np.ones(len(g), bool)  # copies of a set in other tasks
             new[1:] = (g[1:] != g[:-1]) | (k[1:] != k[:-1])
-            g, k, s = g[new], k[new], s[new]
+            g, k = g[new], k[new]
             first = np.flatnonzero(np.diff(g, prepend=g[:1] + np.uint64(1)))
             count = np.diff(np.append(first, len(g)))
             with np.errstate(over="ignore"):
-                members = np.add.reduceat(mix64(k.view(np.uint64)), first) if len(first) else np.zeros(0, np.uint64)
-            names = mix64(members + count.astype(np.uint64)).view(np.int64)
-            keep = []
-            for i in np.flatnonzero(count > 1):
-                if (name := int(names[i])) not in known:
-                    known.add(name)
-                    keep.append(i)
-            if keep:
-                keep = np.array(keep)
-                row = np.repeat(first[keep], count[keep]) + (np.arange(count[keep].sum()) - np.repeat(np.cumsum(count[keep]) - count[keep], count[keep]))
-                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(names[keep], count[keep])), pa.array(k[row]), pa.array(s[row].astype(np.int32))],
-                                                 names=["group", "node", "size"])
-
-    return (docs.select("text").mapInArrow(pack, "bucket int, g binary, k binary, s binary")
-            .repartition(partitions, "bucket").mapInArrow(group, "group long, node long, size int")
-            .dropDuplicates(["group", "node"]))
+                members = np.add.reduceat(mix64(k.view(np.uint64)), first)
+            name = mix64(members + count.astype(np.uint64)).view(np.int64)
+            many = np.flatnonzero(count > 1)
+            if not len(many):
+                continue
+            name, once, shared = np.unique(name[many], return_index=True, return_counts=True)
+            first, count = first[many[once]], count[many[once]]
+            row = np.repeat(first - (np.cumsum(count) - count), count) + np.arange(count.sum())
+            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(name, count)), pa.array(k[row]), pa.array(np.repeat(shared, count))],
+                                             names=["group", "node", "shared"])
+
+    return (docs.select("text").mapInArrow(pack, "bucket int, low binary, high binary, node binary")
+            .repartition(partitions, "bucket").mapInArrow(group, "group long, node long, shared long")
+            .groupBy("group", "node").agg(F.sum("shared").alias("shared")))
 
 
 def frequent_groups(nodes: DataFrame) -> DataFrame:
-    """(group, node, size): nodes that share a frequent prefix shingle."""
-    return nodes.select(F.explode("frequent").alias("group"), "node", "size")
+    """(group, node, shared): nodes that share a frequent prefix shingle."""
+    return nodes.select(F.explode("frequent").alias("group"), "node", F.lit(1).cast("long").alias("shared"))
+
+
+def promising(groups: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The groups' nodes that share enough, with their size class: sizes that
+    may link are at most two classes apart (a class spans less than 1.25 ** 0.5)."""
+    enough = (groups.groupBy("node").agg(F.sum("shared").alias("shared")).join(nodes.select("node", "n_shingles"), "node")
+              .where(F.col("shared") >= least_shared(F.col("n_shingles")))
+              .select("node", F.floor(F.log("n_shingles") / F.log(F.lit(1.118))).cast("int").alias("size")))
+    kept = groups.join(enough, "node")
+    several = kept.groupBy("group").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
+    return kept.join(several, "group")
 
 
 # --- links and components -------------------------------------------------
@@ -303,36 +319,69 @@ def centre_pairs(groups: DataFrame, seed: int) -> DataFrame:
 
 # --- signature trees ------------------------------------------------------
 
-class SignatureTree:
-    """Sets in the leaves; every node has the OR of its sets' bitmaps, the
-    range of their sizes, and how many elements at most share a bit."""
-
-    def __init__(self, sets: list[np.ndarray], rows: list[int]):
-        sizes = np.array([len(sets[i]) for i in rows])
-        rows = [rows[i] for i in np.lexsort(([int(sets[r][0]) for r in rows], sizes))]
-        bits = 1 << int(np.ceil(np.log2(4 * max(sizes.max(), 16))))
-        self.levels = self._build(sets, rows, min(bits, 1 << 15))
-
-    @staticmethod
-    def _build(sets, rows, bits):
-        def leaf(part):
-            own = np.zeros((len(part), bits // 8), np.uint8)
-            for i, r in enumerate(part):
-                flags = np.zeros(bits, bool)
-                flags[(sets[r] >> np.uint64(7)) & np.uint64(bits - 1)] = True
-                own[i] = np.packbits(flags)
-            n = np.array([len(sets[r]) for r in part])
-            spare = n - np.bitwise_count(own).sum(axis=1)
-            return {"rows": part, "own": own, "bits": np.bitwise_or.reduce(own, axis=0), "lo": n.min(), "hi": n.max(),
-                    "n": n, "spare": spare.max(), "spares": spare, "parts": ()}
-
-        level = [leaf(rows[i:i + LEAF]) for i in range(0, len(rows), LEAF)]
+class Block:
+    """The sets of a block, with their elements numbered from 0, and the
+    components that are known or found within it."""
+
+    def __init__(self, sets: list[np.ndarray], comps: list[int]):
+        self.sizes = np.array([len(x) for x in sets])
+        self.ends = np.concatenate([[0], np.cumsum(self.sizes)])
+        universe, self.ids = np.unique(np.concatenate(sets), return_inverse=True)
+        self.flags = np.zeros(len(universe), bool)
+        bits = 1 << int(np.ceil(np.log2(4 * max(self.sizes.max(), 16))))
+        self.bit = (universe >> np.uint64(7)).astype(np.int64) & (min(bits, 1 << 15) - 1)
+        self.bits = min(bits, 1 << 15)
+        self.parent = {c: c for c in comps}
+        self.comps = comps
+
+    def root(self, i: int) -> int:
+        c = self.comps[i]
+        while self.parent[c] != c:
+            self.parent[c] = self.parent[self.parent[c]]
+            c = self.parent[c]
+        return c
+
+    def elements(self, i: int) -> np.ndarray:
+        return self.ids[self.ends[i]:self.ends[i + 1]]
+
+    def tree(self, rows: list[int]) -> dict:
+        """A binary tree over the sets in order of size.  Its nodes hold the OR
+        of their sets' bitmaps, the range of sizes, and the most elements of
+        one set that share a bit with another."""
+        level = []
+        rows = [rows[i] for i in np.argsort(self.sizes[rows], kind="stable")]
+        for at in range(0, len(rows), LEAF):
+            part, bits, spare = rows[at:at + LEAF], np.zeros(self.bits // 8, np.uint8), 0
+            for r in part:
+                flags = np.zeros(self.bits, bool)
+                flags[self.bit[self.elements(r)]] = True
+                bits |= np.packbits(flags)
+                spare = max(spare, int(self.sizes[r]) - int(flags.sum()))
+            level.append({"rows": part, "bits": bits, "lo": int(self.sizes[part].min()), "hi": int(self.sizes[part].max()),
+                          "spare": spare, "parts": ()})
         while len(level) > 1:
+            odd = level[len(level) - len(level) % 2:]
             level = [{"rows": x["rows"] + y["rows"], "bits": x["bits"] | y["bits"], "lo": min(x["lo"], y["lo"]),
                       "hi": max(x["hi"], y["hi"]), "spare": max(x["spare"], y["spare"]), "parts": (x, y)}
-                     for x, y in zip(level[::2], level[1::2], strict=False)] + level[len(level) - len(level) % 2:]
+                     for x, y in zip(level[::2], level[1::2], strict=False)] + odd
         return level[0]
 
+    def compare(self, left: list[int], right: list[int]) -> Iterator[tuple[int, int]]:
+        """Links between two leaves that join components."""
+        elements = np.concatenate([self.elements(j) for j in right])
+        starts = np.concatenate([[0], np.cumsum(self.sizes[right])[:-1]])
+        n = self.sizes[right]
+        for i in left:
+            own = self.elements(i)
+            self.flags[own] = True
+            both = np.add.reduceat(self.flags[elements], starts, dtype=np.int64)
+            self.flags[own] = False
+            for q in np.flatnonzero(100 * both >= PERCENT * (len(own) + n - both)):
+                a, b = self.root(i), self.root(right[q])
+                if a != b:
+                    self.parent[a] = b
+                    yield i, right[q]
+
 
 def _may_link(x: dict, y: dict) -> bool:
     """Whether some sets of two nodes can overlap enough for their sizes."""
@@ -343,27 +392,19 @@ def _may_link(x: dict, y: dict) -> bool:
 
 
 def tree_links(sets: list[np.ndarray], comps: list[int], left: list[int] | None = None, right: list[int] | None = None) -> list[tuple[int, int]]:
-    """Links that join all components of a block (of two chunks, if given) that links join."""
-    parent: dict[int, int] = {c: c for c in comps}
-
-    def root(c: int) -> int:
-        while parent[c] != c:
-            parent[c] = parent[parent[c]]
-            c = parent[c]
-        return c
-
-    out: list[tuple[int, int]] = []
-    if left is None or right is None:
-        tree = SignatureTree(sets, list(range(len(sets)))).levels
-        stack = [(tree, tree)]
+    """Links that join all components of a block (across two chunks, if given) that links join."""
+    block = Block(sets, comps)
+    if left and right:
+        stack = [(block.tree(left), block.tree(right))]
     else:
-        stack = [(SignatureTree(sets, left).levels, SignatureTree(sets, right).levels)] if left and right else []
+        tree = block.tree(list(range(len(sets))))
+        stack = [(tree, tree)]
+    out: list[tuple[int, int]] = []
     while stack:
         x, y = stack.pop()
-        roots = {root(comps[i]) for i in x["rows"]}
-        if len(roots) == 1 and all(root(comps[i]) in roots for i in y["rows"]):
+        if len({block.root(i) for i in x["rows"]} | {block.root(i) for i in y["rows"]}) == 1:
             continue
-        if x is not y and (x["bits"].shape == y["bits"].shape and not _may_link(x, y)):
+        if x is not y and not _may_link(x, y):
             continue
         if x is y and x["parts"]:
             a, b = x["parts"]
@@ -373,20 +414,7 @@ def tree_links(sets: list[np.ndarray], comps: list[int], left: list[int] | None
         elif y["parts"]:
             stack += [(x, p) for p in y["parts"]]
         else:
-            for p, i in enumerate(x["rows"]):
-                for q, j in enumerate(y["rows"]):
-                    if (x is y and q <= p) or root(comps[i]) == root(comps[j]):
-                        continue
-                    n, m = x["n"][p], y["n"][q]
-                    if min(n, m) * 100 < PERCENT * max(n, m):
-                        continue
-                    if x["own"].shape[1] == y["own"].shape[1]:
-                        most = int(np.bitwise_count(x["own"][p] & y["own"][q]).sum()) + min(x["spares"][p], y["spares"][q])
-                        if most * (100 + PERCENT) < PERCENT * (n + m):
-                            continue
-                    if linked(sets[i], sets[j]):
-                        out.append((i, j))
-                        parent[root(comps[i])] = root(comps[j])
+            out += block.compare(x["rows"], y["rows"])
     return out
 
 
@@ -426,7 +454,7 @@ def open_blocks(groups: DataFrame, tried: DataFrame) -> DataFrame:
     done = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().withColumn("done", F.lit(True))
     spans = spans.join(done, ["a", "b"], "left").where("members > 2 or done is null").select("group", "members")
     chunks = F.ceil(F.col("members") / CHUNK).cast("int")
-    rows = (groups.join(spans, "group").withColumn("chunks", chunks)
+    rows = (groups.drop("members").join(spans, "group").withColumn("chunks", chunks)
             .withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))))
     lo, hi = F.least("chunk", "other"), F.greatest("chunk", "other")
@@ -459,12 +487,13 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     docs = docs.select(docs[id_col].alias("doc_id"), text_key(docs[text_col]).alias("_text"), docs[text_col].alias("text"))
     frequent = spark.sparkContext.broadcast(frequent_shingles(docs))  # MAX_FREQUENT entries at most
     own = saved(document_nodes(docs, frequent))
-    # one document stands for each node; its size class comes from its number of shingles
-    size = F.floor(F.log(F.greatest("n_shingles", F.lit(1))) / F.log(F.lit(1.118))).cast("int")
+    # one document stands for each node
     nodes = saved(own.where("node is not null").groupBy("node").agg(
         F.min(F.struct("doc_id", "_text")).alias("of"), F.min("doc_id").alias("smallest"),
-        F.first("frequent").alias("frequent"), F.first(size).alias("size")))
+        F.first("frequent").alias("frequent"), F.first("n_shingles").alias("n_shingles")))
     groups = saved(rare_groups(docs, frequent, partitions).unionByName(frequent_groups(nodes)))
+    for _ in range(2):  # a group that lost its members lends no shared shingles
+        groups = saved(promising(groups.select("group", "node", "shared"), nodes))
     wanted = groups.select("node").distinct().join(nodes.select("node", "of.doc_id", "of._text"), "node")
     sets = saved(node_sets(docs, wanted))
     comps = saved(sets.select("node", F.col("node").alias("comp")))
@@ -472,7 +501,7 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     for seed in range(ROUNDS):
         now = groups.join(comps, "node")
         if seed:
-            now = now.join(groups.groupBy("group").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > SMALL).select("group"), "group")
+            now = now.where(F.col("members") > SMALL)
         pairs = saved(centre_pairs(now, seed))
         if not pairs.limit(1).count():
             break
