@@ -279,21 +279,27 @@ def compare(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, comp) of every node of the edges (a, b): the smallest node that
-    can be reached.  Each round takes the smallest label next to a node and
-    then that label's own label."""
-    edges = saved(edges.where("a <> b").select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-                  .where("a <> b").distinct())
-    labels = saved(edges.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("comp")))
-    while True:
-        near = (edges.join(labels.withColumnsRenamed({"node": "b", "comp": "m"}), "b")
-                .groupBy(F.col("a").alias("node")).agg(F.min("m").alias("m")))
-        low = labels.join(near, "node").select("node", F.least("comp", "m").alias("low"), "comp")
-        jump = labels.select(F.col("node").alias("low"), F.col("comp").alias("far"))
-        after = saved(low.join(jump, "low", "left").select(
-            "node", F.least("low", F.coalesce("far", "low")).alias("comp"), (F.col("comp") != F.least("low", F.coalesce("far", "low"))).alias("moved")))
-        labels = after.select("node", "comp")
-        if not after.where("moved").limit(1).count():
-            return labels
+    can be reached.  Each round hooks nodes to their smallest neighbour,
+    follows the hooks to their roots, and contracts the edges to roots, which
+    leaves at most half of the nodes."""
+    ordered = [F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")]
+    edges = saved(edges.where("a <> b").select(*ordered).distinct())
+    labels = edges.select(F.explode(F.array("a", "b")).alias("node")).distinct().select("node", F.col("node").alias("comp"))
+    while edges.limit(1).count():
+        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        up = saved(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("up")).select("node", F.least("node", "up").alias("up")))
+        moved = True
+        while moved:
+            above = up.select(F.col("node").alias("up"), F.col("up").alias("top"))
+            jumped = saved(up.join(above, "up").select("node", "top", (F.col("up") != F.col("top")).alias("moved")))
+            up = jumped.select("node", F.col("top").alias("up"))
+            moved = jumped.where("moved").limit(1).count() > 0
+        to = up.select(F.col("node").alias("comp"), "up")
+        labels = saved(labels.join(to, "comp", "left").select("node", F.coalesce("up", "comp").alias("comp")))
+        of = lambda c: up.select(F.col("node").alias(c), F.col("up").alias(f"up_{c}"))  # noqa: E731, B023
+        edges = saved(edges.join(of("a"), "a").join(of("b"), "b").where("up_a <> up_b")
+                      .select(F.col("up_a").alias("a"), F.col("up_b").alias("b")).select(*ordered).distinct())
+    return labels
 
 
 def joined(comps: DataFrame, links: DataFrame) -> DataFrame:

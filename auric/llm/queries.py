@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from auric.llm import decontam, html_extract, jaccard_join, langid, licenses, mixing, quality_classifier, quality_rules, tokens
+from auric.llm import decontam, html_extract, jaccard_join, langid, licenses, mixing, quality_classifier, quality_rules, suffix_dedup, tokens
 from auric.llm.textbatch import table
 
 TOKENIZER = "piece_bpe_32k.model"
@@ -47,6 +47,10 @@ def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.main_text(table(spark, sf_dir, "pages"))
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeated_substrings(table(spark, sf_dir, "documents"))
+
+
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.similar_documents(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
@@ -54,5 +58,5 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_language_id, op2_token_counts, op3_license_scans, op4_mix_sources, op5_quality_rules, op6_quality_classifier,
     op7_decontaminate, op8_html_extraction,
-    op10_jaccard_join)}
+    op9_suffix_dedup, op10_jaccard_join)}
 ORACLES: dict[str, str] = {"op4_mix_sources": mixing.OP4_SQL, "op7_decontaminate": decontam.OP7_SQL}
