@@ -1,11 +1,43 @@
-"""The training-corpus pipeline: stages over `documents`, each written and reread."""
+"""The training-corpus pipeline: stages over `documents`, each written and reread.
+
+Every stage works on all that the one before it kept.  The first four return
+the columns of `documents`; the last adds `copies`, how often a document is
+to be repeated.
+"""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from auric.llm import decontam, jaccard_join, langid, mixing, suffix_dedup
+from auric.llm.textbatch import shared_dir, table
+
+#: A document whose language is less sure than this is rejected.
+MIN_LANGUAGE_SCORE = 0.4
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep documents whose language is known; `lang` stays as it was given."""
+    found = langid.identify(docs, langid.fit(docs))
+    return found.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= MIN_LANGUAGE_SCORE)).select(*docs.columns)
+
 
-from auric.llm import mixing
-from auric.llm.textbatch import saved, table
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep one document of each component of the n-gram Jaccard join."""
+    return jaccard_join.one_of_each(docs)
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Cut what repeats 50 bytes of a document with a smaller id."""
+    return suffix_dedup.without_repeats(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents that hold too much of the benchmark."""
+    return decontam.decontaminate(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -13,8 +45,15 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mix(docs)
 
 
-STAGES = [("mix_sources", mix_sources)]
+STAGES = [
+    ("language_id", language_id),
+    ("near_duplicates", near_duplicates),
+    ("repeated_passages", repeated_passages),
+    ("decontamination", decontamination),
+    ("mix_sources", mix_sources),
+]
 
+#: The language model and the byte-wise cuts have no SQL; tests hold run() against a brute-force version.
 ORACLE_SQL = None
 
 
@@ -24,5 +63,14 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for i, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if i + 1 < len(STAGES):
-            docs = saved(docs)
+            docs = written(docs)
     return docs
+
+
+def written(docs: DataFrame) -> DataFrame:
+    """A stage's result, written as Parquet in the shared folder and read again."""
+    spark = docs.sparkSession
+    shared_dir(spark)
+    path = f"{spark.sparkContext.getCheckpointDir().rstrip('/')}/pipeline-{uuid.uuid4().hex}"
+    docs.write.parquet(path)
+    return spark.read.parquet(path)
