@@ -33,6 +33,8 @@ from auric.llm.textbatch import saved, text_key
 WINDOW = 13
 #: Contaminated: at least one word in this many is hit.
 SHARE = 20
+#: No word of a text: it ends every document's postings.
+END = " "
 #: The benchmark's windows are broadcast up to so many rows (a window takes some 200 bytes).
 BROADCAST_ROWS = 200_000
 #: Rarest words of a window that must stand near each other, and how near.
@@ -78,11 +80,15 @@ def ranked_windows(windows: DataFrame, frequency: DataFrame) -> DataFrame:
 
 def candidates(words: DataFrame, index: DataFrame) -> DataFrame:
     """Starts at which a window's rarest word stands where it should, with
-    `exact`: the whole window follows."""
+    `exact` (the whole window follows) or `near`; and a row with `n_words` for
+    every document."""
     n = index.count()
-    anchors = index.select(F.col("anchor").alias("word")).distinct()
+    end = index.sparkSession.range(1).select(F.lit(END).alias("word"))
+    index = index.withColumnRenamed("anchor", "word").unionByName(end, allowMissingColumns=True)
+    anchors = index.select("word").distinct()
     # positions count from 0; `words` holds every document's own postings
-    postings = words.select("doc_id", "_text", "words", F.posexplode("words").alias("at", "word"))
+    # (an END mark after them meets the index's own row for it, once for every document)
+    postings = words.select("doc_id", "_text", "words", F.posexplode(F.concat("words", F.array(F.lit(END)))).alias("at", "word"))
     if n > BROADCAST_ROWS:  # narrow the postings before the words travel with them
         postings = postings.join(anchors, "word", "left_semi")
     start = F.col("at") - F.col("offset")
@@ -91,17 +97,20 @@ def candidates(words: DataFrame, index: DataFrame) -> DataFrame:
     whole = F.expr("slice(words, at - offset + 1, len)") == F.col("window")
     near = F.slice("words", F.greatest(start - NEAR_SLACK, F.lit(0)) + 1, F.col("len") + 2 * NEAR_SLACK)
     close = F.size(F.array_intersect(near, "rare")) == F.size("rare")
-    joined = postings.join(small(index.withColumnRenamed("anchor", "word"), n), "word")
+    joined = postings.join(small(index, n), "word")
     exact = F.coalesce(inside & second & whole, F.lit(False))
+    last = F.col("word") == END
     return (joined.select("doc_id", "_text", "item_id", start.alias("start"), "len",
-                          exact.alias("exact"), (~exact & (F.col("len") > NEAR_WORDS) & close).alias("near"))
-            .where("exact or near"))
+                          exact.alias("exact"), F.coalesce(~exact & (F.col("len") > NEAR_WORDS) & close, F.lit(False)).alias("near"),
+                          F.when(last, F.col("at").cast("long")).alias("n_words"))
+            .where("exact or near or n_words is not null"))
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, id_col: str = "doc_id",
             text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
     """Exact and proximity matches: (doc_id, item_id, start, len, exact, near)."""
-    return candidates(*_index(docs, benchmark, size, id_col, text_col, item_col, item_text)).drop("_text")
+    found = candidates(*_index(docs, benchmark, size, id_col, text_col, item_col, item_text))
+    return found.where("n_words is null").drop("_text", "n_words")
 
 
 def _index(docs, benchmark, size, id_col, text_col, item_col, item_text):
@@ -136,13 +145,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, sha
     """
     found = saved(candidates(*_index(docs, benchmark, size, id_col, text_col, item_col, item_text)))
     names = F.array_sort(F.collect_set(F.when(F.col("exact"), F.col("item_id").cast("string"))))
-    items = (found.groupBy("doc_id", "_text").agg(names.alias("items"),
+    items = (found.where("n_words is null").groupBy("doc_id", "_text").agg(names.alias("items"),
                                                   F.countDistinct(F.when(F.col("near"), F.col("item_id"))).alias("n_near_items")))
     hits = _hit_words(found)
-    # on raw text the word rule is the same with A-Z among the word characters
-    n_words = F.coalesce(F.regexp_count(docs[text_col], F.lit(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")), F.lit(0))
-    rows = docs.select(docs[id_col].alias("doc_id"), text_key(docs[text_col]).alias("_text"),
-                       n_words.cast("long").alias("n_words"))
+    rows = found.where("n_words is not null").select("doc_id", "_text", "n_words")
     for part in (items, hits):
         side = part.withColumnsRenamed({"doc_id": "_id", "_text": "_t"})
         rows = rows.join(side, rows["doc_id"].eqNullSafe(side["_id"]) & (rows["_text"] == side["_t"]), "left").drop("_id", "_t")

@@ -71,8 +71,11 @@ WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
 def lower_az(text: Column) -> Column:
-    """A-Z in lower case, every other character as it is."""
-    return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    """A-Z in lower case, every other character as it is.
+
+    lower() does the same on text that is all ASCII, several times faster."""
+    return F.when(text.rlike(r"[^\x00-\x7F]"),
+                  F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")).otherwise(F.lower(text))
 
 
 def word_array(text: Column) -> Column:
