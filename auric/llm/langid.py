@@ -140,11 +140,10 @@ def inverse_frequency(df: np.ndarray, total: int) -> np.ndarray:
 def bounded_sample(learn: DataFrame, bound: int = MAX_SAMPLE) -> DataFrame:
     """An even draw from the languages: each gives the share of its documents
     whose hash is small enough that about bound / languages remain."""
-    counts = learn.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    n_langs = counts.count()
-    share = F.lit(bound / max(n_langs, 1)) / F.col("n")
+    counts = learn.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()  # a row for each language
+    shares = F.create_map(*[F.lit(v) for r in counts for v in (r["lang"], bound / len(counts) / r["n"])])
     place = F.pmod(F.xxhash64(F.lit("langid"), "doc_id", "text"), F.lit(1 << 30)) / float(1 << 30)
-    return learn.join(counts, "lang").where(place < share).select(
+    return learn.where(place < shares[F.col("lang")]).select(
         "lang", "text", F.pmod(F.xxhash64("doc_id", F.lit("part")), F.lit(CALIBRATION)).alias("part"))
 
 
