@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from auric.llm.textbatch import LOWER, gram_hash, mix64, prefix_hash, runs, saved, span_hash, text_key, words
+from auric.llm.textbatch import LOWER, gram_hash, mix64, prefix_hash, runs, saved, span_hash, text_key, words, written
 
 SHINGLE = 5
 #: One shingle in so many is added to a prefix.
@@ -283,21 +283,21 @@ def components(edges: DataFrame) -> DataFrame:
     follows the hooks to their roots, and contracts the edges to roots, which
     leaves at most half of the nodes."""
     ordered = [F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")]
-    edges = saved(edges.where("a <> b").select(*ordered).distinct())
+    edges = written(edges.where("a <> b").select(*ordered).distinct())
     labels = edges.select(F.explode(F.array("a", "b")).alias("node")).distinct().select("node", F.col("node").alias("comp"))
     while edges.limit(1).count():
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        up = saved(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("up")).select("node", F.least("node", "up").alias("up")))
+        up = written(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("up")).select("node", F.least("node", "up").alias("up")))
         moved = True
         while moved:
             above = up.select(F.col("node").alias("up"), F.col("up").alias("top"))
-            jumped = saved(up.join(above, "up").select("node", "top", (F.col("up") != F.col("top")).alias("moved")))
+            jumped = written(up.join(above, "up").select("node", "top", (F.col("up") != F.col("top")).alias("moved")))
             up = jumped.select("node", F.col("top").alias("up"))
             moved = jumped.where("moved").limit(1).count() > 0
         to = up.select(F.col("node").alias("comp"), "up")
-        labels = saved(labels.join(to, "comp", "left").select("node", F.coalesce("up", "comp").alias("comp")))
+        labels = written(labels.join(to, "comp", "left").select("node", F.coalesce("up", "comp").alias("comp")))
         of = lambda c: up.select(F.col("node").alias(c), F.col("up").alias(f"up_{c}"))  # noqa: E731, B023
-        edges = saved(edges.join(of("a"), "a").join(of("b"), "b").where("up_a <> up_b")
+        edges = written(edges.join(of("a"), "a").join(of("b"), "b").where("up_a <> up_b")
                       .select(F.col("up_a").alias("a"), F.col("up_b").alias("b")).select(*ordered).distinct())
     return labels
 
@@ -307,7 +307,7 @@ def joined(comps: DataFrame, links: DataFrame) -> DataFrame:
     of = lambda c: comps.select(F.col("node").alias(c), F.col("comp").alias(f"comp_{c}"))
     edges = links.join(of("a"), "a").join(of("b"), "b").select(F.col("comp_a").alias("a"), F.col("comp_b").alias("b"))
     change = components(edges).select(F.col("node").alias("comp"), F.col("comp").alias("to"))
-    return saved(comps.join(change, "comp", "left").select("node", F.coalesce("to", "comp").alias("comp")))
+    return written(comps.join(change, "comp", "left").select("node", F.coalesce("to", "comp").alias("comp")))
 
 
 def centre_pairs(groups: DataFrame, seed: int) -> DataFrame:
@@ -502,20 +502,20 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         groups = saved(promising(groups.select("group", "node", "shared"), nodes))
     wanted = groups.select("node").distinct().join(nodes.select("node", "of.doc_id", "of._text"), "node")
     sets = saved(node_sets(docs, wanted))
-    comps = saved(sets.select("node", F.col("node").alias("comp")))
+    comps = written(sets.select("node", F.col("node").alias("comp")))
     tried = None
     for seed in range(ROUNDS):
         now = groups.join(comps, "node")
         if seed:
             now = now.where(F.col("members") > SMALL)
-        pairs = saved(centre_pairs(now, seed))
+        pairs = written(centre_pairs(now, seed))
         if not pairs.limit(1).count():
             break
         tried = pairs if tried is None else tried
         comps = joined(comps, compare(pairs, sets))
     if tried is not None:
         blocks = open_blocks(groups.join(comps, "node"), tried).join(sets, "node")
-        comps = joined(comps, saved(block_links(blocks)))
+        comps = joined(comps, block_links(blocks))
     named = nodes.select("node", "smallest").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     names = named.groupBy("comp").agg(F.min("smallest").alias("component_id"))
     of_node = named.join(names, "comp").select("node", "component_id")

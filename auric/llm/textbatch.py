@@ -7,6 +7,7 @@ Null texts count as empty.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -61,6 +62,18 @@ def saved(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame) -> DataFrame:
+    """Cut lineage by a Parquet table in the shared checkpoint folder.
+
+    For results that go round a loop: unlike a checkpoint, the table read back
+    doesn't carry the plan's constraints, which multiply from round to round.
+    """
+    shared_dir(df.sparkSession)
+    path = f"{df.sparkSession.sparkContext.getCheckpointDir().rstrip('/')}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def runs(column: pa.Array, limit: int = RUN_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Cut a string column into runs of whole texts: (first row, end row, bytes, offsets)."""
     if isinstance(column, pa.ChunkedArray):

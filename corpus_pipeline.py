@@ -7,13 +7,11 @@ to be repeated.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from auric.llm import decontam, jaccard_join, langid, mixing, suffix_dedup
-from auric.llm.textbatch import shared_dir, table
+from auric.llm.textbatch import table, written
 
 #: A document whose language is less sure than this is rejected.
 MIN_LANGUAGE_SCORE = 0.4
@@ -66,11 +64,3 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             docs = written(docs)
     return docs
 
-
-def written(docs: DataFrame) -> DataFrame:
-    """A stage's result, written as Parquet in the shared folder and read again."""
-    spark = docs.sparkSession
-    shared_dir(spark)
-    path = f"{spark.sparkContext.getCheckpointDir().rstrip('/')}/pipeline-{uuid.uuid4().hex}"
-    docs.write.parquet(path)
-    return spark.read.parquet(path)
