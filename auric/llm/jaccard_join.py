@@ -14,12 +14,12 @@ sets are one *node*.  Two nodes link when 100 * |A and B| >= 80 * |A or B|.
 2. Rounds of contraction: each member of a group is compared with one seeded
    centre of it, and what links is joined to one component.  This takes a
    comparison per node and round, also in a group of very many near copies.
-3. Groups whose members are still in several components are searched whole
-   with a *signature tree*: its nodes hold the bitmaps of their sets combined
+3. Groups whose members are still in several components are gathered into
+   blocks, and each block is searched with a *signature tree*: its nodes hold the bitmaps of their sets combined
    by OR and their range of sizes, and a dual traversal leaves out pairs of
    nodes whose largest possible overlap is too small for their sizes or whose
-   members are in one component already.  Large groups are cut into chunks,
-   and every pair of chunks is searched.
+   members are in one component already.  What is too large for a block is
+   cut into chunks, and every pair of chunks is searched.
 
 So every pair that may link is compared or already connected, and components
 are exact.  Texts travel once, to the documents of groups; links, components
@@ -39,7 +39,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from auric.llm.textbatch import LOWER, gram_hash, mix64, prefix_hash, runs, saved, span_hash, text_key, words, written
@@ -53,9 +53,9 @@ PERCENT = 80
 #: frequent from so many texts of the sample on; so many are listed at most.
 SAMPLE, FREQUENT, MAX_FREQUENT = 16, 4, 1 << 17
 #: Rounds of contraction after the first, for groups with more members than SMALL.
-ROUNDS, SMALL = 4, 8
+ROUNDS, SMALL = 3, 8
 #: Members of a chunk of a large group, and sets of a leaf of the tree.
-CHUNK, LEAF = 2000, 32
+CHUNK, LEAF = 4000, 32
 #: Prefix shingles that a task deals to the buckets at a time.
 FLUSH_ROWS = 1 << 19
 BUCKETS_PER_PARTITION = 8
@@ -452,19 +452,33 @@ def block_links(rows: DataFrame) -> DataFrame:
             .mapInArrow(run, "a long, b long"))
 
 
-def open_blocks(groups: DataFrame, tried: DataFrame) -> DataFrame:
-    """(block, side, node, comp) for the groups (group, node, size, comp) with
-    several components, without the pairs that have been compared."""
-    spans = groups.groupBy("group").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("members"),
-                                        F.min("node").alias("a"), F.max("node").alias("b")).where("lo <> hi")
-    done = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().withColumn("done", F.lit(True))
-    spans = spans.join(done, ["a", "b"], "left").where("members > 2 or done is null").select("group", "members")
-    chunks = F.ceil(F.col("members") / CHUNK).cast("int")
-    rows = (groups.drop("members").join(spans, "group").withColumn("chunks", chunks)
-            .withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
-            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))))
+def open_blocks(groups: DataFrame) -> DataFrame:
+    """(block, side, node, comp) for the groups (group, node, comp) with
+    several components, so that every two nodes of a group meet in a block.
+
+    Groups that hang together through their nodes form a cluster.  A cluster
+    is a block, or where it is large one for every pair of its chunks; where
+    its groups have fewer rows than that in all, each group is treated so.
+    """
+    spans = groups.groupBy("group").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min("node").alias("a")).where("lo <> hi")
+    rows = written(groups.join(spans.select("group", "a"), "group").select("group", "a", "node", "comp"))
+    clusters = components(rows.select("a", F.col("node").alias("b")))
+    placed = written(rows.drop("a").join(clusters.withColumnRenamed("comp", "cluster"), "node"))
+    members = placed.select("cluster", "node", "comp").distinct()
+    chunks = F.ceil(F.col("n") / CHUNK).cast("int")
+    by_group = placed.groupBy("cluster", "group").agg(F.count(F.lit(1)).alias("n")).withColumn("chunks", chunks)
+    by_cluster = members.groupBy("cluster").agg(F.count(F.lit(1)).alias("n")).withColumn("chunks", chunks)
+    costs = (by_group.groupBy("cluster").agg(F.sum(F.col("n") * F.col("chunks")).alias("cost"))
+             .join(by_cluster, "cluster").withColumn("whole", F.col("n") * F.col("chunks") <= F.col("cost")))
+    whole = members.join(costs.where("whole").select("cluster", "chunks"), "cluster").withColumn("name", F.concat(F.lit("c"), "cluster"))
+    apart = (placed.join(by_group.join(costs.where("not whole").select("cluster"), "cluster").select("group", "chunks"), "group")
+             .withColumn("name", F.concat(F.lit("g"), "group")))
+    columns = ["name", "node", "comp", "chunks"]
+    dealt = (whole.select(columns).unionByName(apart.select(columns))
+             .withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))))
     lo, hi = F.least("chunk", "other"), F.greatest("chunk", "other")
-    return rows.select(F.concat_ws(":", "group", lo, hi).alias("block"), (F.col("chunk") > F.col("other")).cast("int").alias("side"), "node", "comp")
+    return dealt.select(F.concat_ws(":", "name", lo, hi).alias("block"), (F.col("chunk") > F.col("other")).cast("int").alias("side"), "node", "comp")
 
 
 # --- the join -------------------------------------------------------------
@@ -487,7 +501,8 @@ def node_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, _text, n_shingles, node, component_id) of every document."""
+    """(doc_id, _text, n_shingles, comp, component_id) of every document; `comp`
+    is the component's key, which tells rows with one id apart."""
     spark = docs.sparkSession
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     docs = docs.select(docs[id_col].alias("doc_id"), text_key(docs[text_col]).alias("_text"), docs[text_col].alias("text"))
@@ -503,7 +518,6 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     wanted = groups.select("node").distinct().join(nodes.select("node", "of.doc_id", "of._text"), "node")
     sets = saved(node_sets(docs, wanted))
     comps = written(sets.select("node", F.col("node").alias("comp")))
-    tried = None
     for seed in range(ROUNDS):
         now = groups.join(comps, "node")
         if seed:
@@ -511,35 +525,32 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         pairs = written(centre_pairs(now, seed))
         if not pairs.limit(1).count():
             break
-        tried = pairs if tried is None else tried
         comps = joined(comps, compare(pairs, sets))
-    if tried is not None:
-        blocks = open_blocks(groups.join(comps, "node"), tried).join(sets, "node")
-        comps = joined(comps, block_links(blocks))
+    blocks = open_blocks(groups.select("group", "node").join(comps, "node")).join(sets, "node")
+    comps = joined(comps, block_links(blocks))
     named = nodes.select("node", "smallest").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     names = named.groupBy("comp").agg(F.min("smallest").alias("component_id"))
-    of_node = named.join(names, "comp").select("node", "component_id")
+    of_node = named.join(names, "comp").select("node", "comp", "component_id")
     return own.join(of_node, "node", "left").select(
-        "doc_id", "_text", "n_shingles", "node",
+        "doc_id", "_text", "n_shingles", "comp",
         F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The documents without those that are linked with one of a smaller id,
-    with all their columns.  Of rows with the smallest id of a component the
-    one with the smallest text fingerprint stays, once."""
-    found = similar_documents(docs)
-    group = F.when(F.col("component_id").isNotNull() & F.col("node").isNotNull(), F.col("component_id"))
-    first = Window.partitionBy("group").orderBy(F.col("doc_id").asc_nulls_last(), "_text")
-    kept = (found.withColumn("group", group).where("group is null or doc_id = group")
-            .withColumn("place", F.when(F.col("group").isNotNull(), F.row_number().over(first)).otherwise(1))
-            .where("place = 1").select(F.col("doc_id").alias("_id"), F.col("_text").alias("_t")).distinct())
+    """The documents with one of each component (that of the smallest id), with
+    all their columns; those without shingles stay."""
+    found = saved(similar_documents(docs))
+    first = (found.where("comp is not null").groupBy("comp")
+             .agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_text")).alias("f")).select("f.doc_id", "f._text"))
+    kept = (found.where("comp is null").select("doc_id", "_text").unionByName(first)
+            .withColumnsRenamed({"doc_id": "_id", "_text": "_t"}).distinct())
     out = docs.join(kept, docs["doc_id"].eqNullSafe(kept["_id"]) & (text_key(docs["text"]) == kept["_t"]), "left_semi")
-    repeated = (found.where("node is not null and doc_id is not null").groupBy("doc_id", "_text")
+    repeated = (found.where("comp is not null").groupBy("doc_id", "_text")
                 .agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
     if not repeated.limit(1).count():
         return out
     # rows repeated with their id: one of them stays
-    return out.withColumn("_t", F.when(F.col("doc_id").isNull() | (F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")) < 1),
-                                       F.monotonically_increasing_id()).otherwise(text_key(out["text"]))
-                          ).dropDuplicates(["doc_id", "_t"]).drop("_t")
+    blank = ~F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    rows = out.select(F.struct(*[out[c] for c in out.columns]).alias("_row"), out["doc_id"].alias("_id"),
+                      F.when(blank, F.monotonically_increasing_id()).otherwise(text_key(out["text"])).alias("_t"), blank.alias("_blank"))
+    return rows.dropDuplicates(["_id", "_t", "_blank"]).select("_row.*")
