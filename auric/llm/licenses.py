@@ -8,9 +8,9 @@ intersected with it.
 
 * A *phrase* template matches where all its words stand consecutively: the
   intersection of all its shifted postings.
-* A *text* template matches where its rarest words agree on a start, most of
-  its words (`COVERAGE`) follow from there, and its mandatory key phrase
-  stands among them word for word.
+* A *text* template matches where at least `VOTES` of its `RARE` rarest words
+  agree on a start, most of its words (`COVERAGE`) follow from there, and its
+  mandatory key phrase stands among them word for word.
 
 Everything happens within a row by array functions, so a scan needs no
 shuffle beyond the count of the templates' words (a fixed, small set).
@@ -63,8 +63,8 @@ NOTICES = (
 COVERAGE = 0.8
 #: Words that may be inserted or missing before a rare word or after the end.
 SLACK = 4
-#: Rarest words of a text template that must agree on its start.
-VOTES = 2
+#: Rarest words by which a text template is looked up, and how many must agree.
+RARE, VOTES = 4, 2
 
 # Fixed value: the contract's word rule, on text with A-Z in lower case.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -127,11 +127,9 @@ def _phrase_starts(t: Template, frequency: dict[str, int]) -> Column:
 
 def _text_matches(t: Template, frequency: dict[str, int]) -> Column:
     """(start, share of the template's words) at every start that verifies."""
-    rare = t.rarest(frequency)[:VOTES]
-    starts = F.array_distinct(_shifted(*rare[0]))
-    for word, offset in rare[1:]:
-        other = _shifted(word, offset)
-        starts = F.filter(starts, lambda s: F.exists(other, lambda o: F.abs(o - s) <= SLACK))  # noqa: B023
+    lists = F.array(*[_shifted(*r) for r in t.rarest(frequency)[:RARE]])
+    starts = F.filter(F.array_distinct(F.flatten(lists)), lambda s: F.size(F.filter(
+        lists, lambda of: F.exists(of, lambda o: F.abs(o - s) <= SLACK))) >= VOTES)
     vocabulary = sorted(set(t.words))
     key = " " + " ".join(t.key) + " "
 
@@ -151,10 +149,10 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     vocabulary = sorted({w for t in all_templates for w in t.words})
     words = docs.select(docs[id_col].alias("id"), word_array(docs[text_col]).alias("words"))
     frequency = word_frequency(words, vocabulary)
-    anchors = sorted({t.rarest(frequency)[0][0] for t in all_templates})
-    indexed = sorted({w for t in all_templates if t.base for w in t.words}
-                     | {w for t in all_templates for w, _ in t.rarest(frequency)[:VOTES]})
-    # postings only where a file holds some template's rarest word
+    rare = {w for t in all_templates if not t.base for w, _ in t.rarest(frequency)[:RARE]}
+    anchors = sorted({t.rarest(frequency)[0][0] for t in all_templates if t.base} | rare)
+    indexed = sorted({w for t in all_templates if t.base for w in t.words} | rare)
+    # postings only where a file holds some template's rare word
     postings = F.when(
         F.arrays_overlap("words", _literal(anchors)),
         F.filter(F.transform("words", lambda w, i: F.struct(w.alias("word"), i.alias("at"))),
