@@ -85,19 +85,23 @@ def candidates(words: DataFrame, index: DataFrame) -> DataFrame:
     n = index.count()
     end = index.sparkSession.range(1).select(F.lit(END).alias("word"))
     index = index.withColumnRenamed("anchor", "word").unionByName(end, allowMissingColumns=True)
-    anchors = index.select("word").distinct()
     # positions count from 0; `words` holds every document's own postings
     # (an END mark after them meets the index's own row for it, once for every document)
-    postings = words.select("doc_id", "_text", "words", F.posexplode(F.concat("words", F.array(F.lit(END)))).alias("at", "word"))
-    if n > BROADCAST_ROWS:  # narrow the postings before the words travel with them
-        postings = postings.join(anchors, "word", "left_semi")
+    posting = F.posexplode(F.concat("words", F.array(F.lit(END)))).alias("at", "word")
+    if n <= BROADCAST_ROWS:
+        joined = words.select("doc_id", "_text", "words", posting).join(F.broadcast(index), "word")
+    else:  # postings meet the index without the words, which are joined again once a document
+        found = (words.select("doc_id", "_text", posting).join(index, "word")
+                 .groupBy("doc_id", "_text").agg(F.collect_set(F.struct("at", *index.columns)).alias("found"))
+                 .withColumnsRenamed({"doc_id": "_id", "_text": "_t"}))
+        joined = (words.join(found, words["doc_id"].eqNullSafe(found["_id"]) & (words["_text"] == found["_t"]))
+                  .select("doc_id", "_text", "words", F.inline("found")))
     start = F.col("at") - F.col("offset")
     inside = (start >= 0) & (start + F.col("len") <= F.size("words"))
     second = F.col("second").isNull() | (F.get("words", F.col("at") + F.col("step")) == F.col("second"))
     whole = F.expr("slice(words, at - offset + 1, len)") == F.col("window")
     near = F.slice("words", F.greatest(start - NEAR_SLACK, F.lit(0)) + 1, F.col("len") + 2 * NEAR_SLACK)
     close = F.size(F.array_intersect(near, "rare")) == F.size("rare")
-    joined = postings.join(small(index, n), "word")
     exact = F.coalesce(inside & second & whole, F.lit(False))
     last = F.col("word") == END
     return (joined.select("doc_id", "_text", "item_id", start.alias("start"), "len",
