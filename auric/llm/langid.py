@@ -249,7 +249,8 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
 
     # one task: the sample is bounded by MAX_SAMPLE
     model = (bounded_sample(learn).withColumn("one", F.lit(0)).groupBy("one").applyInPandas(learn_all, "lang string, weights binary")
-             .orderBy("lang").collect())
+             .collect())
+    model.sort(key=lambda r: r["lang"])
     w = np.array([np.frombuffer(r["weights"], np.float32) for r in model]).reshape(len(model), FEATURES + 1).T
     return Model([r["lang"] for r in model], np.ascontiguousarray(w[:-1]), w[-1].astype(np.float64))
 
