@@ -36,25 +36,16 @@ def as_strict_int(c: str | Column) -> Column:
     return F.when(s.rlike(INT_PATTERN), s.try_cast("int"))
 
 
-MAX_MAPPED_DOMAIN = 1024
-
-
 def normalize_domain(c: str | Column, lo: int = PRIORITY_LO, hi: int = PRIORITY_HI,
                      labels: Mapping[str, int] | None = None) -> Column:
     """Clean value in ``lo..hi`` or NULL.
 
-    Written with map lookups so the input is referenced three times (not once
-    per label and range bound): when the input is itself a computed column,
-    the optimizer inlines it into every reference.
+    Labels are one map lookup, so the input isn't referenced once per label.
     """
     labels = PRIORITY_LABELS if labels is None else labels
     s = _col(c)
     n = as_strict_int(s)
-    if hi - lo < MAX_MAPPED_DOMAIN:
-        allowed = F.create_map(*[x for v in range(lo, hi + 1) for x in (F.lit(v), F.lit(v))])
-        number = F.try_element_at(allowed, n)
-    else:
-        number = F.when(n.between(lo, hi), n)
+    number = F.when(n.between(lo, hi), n)
     names = F.create_map(*[x for k, v in labels.items() for x in (F.lit(k.lower()), F.lit(v))])
     label = F.try_element_at(names, F.lower(F.trim(s)))
     return F.coalesce(number, label.cast("int"))

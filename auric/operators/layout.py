@@ -29,21 +29,37 @@ from pyspark.sql import functions as F
 TARGET_FILE_BYTES = 128 * 1024 * 1024
 
 
+class CompactionError(RuntimeError):
+    """The compacted copy doesn't hold the rows of its source."""
+
+
+# Catalyst's "unknown" is the largest long; a join's estimate is a product of
+# its sides' and says nothing about the result.
+UNKNOWN_BYTES = 1 << 62
+
+
 def estimated_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate of a plan (from file sizes for a scan)."""
-    try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-    except Exception:  # noqa: BLE001 - estimate is optional
+    """Catalyst's size estimate of a plan without joins (from file sizes for a scan); None if it has none."""
+    plan = df._jdf.queryExecution().optimizedPlan()
+    size = int(str(plan.stats().sizeInBytes()))
+    if size >= UNKNOWN_BYTES or "Join" in plan.toString():
         return None
+    return size
+
+
+def table_bytes(df: DataFrame) -> int:
+    """Size of a result: the estimate, or else its rows times the schema's default row size."""
+    size = estimated_bytes(df)
+    return df.count() * int(df._jdf.schema().defaultSize()) if size is None else size
 
 
 def compact(df: DataFrame, dst: str, partition_by: str = "event_date",
             sort_by: Sequence[str] = ("customer_name", "event_time"),
             n_tasks: int | None = None, target_file_bytes: int = TARGET_FILE_BYTES,
             row_group_bytes: int | None = None, max_records_per_file: int | None = None) -> None:
+    """Rewrite ``df`` into ``dst``; fails if the rows written are not those read."""
     if n_tasks is None:
-        size = estimated_bytes(df) or target_file_bytes
-        n_tasks = max(1, math.ceil(size / target_file_bytes))
+        n_tasks = max(1, math.ceil(table_bytes(df) / target_file_bytes))
     keys = [partition_by, *sort_by]
     out = df.repartitionByRange(n_tasks, *keys).sortWithinPartitions(*keys)
     w = out.write.mode("overwrite").partitionBy(partition_by)
@@ -52,6 +68,9 @@ def compact(df: DataFrame, dst: str, partition_by: str = "event_date",
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", str(max_records_per_file))
     w.parquet(dst)
+    before, after = df.count(), df.sparkSession.read.parquet(dst).count()
+    if before != after:
+        raise CompactionError(f"compaction of {before} rows wrote {after} to {dst}")
 
 
 def file_stats(df: DataFrame) -> DataFrame:

@@ -257,9 +257,8 @@ def _save_meta(spark: SparkSession, path: str, meta: dict) -> None:
 
 def size_buckets(df: DataFrame, target_bytes: int = TARGET_BUCKET_BYTES) -> int:
     """Bucket count for a table whose first load is ``df``: ~target bytes each."""
-    from auric.operators.layout import estimated_bytes
-    size = estimated_bytes(df) or 0
-    return max(1, math.ceil(size / target_bytes))
+    from auric.operators.layout import table_bytes
+    return max(1, math.ceil(table_bytes(df) / target_bytes))
 
 
 def with_bucket(df: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
@@ -303,6 +302,7 @@ def merge_upsert(df: DataFrame, path: str, keys: str | Sequence[str],
     keys = _keys(keys)
     df = stage(df, "merge")
     try:
+        recover_refresh(spark, path)
         meta = table_meta(spark, path) if fs.has_data(spark, path) else {}
         if meta:
             if meta.get("keys") != keys:
@@ -325,18 +325,15 @@ def merge_upsert(df: DataFrame, path: str, keys: str | Sequence[str],
 
 
 def rebucket(spark: SparkSession, path: str, buckets: int) -> None:
-    """Rewrite a bucketed table with a new bucket count (full rewrite)."""
+    """Rewrite a bucketed table with a new bucket count (full rewrite).
+
+    The new layout is written next to the table, with its metadata, and
+    swapped in only when it is complete; a failure before leaves the table."""
     meta = table_meta(spark, path)
     if not meta:
         raise WriteError(f"{path} is not a bucketed table")
     rows = read_table(spark, path).drop(BUCKET_COL)
-    staged = stage(rows, "rebucket", force=True)      # a real copy: the folder is replaced
-    try:
-        fs.delete(spark, path)
-        _dynamic_overwrite(with_bucket(staged, meta["keys"], buckets), path, BUCKET_COL)
-        _save_meta(spark, path, dict(meta, buckets=buckets))
-    finally:
-        _unstage(staged)
+    full_refresh(with_bucket(rows, meta["keys"], buckets), path, BUCKET_COL, dict(meta, buckets=buckets))
 
 
 def delete_insert(df: DataFrame, path: str, keys: str | Sequence[str], partition_col: str,
@@ -430,6 +427,8 @@ def _rewrite(new: DataFrame, path: str, keys: list[str], partition_col: str, on_
     spark = new.sparkSession
     batch = new
     if on_match in ("earliest", "latest"):
+        if new.where(F.greatest(*[F.col(k).isNull() for k in keys], F.lit(False))).limit(1).count():
+            raise WriteError(f"NULL in key {keys}")     # _pick would fold such rows into one
         batch = _pick(new, keys, on_match, order_by)    # several rows per key inside the batch
         check_keys = False
     touched = _inspect_batch(batch, keys, partition_col, check_keys, limit)

@@ -68,22 +68,17 @@ def concurrently(*steps: Callable[[], None]) -> None:
             f.result()
 
 
-# Below this much Bronze, rebuilding Silver costs less than merging a day
-# into it (a merge is several small jobs); above it, a rebuild re-reads all
-# history every day and the per-day refresh wins.
-SILVER_REBUILD_MAX_BYTES = 1 << 30
-
-
 def run_day(spark: SparkSession, feeds: Mapping[str, DataFrame], layout: Layout,
             run_date: dt.date | str, lookback: int = DEFAULT_LOOKBACK_DAYS,
-            incremental_silver: bool | None = None, propagate_deletes: bool = False) -> None:
+            incremental_silver: bool = False, propagate_deletes: bool = False) -> None:
     """One operational day; each layer's tables are written concurrently,
     layers in order (Bronze → Silver → Gold).
 
-    ``incremental_silver``: ``True`` refreshes Silver from the day's Bronze
-    partition (work proportional to the day), ``False`` rebuilds it from all
-    of Bronze (as the reference does), ``None`` picks by Bronze size.  Both
-    write the same layout and give the same tables (tests).
+    ``incremental_silver``: ``False`` rebuilds Silver from all of Bronze (as
+    the reference does), ``True`` refreshes it from the day's Bronze partition
+    (work proportional to the day).  Both write the same layout, and give the
+    same tables as long as no loaded day is reloaded with other rows: only a
+    rebuild takes corrections of a day back out of Silver.
     """
     load_bronze(feeds, layout, run_date)
     refresh_silver(spark, layout, run_date, incremental_silver)
@@ -97,14 +92,10 @@ def load_bronze(feeds: Mapping[str, DataFrame], layout: Layout, run_date) -> Non
 
 
 def refresh_silver(spark: SparkSession, layout: Layout, run_date,
-                   incremental_silver: bool | None = None) -> None:
+                   incremental_silver: bool = False) -> None:
     b = {n: bronze.read_bronze(spark, layout.bronze_root, n) for n in FEEDS}
     paths = {n: layout.path("silver", n) for n in ("tickets", "ticket_state", "quarantine",
                                                      "events", "transcripts")}
-    if incremental_silver is None:
-        from auric.operators.layout import estimated_bytes
-        size = sum(estimated_bytes(df) or 0 for df in b.values())
-        incremental_silver = size > SILVER_REBUILD_MAX_BYTES
     if incremental_silver:
         day = {n: bronze.read_bronze(spark, layout.bronze_root, n, only=run_date)
                .drop(bronze.BATCH_COL) for n in FEEDS}
@@ -137,7 +128,7 @@ def _update_gold(spark: SparkSession, layout: Layout, run_date, lookback: int,
 def replay(spark: SparkSession, feeds: Mapping[str, DataFrame], layout: Layout,
            dates: Sequence[dt.date | str], lookback: int = DEFAULT_LOOKBACK_DAYS,
            after_day: Callable[[dt.date], None] | None = None,
-           incremental_silver: bool | None = None, propagate_deletes: bool = False) -> None:
+           incremental_silver: bool = False, propagate_deletes: bool = False) -> None:
     for d in sorted(as_date(x) for x in dates):
         run_day(spark, feeds, layout, d, lookback, incremental_silver, propagate_deletes)
         if after_day:

@@ -134,3 +134,48 @@ def test_merge_grows_buckets_with_the_table(spark, work):
     t = W.read_table(spark, path)
     assert t.count() == 20000 and t.select("k").distinct().count() == 20000
     assert t.where(F.col("_bucket") >= meta["buckets"]).count() == 0
+
+
+def test_size_estimate_and_compaction_tasks(spark, work):
+    from auric.operators import layout
+    src, dst = work("big"), work("compacted")
+    spark.range(200_000).selectExpr("id", "id % 7 AS event_date", "cast(id AS string) AS customer_name", "id AS event_time").write.parquet(src)
+    df = spark.read.parquet(src)
+    size = layout.estimated_bytes(df)
+    assert size and abs(size - fs_bytes(spark, src)) < size
+    assert layout.estimated_bytes(df.join(df.select("id"), "id")) is None
+    assert layout.table_bytes(df.join(df.select("id"), "id")) > 200_000 * 8
+    layout.compact(df, dst, target_file_bytes=size // 4)
+    assert spark.read.parquet(dst).select("event_date").inputFiles().__len__() > 7
+    assert W.size_buckets(df, size // 4) == 4 or W.size_buckets(df, size // 4) == 5
+
+
+def fs_bytes(spark, path):
+    from auric.sources import fs
+    return fs.total_bytes(spark, path)
+
+
+def test_failed_rebucket_leaves_the_table(spark, work, monkeypatch):
+    path = work("rebucket")
+    W.merge_upsert(spark.range(100).selectExpr("id", "id AS v"), path, "id", buckets=2)
+
+    def fail(*_a, **_k):
+        raise RuntimeError("injected")
+    monkeypatch.setattr(W.fs, "rename", fail)
+    with pytest.raises(RuntimeError):
+        W.rebucket(spark, path, 5)
+    monkeypatch.undo()
+    assert W.recover_refresh(spark, path)
+    assert W.read_table(spark, path).count() == 100 and W.table_meta(spark, path)["buckets"] == 5
+    monkeypatch.setattr(W, "_save_meta", fail)
+    with pytest.raises(RuntimeError):
+        W.rebucket(spark, path, 7)
+    monkeypatch.undo()
+    assert W.read_table(spark, path).count() == 100 and W.table_meta(spark, path)["buckets"] == 5
+
+
+@pytest.mark.parametrize("on_match", ["update", "earliest", "latest"])
+def test_null_keys_are_rejected(spark, work, on_match):
+    df = spark.createDataFrame([(None, 1), (None, 2), (1, 3)], "id long, v long")
+    with pytest.raises(W.WriteError):
+        W.merge_upsert(df, work("nulls"), "id", on_match=on_match, order_by=["v"])
