@@ -48,6 +48,8 @@ from auric.llm.textbatch import saved
 MIN_PAGES = 20
 #: A valid class has so many tokens and is in this share of its host's pages.
 MIN_TOKENS = 3
+#: Templates are broadcast up to so many tokens (8 bytes each), else joined by host.
+BROADCAST_TOKENS = 1 << 20
 MIN_SHARE = 0.3
 ALL = "*"
 
@@ -264,8 +266,8 @@ def page_tokens(pages: DataFrame) -> DataFrame:
 
 def templates(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
     """(host, tokens): the tokens of the valid classes of each host with enough pages, and of all pages."""
-    by_host = saved(page_tokens(pages).groupBy("host", "token", "total")
-                    .agg(F.sum("pages").alias("pages"), F.bit_xor("vector").alias("vector")))
+    by_host = (page_tokens(pages).groupBy("host", "token", "total")
+               .agg(F.sum("pages").alias("pages"), F.bit_xor("vector").alias("vector")))
     everywhere = by_host.groupBy(F.lit(ALL).alias("host"), "token", "total").agg(
         F.sum("pages").alias("pages"), F.bit_xor("vector").alias("vector"))
     both = by_host.unionByName(everywhere)
@@ -303,7 +305,10 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
                 [b.column(0), b.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
                 names=["page_id", "url", "text", "n_chars"])
 
+    own = known.where(F.col("host") != ALL)
+    if (own.agg(F.sum(F.size("tokens"))).first()[0] or 0) <= BROADCAST_TOKENS:
+        own = F.broadcast(own)
     kind = {c: pages.schema[c].dataType.simpleString() for c in (id_col, url_col)}
-    return (rows.join(known.where(F.col("host") != ALL), "host", "left").select("page_id", "url", "html", "host", "tokens")
+    return (rows.join(own, "host", "left").select("page_id", "url", "html", "host", "tokens")
             .mapInArrow(run, f"page_id {kind[id_col]}, url {kind[url_col]}, text string, n_chars long")
             .withColumnsRenamed({"page_id": id_col, "url": url_col}))
