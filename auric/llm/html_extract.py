@@ -42,7 +42,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from auric.llm.textbatch import saved
+from auric.llm.textbatch import saved, written
 
 #: Hosts with fewer pages than this use the template of all pages.
 MIN_PAGES = 20
@@ -154,7 +154,7 @@ def structure(path: str) -> int:
     return _hash("tag", path)
 
 
-def written(path: str, text: str) -> int:
+def text_token(path: str, text: str) -> int:
     return _hash("text", path, text)
 
 
@@ -166,7 +166,7 @@ def occurrences(page: str) -> Counter:
         if kind == "tag":
             tags[path] += 1
         elif kind == "text" and (text := tidy(value)):
-            out[written(path, text)] += 1
+            out[text_token(path, text)] += 1
     out.update({structure(path): n for path, n in tags.items()})
     return out
 
@@ -213,7 +213,7 @@ def slots(page: str, template: frozenset[int]) -> list[tuple[str, bool, str]]:
     for kind, path, value in read(page):
         if kind == "text":
             at, main, skip = slot(path)
-            if skip or not main and written(path, tidy(value)) in template:
+            if skip or not main and text_token(path, tidy(value)) in template:
                 continue
             if main != now[1]:
                 flush()
@@ -266,8 +266,8 @@ def page_tokens(pages: DataFrame) -> DataFrame:
 
 def templates(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
     """(host, tokens): the tokens of the valid classes of each host with enough pages, and of all pages."""
-    by_host = (page_tokens(pages).groupBy("host", "token", "total")
-               .agg(F.sum("pages").alias("pages"), F.bit_xor("vector").alias("vector")))
+    by_host = written(page_tokens(pages).groupBy("host", "token", "total")
+                      .agg(F.sum("pages").alias("pages"), F.bit_xor("vector").alias("vector")))
     everywhere = by_host.groupBy(F.lit(ALL).alias("host"), "token", "total").agg(
         F.sum("pages").alias("pages"), F.bit_xor("vector").alias("vector"))
     both = by_host.unionByName(everywhere)
