@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 from auric.llm import decontam, jaccard_join, langid, mixing, suffix_dedup
 from auric.llm.textbatch import table, written
 
-#: A document whose language is less sure than this is rejected.
-MIN_LANGUAGE_SCORE = 0.4
+#: A document is rejected if no language is more likely than not.
+MIN_LANGUAGE_SCORE = 0.5
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
