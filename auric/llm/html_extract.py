@@ -10,12 +10,12 @@ text token in a valid class is written by the template too.  What stands
 between the template's tokens are its slots.
 
 Extraction goes through a page block by block; a block belongs to the slot
-of the deepest template token around it.  Kept are the slots of the main
-part: slots in menus, headers, footers, sidebars, notices, adverts, forms,
-scripts, styles and reader comments (by tag, role, class or id) are left
-out, and where a page has an article or main part only that counts.  Text
-that the template itself writes is left out too, except inside an article,
-whose copies on a host would look like a template.
+of the deepest template token around it.  Blocks that the template itself
+writes are left out wherever they stand, in an article too, and so are blocks
+in menus, headers, footers, sidebars, notices, adverts, forms, scripts,
+styles and reader comments (by tag, role, class or id).  Of what is left, the
+article or main part counts alone unless a slot outside holds more text than
+it; then, and where there is none, all slots count.
 
 Occurrence vectors are compared by an order-free fingerprint (the exclusive
 or of a hash of each page and count), so classes are found by two ordinary
@@ -155,17 +155,21 @@ def structure(path: str) -> int:
 
 
 def text_token(path: str, text: str) -> int:
-    return _hash("text", path, text)
+    """Of a block: its block elements by name (ids and classes may differ from page to page) and its text."""
+    names = [step.partition(".")[0] for step in path.split("/")]
+    while names and names[-1] in INLINE:
+        names.pop()
+    return _hash("text", "/".join(names), text)
 
 
 def occurrences(page: str) -> Counter:
     """How often each token occurs in a page."""
     tags: Counter = Counter()
     out: Counter = Counter()
-    for kind, path, value in read(page):
+    for kind, path, _, text in parts(page):
         if kind == "tag":
             tags[path] += 1
-        elif kind == "text" and (text := tidy(value)):
+        else:
             out[text_token(path, text)] += 1
     out.update({structure(path): n for path, n in tags.items()})
     return out
@@ -187,51 +191,67 @@ def place(path: str) -> tuple[bool, bool]:
     return True, around or any(_skipped(s) for s in steps[first + 1:] if s != "header")  # its own title block stays
 
 
+def parts(page: str) -> Iterator[tuple[str, str, bool, str]]:
+    """('tag', path, False, '') of every element, and ('text', path, in main
+    part, text) of every block that the tag rules don't leave out, in page order."""
+    held: list[str] = []
+    now = ("", False)
+    known: dict[str, tuple[bool, bool]] = {}
+
+    def block() -> list[tuple[str, str, bool, str]]:
+        text = tidy("".join(held))
+        held.clear()
+        return [("text", *now, text)] if text else []
+
+    for kind, path, value in read(page):
+        if kind == "text":
+            if path not in known:
+                known[path] = place(path)
+            main, skip = known[path]
+            if skip:
+                continue
+            if main != now[1]:
+                yield from block()
+            if not held:
+                now = path, main
+            held.append(value)
+            continue
+        if value in ("br", "wbr"):
+            if held and value == "br":
+                held.append(" ")
+        elif value not in INLINE:
+            yield from block()
+        if kind == "tag":
+            yield "tag", path, False, ""
+    yield from block()
+
+
 def slots(page: str, template: frozenset[int]) -> list[tuple[str, bool, str]]:
-    """(slot, in main part, text) of every block that is not left out, in page order.
+    """(slot, in main part, text) of every block that neither the tag rules
+    leave out nor the template writes, in page order.
 
     The slot is the path of the deepest template token around the block."""
-    blocks: list[tuple[str, bool, str]] = []
-    parts: list[str] = []
-    now = ("", False)
-    known: dict[str, tuple[str, bool, bool]] = {}
+    known: dict[str, str] = {}
 
-    def slot(path: str) -> tuple[str, bool, bool]:
+    def slot(path: str) -> str:
         if path not in known:
             at = path
             while at and structure(at) not in template:
                 at = at.rpartition("/")[0]
-            known[path] = at, *place(path)
+            known[path] = at
         return known[path]
 
-    def flush() -> None:
-        text = tidy("".join(parts))
-        parts.clear()
-        if text:
-            blocks.append((*now, text))
-
-    for kind, path, value in read(page):
-        if kind == "text":
-            at, main, skip = slot(path)
-            if skip or not main and text_token(path, tidy(value)) in template:
-                continue
-            if main != now[1]:
-                flush()
-            if not parts:
-                now = at, main
-            parts.append(value)
-        elif value in ("br", "wbr"):
-            parts.append(" " if value == "br" else "")
-        elif value not in INLINE:
-            flush()
-    flush()
-    return blocks
+    return [(slot(path), main, text) for kind, path, main, text in parts(page)
+            if kind == "text" and text_token(path, text) not in template]
 
 
 def extract(page: str, template: frozenset[int]) -> str:
     """Text of the main slots of a page, a line for each block."""
     blocks = slots(page, template)
-    main_only = any(main for _, main, _ in blocks)
+    size: Counter = Counter()
+    for at, main, text in blocks:
+        size["" if main else at, main] += len(text)
+    main_only = bool(size) and max((n, main) for (_, main), n in size.items())[1]
     return "\n".join(text for _, main, text in blocks if main or not main_only)
 
 

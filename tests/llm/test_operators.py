@@ -294,6 +294,23 @@ def test_html_of_the_given_pages(spark):
         assert got[i] == "\n".join(x for x in blocks if x)
 
 
+def html_texts(spark, pages):
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    return {r["page_id"]: r["text"] for r in html_extract.main_text(df).collect()}
+
+
+def test_html_template_decides_inside_articles(spark):
+    """Lines of every page of a host go from its articles, and a slot outside that holds more text counts."""
+    page = ("<html><body><article id='post-{0}'><h1>Title {0}</h1><p>Story {0} of <b>some</b> words.</p><p>Follow <i>us</i> by mail</p>"
+            "<ul><li><a href='/a'>Top list</a></ul></article><div class='x'>Our partners and their many offers of this week</div></body></html>")
+    other = "<html><body><div class='text'><p>The long report number {0} stands outside.</p></div><article>Card {0}</article></body></html>"
+    got = html_texts(spark, [(i, "http://a.example/x", page.format(i)) for i in range(30)]
+                     + [(100 + i, "http://b.example/x", other.format(i)) for i in range(30)])
+    assert got[7] == "Title 7\nStory 7 of some words."
+    assert got[7] != html_extract.extract(page.format(7), frozenset())
+    assert got[107] == "The long report number 7 stands outside.\nCard 7"
+
+
 # --- 9 substrings ---------------------------------------------------------
 
 def brute_substrings(docs):
