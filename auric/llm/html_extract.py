@@ -17,12 +17,18 @@ styles and reader comments (by tag, role, class or id).  Of what is left, the
 article or main part counts alone unless a slot outside holds more text than
 it; then, and where there is none, all slots count.
 
+Pages of a host with the same blocks (after the tag rules, so adverts and
+menus don't matter) count as one page, and a valid class holds a structure
+token: paragraphs of copies have no class with the template's tags.  The rule
+is the same for hosts of every size; a host needs MIN_PAGES different pages to
+show what repeats.  Near copies whose paragraphs are all that a host has, or
+that share tags with an own path, can't be told from a template.
+
 Occurrence vectors are compared by an order-free fingerprint (the exclusive
 or of a hash of each page and count), so classes are found by two ordinary
 aggregations however many pages a host has.  A template's tokens are in a
 fair share of its host's pages, so there are not more than 1 / MIN_SHARE
-times the tokens of one page.  Hosts with few pages use the template of all
-pages together.
+times the tokens of one page.
 
 Defined cases: null, empty and tagless html are read as plain text (null and
 empty give ""); a url that is null or has no host belongs to the host "";
@@ -44,14 +50,11 @@ from pyspark.sql import functions as F
 
 from auric.llm.textbatch import saved, written
 
-#: Hosts with fewer pages than this use the template of all pages.
-MIN_PAGES = 20
-#: A valid class has so many tokens and is in this share of its host's pages.
-MIN_TOKENS = 3
+#: A valid class has so many tokens and is in so many different pages and this share of its host's.
+MIN_TOKENS, MIN_PAGES = 3, 3
+MIN_SHARE = 0.3
 #: Templates are broadcast up to so many tokens (8 bytes each), else joined by host.
 BROADCAST_TOKENS = 1 << 20
-MIN_SHARE = 0.3
-ALL = "*"
 
 # Fixed values of HTML: elements without content, blocks, and raw text.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -72,6 +75,7 @@ _SKIP_ROLE = frozenset("navigation banner contentinfo complementary search dialo
 _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
 _ATTRIBUTE = re.compile(r"([a-zA-Z_:][-\w:.]*)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
 _SPACES = re.compile(r"\s+")
+TOKENS = pa.list_(pa.struct([("token", pa.int64()), ("tag", pa.bool_()), ("n", pa.int32())]))
 
 
 def _attributes(text: str) -> dict[str, str]:
@@ -162,17 +166,20 @@ def text_token(path: str, text: str) -> int:
     return _hash("text", "/".join(names), text)
 
 
-def occurrences(page: str) -> Counter:
-    """How often each token occurs in a page."""
+#: Stands for the page itself in counts of tokens.
+PAGE = structure("")
+
+
+def occurrences(page: str) -> tuple[Counter, Counter]:
+    """How often each structure token and each text token occurs in a page."""
     tags: Counter = Counter()
-    out: Counter = Counter()
+    texts: Counter = Counter()
     for kind, path, _, text in parts(page):
         if kind == "tag":
             tags[path] += 1
         else:
-            out[text_token(path, text)] += 1
-    out.update({structure(path): n for path, n in tags.items()})
-    return out
+            texts[text_token(path, text)] += 1
+    return Counter({structure(path): n for path, n in tags.items()}), texts
 
 
 def _skipped(step: str) -> bool:
@@ -260,72 +267,58 @@ def host(url: Column) -> Column:
 
 
 def page_tokens(pages: DataFrame) -> DataFrame:
-    """(host, token, pages, vector): each task sums its pages' tokens by host first."""
+    """(host, token, tag, pages, vector) over the different pages of each host;
+    pages with equal blocks are one, that of the least tokens."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            n: Counter = Counter()
-            vector: dict[tuple[str, int], int] = {}
-            own: Counter = Counter()
-            for where, key, page in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
-                own[where] += 1
-                for token, count in occurrences(page or "").items():
-                    k = (where, token)
-                    n[k] += 1
-                    vector[k] = vector.get(k, 0) ^ _hash(str(key), str(count))
-            keys = [*n, *((w, 0) for w in own)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.int64()),
-                 pa.array([*n.values(), *own.values()], pa.int64()),
-                 pa.array([vector.get(k, 0) for k in keys], pa.int64()), pa.array([k[1] == 0 for k in keys])],
-                names=["host", "token", "pages", "vector", "total"])
-
-    return pages.select("host", "key", "html").mapInArrow(
-        run, "host string, token long, pages long, vector long, total boolean")
+            content, rows = [], []
+            for page in b.column(1).to_pylist():
+                tags, texts = occurrences(page or "")
+                content.append(_hash(*(f"{t} {n}" for t, n in sorted(texts.items()))))
+                rows.append([{"token": t, "tag": tag, "n": n} for tag, of in ((True, tags), (False, texts)) for t, n in sorted(of.items())]
+                            + [{"token": PAGE, "tag": True, "n": 1}])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(content, pa.int64()), pa.array(rows, TOKENS)],
+                                             names=["host", "content", "tokens"])
+
+    return (pages.select("host", "html").mapInArrow(run, "host string, content long, tokens array<struct<token:long,tag:boolean,n:int>>")
+            .groupBy("host", "content").agg(F.min("tokens").alias("tokens"))
+            .select("host", "content", F.explode("tokens").alias("t"))
+            .groupBy("host", "t.token", "t.tag")
+            .agg(F.count(F.lit(1)).alias("pages"), F.bit_xor(F.xxhash64("content", "t.n")).alias("vector")))
 
 
 def templates(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
-    """(host, tokens): the tokens of the valid classes of each host with enough pages, and of all pages."""
-    by_host = written(page_tokens(pages).groupBy("host", "token", "total")
-                      .agg(F.sum("pages").alias("pages"), F.bit_xor("vector").alias("vector")))
-    everywhere = by_host.groupBy(F.lit(ALL).alias("host"), "token", "total").agg(
-        F.sum("pages").alias("pages"), F.bit_xor("vector").alias("vector"))
-    both = by_host.unionByName(everywhere)
-    totals = both.where("total").select("host", F.col("pages").alias("all_pages")).where(F.col("all_pages") >= min_pages)
-    common = (both.where("not total").join(totals, "host")
-              .where(F.col("pages") >= F.greatest(F.lit(2), min_share * F.col("all_pages"))))
-    valid = common.groupBy("host", "vector", "pages").agg(F.collect_list("token").alias("class")).where(F.size("class") >= MIN_TOKENS)
-    return saved(valid.groupBy("host").agg(F.flatten(F.collect_list("class")).alias("tokens"))
-                 .join(totals.select("host"), "host", "right")
-                 .select("host", F.coalesce("tokens", F.array().cast("array<bigint>")).alias("tokens")))
+    """(host, tokens): the tokens of the valid classes of each host that has any."""
+    counts = written(page_tokens(pages))
+    totals = counts.where(F.col("token") == PAGE).select("host", F.col("pages").alias("all_pages"))
+    common = (counts.where(F.col("token") != PAGE).join(totals, "host")
+              .where(F.col("pages") >= F.greatest(F.lit(min_pages), min_share * F.col("all_pages"))))
+    valid = (common.groupBy("host", "vector", "pages").agg(F.collect_list("token").alias("class"), F.max("tag").alias("tag"))
+             .where((F.size("class") >= MIN_TOKENS) & F.col("tag")))
+    return saved(valid.groupBy("host").agg(F.flatten(F.collect_list("class")).alias("tokens")))
 
 
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """(page_id, url, text, n_chars) of every page."""
     rows = pages.select(pages[id_col].alias("page_id"), pages[url_col].alias("url"), pages[html_col].alias("html"),
-                        host(pages[url_col]).alias("host"),
-                        F.xxhash64(pages[id_col], pages[url_col], pages[html_col]).alias("key"))
-    known = templates(rows)
-    shared = known.where(F.col("host") == ALL).first()  # one row, at most 1 / MIN_SHARE pages of tokens
-    default = list(shared["tokens"]) if shared else []
+                        host(pages[url_col]).alias("host"))
+    own = templates(rows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        common = frozenset(default)
-        last: tuple[str | None, frozenset[int]] = (None, common)
+        last: tuple[str | None, frozenset[int]] = (None, frozenset())
         for b in batches:
             where, tokens = b.column(3), b.column(4)
             texts = []
             for i, page in enumerate(b.column(2).to_pylist()):
                 name = where[i].as_py()
                 if name != last[0]:
-                    own = tokens[i].as_py()
-                    last = name, common if own is None else frozenset(own)
+                    last = name, frozenset(tokens[i].as_py() or ())
                 texts.append(extract(page, last[1]) if page else "")
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
                 names=["page_id", "url", "text", "n_chars"])
 
-    own = known.where(F.col("host") != ALL)
     if (own.agg(F.sum(F.size("tokens"))).first()[0] or 0) <= BROADCAST_TOKENS:
         own = F.broadcast(own)
     kind = {c: pages.schema[c].dataType.simpleString() for c in (id_col, url_col)}

@@ -311,6 +311,23 @@ def test_html_template_decides_inside_articles(spark):
     assert got[107] == "The long report number 7 stands outside.\nCard 7"
 
 
+def test_html_copies_are_no_template(spark):
+    """A third of a host's pages are copies, some with other adverts or titles; a host of four pages has its own template."""
+    frame = "<html><body><div class='top'>All about {1}</div><div class='ad'>Offer {0}</div><div class='text'>{2}</div></body></html>"
+    story = "".join(f"<p>Paragraph {k} of the story.</p>" for k in range(5))
+    plain = story.replace("<p>", "").replace("</p>", "\n").strip()
+    pages = [(i, "http://a.example/x", frame.format(0, "a", story)) for i in range(8)]
+    pages += [(10 + i, "http://a.example/x", frame.format(i, "a", story)) for i in range(8)]
+    pages += [(20 + i, "http://a.example/x", frame.format(i, "a", f"<p>Copy {i}</p>" + story)) for i in range(14)]
+    pages += [(100 + i, "http://a.example/x", frame.format(i, "a", "".join(f"<p>Page {i}</p>" for _ in range(i % 4 + 1)))) for i in range(24)]
+    pages += [(200 + i, "http://b.example/x", frame.format(i, "b", f"<p>Page {i}</p>")) for i in range(4)]
+    pages += [(300 + i, "http://c.example/x", frame.format(i, "c", story)) for i in range(2)]
+    got = html_texts(spark, pages)
+    assert {got[i] for i in (*range(8), *range(10, 18))} == {plain}
+    assert got[23] == "Copy 3\n" + plain and got[101] == "Page 1\nPage 1"
+    assert got[202] == "Page 2" and got[300] == got[301] == "All about c\n" + plain
+
+
 # --- 9 substrings ---------------------------------------------------------
 
 def brute_substrings(docs):
