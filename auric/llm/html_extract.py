@@ -66,11 +66,20 @@ CLOSES_P = frozenset("address article aside blockquote div dl fieldset footer fo
                      "ol p pre section table ul".split())
 MAIN = frozenset(("article", "main"))
 
-_SKIP_NAME = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|cookies?|consent|notices?|newsletter|subscribe|popup|modal|"
+# Class names and ids are matched whole: every part of one is a name or an affix, so has-sidebar or entry-header tell nothing.
+_NAME = re.compile(
+    r"ads?|advert\w*|banner|sponsor\w*|promo\w*|cookies?|consent|notices?|newsletter|subscribe|popup|modal|"
     r"nav|navbar|navigation|menu|breadcrumbs?|sidebar|footer|header|masthead|comments?|replies|respond|disqus|share|social|"
-    r"related|widget|pagination|skip)(?:$|[\s_-])", re.I)
-_COMMENTS = re.compile(r"(?:^|[\s_-])(?:comments?|replies|respond|disqus)(?:$|[\s_-])", re.I)
+    r"related|widget|pagination|skip", re.I)
+_COMMENT = re.compile(r"comments?|replies|respond|disqus", re.I)
+_AFFIX = re.compile(
+    r"\d+|site|global|top|bottom|left|right|main|primary|secondary|wrap|wrapper|container|inner|outer|area|section|block|box|bar|"
+    r"list|items?|buttons?|links?|icons?|slot|unit|posts?|form|text|message|signup", re.I)
+_PARTS = re.compile(r"[_-]+")
+#: The title block's own names, which a header of an article may have.
+_TITLE = frozenset(("header", "masthead", "banner"))
+#: Around a main part a form is layout: some servers put whole pages into one.
+_AROUND = SKIP - {"form"}
 _SKIP_ROLE = frozenset("navigation banner contentinfo complementary search dialog alert menu form".split())
 _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
 _ATTRIBUTE = re.compile(r"([a-zA-Z_:][-\w:.]*)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
@@ -182,20 +191,38 @@ def occurrences(page: str) -> tuple[Counter, Counter]:
     return Counter({structure(path): n for path, n in tags.items()}), texts
 
 
-def _skipped(step: str) -> bool:
+def _named(mark: str, names: re.Pattern) -> bool:
+    """Whether one of the class names and ids says one of the names, with affixes at most."""
+    for word in mark.split():
+        said = [x for x in _PARTS.split(word) if x]
+        if any(map(names.fullmatch, said)) and all(names.fullmatch(x) or _AFFIX.fullmatch(x) for x in said):
+            return True
+    return False
+
+
+def _skipped(step: str, elements: frozenset[str] = SKIP) -> bool:
+    name, _, mark = step.partition(".")
+    return name in elements or bool(mark) and (mark.rpartition(" ")[2] in _SKIP_ROLE or _named(mark, _NAME))
+
+
+def _title(step: str) -> bool:
+    """Whether a step in the main part is a title block, which stays."""
     name, _, mark = step.partition(".")
-    return name in SKIP or bool(mark) and (mark.rpartition(" ")[2] in _SKIP_ROLE or bool(_SKIP_NAME.search(mark)))
+    return name == "header" and not _skipped("header." + " ".join(w for w in mark.split() if w.lower() not in _TITLE), frozenset())
 
 
 def place(path: str) -> tuple[bool, bool]:
-    """Whether a path is in an article or main part, and whether it is left out."""
+    """Whether a path is in an article or main part, and whether it is left out.
+
+    An article below a part that is left out, a teaser in a sidebar for
+    instance, is no main part."""
     steps = [s for s in path.split("/") if s and s.partition(".")[0] not in ("html", "body")]
-    names = [s.partition(".")[0] for s in steps]
-    first = next((i for i, n in enumerate(names) if n in MAIN), None)
+    first = next((i for i, s in enumerate(steps) if s.partition(".")[0] in MAIN), None)
     if first is None:
         return False, any(map(_skipped, steps))
-    around = any(_COMMENTS.search(s.partition(".")[2]) for s in steps[:first + 1])
-    return True, around or any(_skipped(s) for s in steps[first + 1:] if s != "header")  # its own title block stays
+    if any(_skipped(s, _AROUND) for s in steps[:first]):
+        return False, True
+    return True, _named(steps[first].partition(".")[2], _COMMENT) or any(_skipped(s) and not _title(s) for s in steps[first + 1:])
 
 
 def parts(page: str) -> Iterator[tuple[str, str, bool, str]]:

@@ -328,6 +328,17 @@ def test_html_copies_are_no_template(spark):
     assert got[202] == "Page 2" and got[300] == got[301] == "All about c\n" + plain
 
 
+@pytest.mark.parametrize("page, text", [
+    ("<body><div><p>The real text</p></div><aside><article>Teaser</article></aside><footer><article>Teaser</article></footer></body>", "The real text"),
+    ("<article><header class='entry-header' id='top'><h1>Title</h1></header><p>Text</p><header class='ads'>Buy</header></article>", "Title\nText"),
+    ("<main><div class='layout with-sidebar'><p>Text</p><div class='sidebar'>More</div><div class='share-buttons'>Tweet</div></div></main>", "Text"),
+    ("<article class='post comments-open'><p>Text</p><div class='comment-list'>First!</div></article>", "Text"),
+    ("<form id='aspnetForm'><main><p>Text</p><form>Send</form></main></form>", "Text"),
+])
+def test_html_tag_rules_keep_real_text(page, text):
+    assert html_extract.extract(page, frozenset()) == text
+
+
 # --- 9 substrings ---------------------------------------------------------
 
 def brute_substrings(docs):
