@@ -22,7 +22,15 @@ sets are one *node*.  Two nodes link when 100 * |A and B| >= 80 * |A or B|.
    cut into chunks, and every pair of chunks is searched.
 
 So every pair that may link is compared or already connected, and components
-are exact.  Texts travel once, to the documents of groups; links, components
+are exact.
+
+4. Every two nodes of a component meet once more in a signature tree, which
+now leaves out pairs by size and overlap only, and each adds up the copies of
+those that it links with.  With the copies of its own node that is a
+document's number of links.  This takes the square of a component's nodes in
+comparisons, dealt out by pairs of chunks, but a row a node and chunk.
+
+Texts travel once, to the documents of groups; links, components
 and sets stay distributed.
 
 Defined cases: null and empty texts and texts of white space have no shingles
@@ -56,6 +64,8 @@ SAMPLE, FREQUENT, MAX_FREQUENT = 16, 4, 1 << 17
 ROUNDS, SMALL = 3, 8
 #: Members of a chunk of a large group, and sets of a leaf of the tree.
 CHUNK, LEAF = 4000, 32
+#: Sets and shingles of a chunk of a large component whose links are counted.
+COUNT_CHUNK, COUNT_SHINGLES = 1000, 1 << 19
 #: Prefix shingles that a task deals to the buckets at a time.
 FLUSH_ROWS = 1 << 19
 BUCKETS_PER_PARTITION = 8
@@ -350,6 +360,24 @@ class Block:
     def elements(self, i: int) -> np.ndarray:
         return self.ids[self.ends[i]:self.ends[i + 1]]
 
+    def count(self, left: list[int], right: list[int], copies: np.ndarray, links: np.ndarray) -> None:
+        """Adds the copies of every linking set of two leaves to each other's links."""
+        elements = np.concatenate([self.elements(j) for j in right])
+        n = self.sizes[right]
+        starts = np.concatenate([[0], np.cumsum(n)[:-1]])
+        right_rows = np.array(right)
+        for i in left:
+            own = self.elements(i)
+            self.flags[own] = True
+            both = np.add.reduceat(self.flags[elements], starts, dtype=np.int64)
+            self.flags[own] = False
+            found = right_rows[100 * both >= PERCENT * (len(own) + n - both)]
+            if left is right:
+                links[i] += copies[found].sum() - copies[i]  # not with itself; the others' turn comes
+            else:
+                links[i] += copies[found].sum()
+                links[found] += copies[i]
+
     def tree(self, rows: list[int]) -> dict:
         """A binary tree over the sets in order of size.  Its nodes hold the OR
         of their sets' bitmaps, the range of sizes, and the most elements of
@@ -397,18 +425,14 @@ def _may_link(x: dict, y: dict) -> bool:
     return most * (100 + PERCENT) >= PERCENT * (x["lo"] + y["lo"])
 
 
-def tree_links(sets: list[np.ndarray], comps: list[int], left: list[int] | None = None, right: list[int] | None = None) -> list[tuple[int, int]]:
-    """Links that join all components of a block (across two chunks, if given) that links join."""
-    block = Block(sets, comps)
-    if left and right:
-        stack = [(block.tree(left), block.tree(right))]
-    else:
-        tree = block.tree(list(range(len(sets))))
-        stack = [(tree, tree)]
-    out: list[tuple[int, int]] = []
+def leaf_pairs(block: Block, left: list[int], right: list[int] | None = None, done=None) -> Iterator[tuple[list[int], list[int]]]:
+    """The pairs of leaves (across two chunks, if given) that may hold links;
+    done(rows, rows) tells which pairs of nodes need no look any more."""
+    tree = block.tree(left)
+    stack = [(tree, tree if right is None else block.tree(right))]
     while stack:
         x, y = stack.pop()
-        if len({block.root(i) for i in x["rows"]} | {block.root(i) for i in y["rows"]}) == 1:
+        if done and done(x["rows"], y["rows"]):
             continue
         if x is not y and not _may_link(x, y):
             continue
@@ -420,8 +444,23 @@ def tree_links(sets: list[np.ndarray], comps: list[int], left: list[int] | None
         elif y["parts"]:
             stack += [(x, p) for p in y["parts"]]
         else:
-            out += block.compare(x["rows"], y["rows"])
-    return out
+            yield x["rows"], y["rows"]
+
+
+def tree_links(sets: list[np.ndarray], comps: list[int], left: list[int] | None = None, right: list[int] | None = None) -> list[tuple[int, int]]:
+    """Links that join all components of a block (across two chunks, if given) that links join."""
+    block = Block(sets, comps)
+    one = lambda x, y: len({block.root(i) for i in x} | {block.root(i) for i in y}) == 1
+    chunks = (left, right) if left and right else (list(range(len(sets))),)
+    return [pair for x, y in leaf_pairs(block, *chunks, done=one) for pair in block.compare(x, y)]
+
+
+def tree_counts(sets: list[np.ndarray], copies: np.ndarray, left: list[int], right: list[int] | None = None) -> np.ndarray:
+    """Of each set, the copies of the others that it links with (only across two chunks, if given)."""
+    block, links = Block(sets, list(range(len(sets)))), np.zeros(len(sets), np.int64)
+    for x, y in leaf_pairs(block, left, right):
+        block.count(x, y, copies, links)
+    return links
 
 
 def block_links(rows: DataFrame) -> DataFrame:
@@ -481,6 +520,52 @@ def open_blocks(groups: DataFrame) -> DataFrame:
     return dealt.select(F.concat_ws(":", "name", lo, hi).alias("block"), (F.col("chunk") > F.col("other")).cast("int").alias("side"), "node", "comp")
 
 
+# --- numbers of links -----------------------------------------------------
+
+def block_counts(rows: DataFrame) -> DataFrame:
+    """(node, links) from each block of (block, side, across, node, copies, set)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held = None, []
+
+        def search() -> Iterator[pa.RecordBatch]:
+            sides = [[i for i, r in enumerate(held) if r[1] == s] for s in (0, 1)]
+            if held[0][2] and not all(sides):
+                return
+            links = tree_counts([np.frombuffer(r[5], np.uint64) for r in held], np.array([r[4] for r in held], np.int64),
+                                *(sides if held[0][2] else sides[:1]))
+            yield pa.RecordBatch.from_arrays([pa.array([r[3] for r in held], pa.int64()), pa.array(links)], names=["node", "links"])
+
+        for b in batches:
+            for row in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if row[0] != now:
+                    if held:
+                        yield from search()
+                    now, held = row[0], []
+                held.append(row)
+        if held:
+            yield from search()
+
+    return (rows.select("block", "side", "across", "node", "copies", "set").repartition("block").sortWithinPartitions("block")
+            .mapInArrow(run, "node long, links long"))
+
+
+def link_counts(nodes: DataFrame, comps: DataFrame, sets: DataFrame) -> DataFrame:
+    """(node, links): with how many documents of other nodes each node links.
+
+    Links are within components, so every two nodes of one meet once: in the
+    block of their component or, where it is large, of their two chunks."""
+    members = comps.join(nodes.select("node", "copies", "n_shingles"), "node")
+    chunks = F.greatest(F.ceil(F.count(F.lit(1)) / COUNT_CHUNK), F.ceil(F.sum("n_shingles") / COUNT_SHINGLES)).cast("int")
+    several = members.groupBy("comp").agg(F.count(F.lit(1)).alias("n"), chunks.alias("chunks")).where("n > 1").select("comp", "chunks")
+    dealt = (members.join(several, "comp").withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))))
+    rows = dealt.select(F.concat_ws(":", "comp", F.least("chunk", "other"), F.greatest("chunk", "other")).alias("block"),
+                        (F.col("chunk") > F.col("other")).cast("int").alias("side"), (F.col("chunk") != F.col("other")).alias("across"),
+                        "node", "copies")
+    return block_counts(rows.join(sets, "node")).groupBy("node").agg(F.sum("links").alias("links"))
+
+
 # --- the join -------------------------------------------------------------
 
 def node_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -500,9 +585,10 @@ def node_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return found.select("node", "text").mapInArrow(run, "node long, set binary").dropDuplicates(["node"])
 
 
-def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, _text, n_shingles, comp, component_id) of every document; `comp`
-    is the component's key, which tells rows with one id apart."""
+def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", links: bool = True) -> DataFrame:
+    """(doc_id, _text, n_shingles, comp, component_id, n_links) of every
+    document; `comp` is the component's key, which tells rows with one id
+    apart, n_links (unless it isn't wanted) the other documents it links with."""
     spark = docs.sparkSession
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     docs = docs.select(docs[id_col].alias("doc_id"), text_key(docs[text_col]).alias("_text"), docs[text_col].alias("text"))
@@ -511,7 +597,7 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     # one document stands for each node
     nodes = saved(own.where("node is not null").groupBy("node").agg(
         F.min(F.struct("doc_id", "_text")).alias("of"), F.min("doc_id").alias("smallest"),
-        F.first("frequent").alias("frequent"), F.first("n_shingles").alias("n_shingles")))
+        F.first("frequent").alias("frequent"), F.first("n_shingles").alias("n_shingles"), F.count(F.lit(1)).alias("copies")))
     groups = saved(rare_groups(docs, frequent, partitions).unionByName(frequent_groups(nodes)))
     for _ in range(2):  # a group that lost its members lends no shared shingles
         groups = saved(promising(groups.select("group", "node", "shared"), nodes))
@@ -528,18 +614,21 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         comps = joined(comps, compare(pairs, sets))
     blocks = open_blocks(groups.select("group", "node").join(comps, "node")).join(sets, "node")
     comps = joined(comps, block_links(blocks))
-    named = nodes.select("node", "smallest").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    named = nodes.select("node", "smallest", "copies").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     names = named.groupBy("comp").agg(F.min("smallest").alias("component_id"))
-    of_node = named.join(names, "comp").select("node", "comp", "component_id")
-    return own.join(of_node, "node", "left").select(
-        "doc_id", "_text", "n_shingles", "comp",
-        F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+    of_node = named.join(names, "comp").select("node", "comp", "component_id", "copies")
+    columns = ["doc_id", "_text", "n_shingles", "comp",
+               F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")]
+    if links:
+        of_node = of_node.join(link_counts(nodes, comps, sets), "node", "left")
+        columns.append(F.coalesce(F.col("copies") - 1 + F.coalesce("links", F.lit(0)), F.lit(0)).alias("n_links"))
+    return own.join(of_node, "node", "left").select(*columns)
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
     """The documents with one of each component (that of the smallest id), with
     all their columns; those without shingles stay."""
-    found = saved(similar_documents(docs))
+    found = saved(similar_documents(docs, links=False))
     first = (found.where("comp is not null").groupBy("comp")
              .agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_text")).alias("f")).select("f.doc_id", "f._text"))
     kept = (found.where("comp is null").select("doc_id", "_text").unionByName(first)

@@ -52,7 +52,7 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_join.similar_documents(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+    return jaccard_join.similar_documents(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "n_links")
 
 
 QUERIES = {f.__name__: f for f in (

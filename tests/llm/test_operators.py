@@ -437,6 +437,26 @@ def test_similar_awkward(spark, awkward, nothing):
     assert jaccard_join.similar_documents(nothing).count() == 0
 
 
+def brute_links(docs):
+    sets = []
+    for _, t in docs:
+        w = plain_words((t or "").translate(AZ))
+        sets.append(frozenset(zip(*(w[k:] for k in range(5)), strict=False)) if len(w) >= 5 else frozenset([tuple(w)] if w else []))
+    out = [(i, sum(b != a and 100 * len(x & y) >= 80 * len(x | y) for b, y in enumerate(sets)) if x else 0)
+           for a, ((i, _), x) in enumerate(zip(docs, sets, strict=True))]
+    return sorted(out, key=lambda r: tuple((v is None, v) for v in r))
+
+
+@pytest.mark.parametrize("chunk, shingles", [(jaccard_join.COUNT_CHUNK, jaccard_join.COUNT_SHINGLES), (20, 1 << 19), (1000, 900)])
+def test_numbers_of_links(spark, monkeypatch, chunk, shingles):
+    monkeypatch.setattr(jaccard_join, "COUNT_CHUNK", chunk)
+    monkeypatch.setattr(jaccard_join, "COUNT_SHINGLES", shingles)
+    docs = near_copies()
+    docs += [(300 + i, t) for i, (_, t) in enumerate(docs[:9])] + [(i, t) for i, t, _, _ in AWKWARD]
+    found = jaccard_join.similar_documents(spark.createDataFrame(docs, "doc_id long, text string").repartition(4))
+    assert rows(found.select("doc_id", "n_links")) == brute_links(docs)
+
+
 def test_one_of_each(awkward):
     out = jaccard_join.one_of_each(awkward)
     assert out.columns == awkward.columns
