@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from auric.llm import decontam, html_extract, jaccard_join, langid, licenses, mixing, quality_classifier, quality_rules, suffix_dedup, tokens
+from auric.llm import (alignment, decontam, html_extract, jaccard_join, langid, licenses, mixing, periodic_runs, quality_classifier,
+                       quality_rules, simhash, suffix_dedup, tokens)
 from auric.llm.textbatch import table
 
 TOKENIZER = "piece_bpe_32k.model"
+BYTE_TOKENIZER = "byte_bpe_50k.json"
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -55,8 +57,22 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.similar_documents(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "n_links")
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    return alignment.align(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_TOKENIZER),
+                           public_tokenizers.path(TOKENIZER)).digest()
+
+
+def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.similar_fingerprints(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id", "n_links")
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.digests(periodic_runs.collapse_runs(periodic_runs.with_planted(table(spark, sf_dir, "documents"))))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_language_id, op2_token_counts, op3_license_scans, op4_mix_sources, op5_quality_rules, op6_quality_classifier,
     op7_decontaminate, op8_html_extraction,
-    op9_suffix_dedup, op10_jaccard_join)}
+    op9_suffix_dedup, op10_jaccard_join, op11_token_alignment, op12_simhash, op13_periodic_runs)}
 ORACLES: dict[str, str] = {"op4_mix_sources": mixing.OP4_SQL, "op7_decontaminate": decontam.OP7_SQL}
