@@ -1,7 +1,7 @@
 """Alignment of two tokenizers over the same texts.
 
 Two public tokenizers cut the bytes of " " + text: A is byte-level BPE (a
-tokenizers file), B is BPE with byte fallback (a sentencepiece model, which
+tokenizers file, whose ranks and pattern tiktoken applies), B is BPE with byte fallback (a sentencepiece model, which
 puts the space there itself).  Places where a token of A and a token of B both
 end cut the text into *groups*; tokens of A and B *link* where their bytes
 overlap.  Every stretch between two neighbouring ends (of A or B) belongs to
@@ -73,26 +73,39 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
 
 
+def narrow(size: int):
+    return np.uint16 if size <= 1 << 16 else np.uint32
+
+
 class TokenizerA:
+    """Byte-level BPE whose ids are in the order of its merges, so that joining
+    the pair of least id first is its rule."""
+
+    #: The pattern of byte-level BPE (fixed value).
+    PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-        self.model = Tokenizer.from_file(path)
-        self.model.encode_special_tokens = True
+        import tiktoken
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        pre = spec.get("pre_tokenizer") or {}
+        pre, model = spec.get("pre_tokenizer") or {}, spec["model"]
         if spec.get("normalizer") or pre.get("type") != "ByteLevel" or pre.get("add_prefix_space") or not pre.get("use_regex"):
             raise ValueError(f"{path}: not a plain byte-level BPE with its pattern")
-        vocab = self.model.get_vocab(with_added_tokens=True)
-        letters = byte_letters()
+        vocab, letters = model["vocab"], byte_letters()
+        merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+        if [vocab[x + y] for x, y in merges] != list(range(len(letters), len(letters) + len(merges))):
+            raise ValueError(f"{path}: ids are not in the order of merges")
+        special = {t["content"] for t in spec.get("added_tokens", [])}
+        ranks = {bytes(letters[c] for c in t): i for t, i in vocab.items() if t not in special}
         self.size = max(vocab.values()) + 1
         self.bytes = [b""] * self.size
-        for token, i in vocab.items():
-            self.bytes[i] = bytes(letters.get(c, 0) for c in token)
+        for token, i in ranks.items():
+            self.bytes[i] = token
         self.width = np.array([len(b) for b in self.bytes], np.int64)
+        self.model = tiktoken.Encoding("a", pat_str=self.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.model.encode_batch(texts, add_special_tokens=False)]
+    def encode(self, text: str) -> np.ndarray:
+        return self.model.encode_to_numpy(text, disallowed_special=())
 
     @staticmethod
     def cut(text: str, at: int) -> int:
@@ -148,10 +161,6 @@ def loaded(kind: type, path: str):
     return _LOADED[kind, path]
 
 
-def narrow(size: int):
-    return np.uint16 if size <= 1 << 16 else np.uint32
-
-
 # --- encoding -------------------------------------------------------------
 
 _CHUNK_ROW = "doc_row long, doc_id {}, no int, chunks int, at long, slice string, a0 int, a1 int, b0 int, b1 int"
@@ -199,8 +208,6 @@ def encode(chunks: DataFrame, kind: str, path_a: str, path_b: str) -> DataFrame:
     and whether both give the chunk's bytes back."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import os
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         a, b = loaded(TokenizerA, path_a), loaded(TokenizerB, path_b)
         type_a, type_b = narrow(a.size), narrow(b.size)
         for batch in batches:
@@ -215,15 +222,15 @@ def encode(chunks: DataFrame, kind: str, path_a: str, path_b: str) -> DataFrame:
                 own = range(first, last)
                 text_a = [slices[k][a0[k]:a1[k]] for k in own]
                 text_b = [slices[k][b0[k]:b1[k]] for k in own]
-                ids_a, ids_b = a.encode(text_a), b.encode(text_b)
-                ok = [b"".join(map(a.bytes.__getitem__, x)) == s.encode() and b"".join(map(b.bytes.__getitem__, y)) == t.encode()
+                ids_a, ids_b = [a.encode(t) for t in text_a], b.encode(text_b)
+                ok = [int(a.width[x].sum()) == len(s.encode()) and b"".join(map(b.bytes.__getitem__, y)) == t.encode()
                       for x, y, s, t in zip(ids_a, ids_b, text_a, text_b, strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [*(batch.column(c).slice(first, last - first) for c in range(4)), pa.array(ok, pa.bool_()),
                      pa.array([at[k] + len(slices[k][:a0[k]].encode()) for k in own], pa.int64()),
                      pa.array([at[k] + len(slices[k][:b0[k]].encode()) for k in own], pa.int64()),
-                     pa.array([np.array(x, type_a).tobytes() for x in ids_a], pa.binary()),
-                     pa.array([np.array(x, type_b).tobytes() for x in ids_b], pa.binary())],
+                     pa.array([x.astype(type_a).tobytes() for x in ids_a], pa.binary()),
+                     pa.array([np.array(y, type_b).tobytes() for y in ids_b], pa.binary())],
                     names=["doc_row", "doc_id", "no", "chunks", "ok", "a_at", "b_at", "a", "b"])
                 first = last
 
