@@ -257,12 +257,15 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
 
 def identify(docs: DataFrame, model: Model, keep: list[str] | None = None, text_col: str = "text") -> DataFrame:
     """The columns named in `keep` (all, by default) with lang_pred and score."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # FEATURES numbers a language
+    # FEATURES numbers a language, as plain lists and arrays: a broadcast names classes
+    # by their module, which executors without the repository couldn't import.
+    shared = docs.sparkSession.sparkContext.broadcast((list(model.langs), model.weights, model.bias))
     columns = list(docs.columns if keep is None else keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = Model(*shared.value)
         for b in batches:
-            langs, scores = shared.value.predict(b.column(0).to_pylist())
+            langs, scores = known.predict(b.column(0).to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [b.column(i + 1) for i in range(len(columns))] + [pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
                 names=[f"c{i}" for i in range(len(columns))] + ["lang_pred", "score"])
