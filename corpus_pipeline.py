@@ -13,14 +13,12 @@ from pyspark.sql import functions as F
 from auric.llm import decontam, jaccard_join, langid, mixing, suffix_dedup
 from auric.llm.textbatch import table, written
 
-#: A document is rejected if no language is more likely than not.
-MIN_LANGUAGE_SCORE = 0.5
-
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep documents whose language is known; `lang` stays as it was given."""
+    """Keep documents whose language can be told: only empty texts and those without
+    a letter are rejected, so no short text is lost to a low score; `lang` stays as it was given."""
     found = langid.identify(docs, langid.fit(docs))
-    return found.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= MIN_LANGUAGE_SCORE)).select(*docs.columns)
+    return found.where(F.col("lang_pred") != langid.UNKNOWN).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
