@@ -9,7 +9,8 @@
                        key, other old rows stay; ``on_match='ignore'``
                        keeps the old row instead
 ``delete_insert``      keyed replace restricted to the partitions the batch
-                       touches (partition column is part of the key)
+                       touches (partition column is part of the key); a
+                       batch may hold several rows of one key
 =====================  ==================================================
 
 Keyed tables are laid out so that a batch rewrites only what it touches:
@@ -84,8 +85,9 @@ def guard_schema(stored: T.StructType, batch: T.StructType, ignore: Sequence[str
 
 
 def _inspect_batch(df: DataFrame, keys: Sequence[str], partition_col: str, check_keys: bool,
-                   limit: int = MAX_TOUCHED_PARTITIONS) -> list:
-    """One job: key uniqueness / NULL check and the touched partition values.
+                   limit: int = MAX_TOUCHED_PARTITIONS, unique: bool = True) -> list:
+    """One job: key uniqueness / NULL check and the touched partition values
+    (``unique=False`` allows several rows of one key).
 
     The partition column is a function of the key (bucket) or part of it
     (day), so per-key groups carry one partition value; the partition list
@@ -97,11 +99,12 @@ def _inspect_batch(df: DataFrame, keys: Sequence[str], partition_col: str, check
         null_key = null_key | F.col(k).isNull()
     per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"),
                                     F.first(partition_col).alias("_p"))
+    bad = ((F.col("_n") > 1) | null_key) if unique else null_key
     r = per_key.agg(
-        F.count_if((F.col("_n") > 1) | null_key).alias("_bad"),
+        F.count_if(bad).alias("_bad"),
         F.slice(F.collect_set("_p"), 1, limit + 1).alias("_parts")).first()
     if check_keys and r["_bad"]:
-        sample = (per_key.where((F.col("_n") > 1) | null_key).limit(5).collect())
+        sample = per_key.where(bad).limit(5).collect()
         raise WriteError(f"batch keys {keys} not unique / NULL ({r['_bad']} keys), "
                          f"e.g. {[x.asDict() for x in sample]}")
     parts = r["_parts"] or []
@@ -342,7 +345,9 @@ def delete_insert(df: DataFrame, path: str, keys: str | Sequence[str], partition
                   on_schema_change: str = "fail") -> None:
     """Replace the stored rows whose key occurs in the batch, then insert the batch.
 
-    ``partition_col`` must be one of ``keys``; only partitions present in the
+    The batch may hold several rows of one key (a group-by on more columns
+    than the key): all stored rows of that key go and all of the batch's rows
+    come in.  NULL keys are refused.  ``partition_col`` must be one of ``keys``; only partitions present in the
     batch are read and rewritten.  Keys absent from the batch stay as they are.
     ``on_match`` / ``order_by`` / ``delete_col`` as in :func:`merge_upsert`.
     """
@@ -354,7 +359,7 @@ def delete_insert(df: DataFrame, path: str, keys: str | Sequence[str], partition
     df = stage(df, "delete-insert")
     try:
         _rewrite(df, path, keys, partition_col, on_match, order_by, delete_col, check_keys,
-                 on_schema_change, MAX_TOUCHED_PARTITIONS)
+                 on_schema_change, MAX_TOUCHED_PARTITIONS, unique=False)
     finally:
         _unstage(df)
 
@@ -370,7 +375,7 @@ def replace_partitions(df: DataFrame, path: str, keys: str | Sequence[str], part
     keys = _keys(keys)
     df = stage(df, "replace-window")
     try:
-        touched = _inspect_batch(df, keys, partition_col, check_keys)
+        touched = _inspect_batch(df, keys, partition_col, check_keys, unique=False)
         if fs.has_data(spark, path) and on_schema_change == "fail":
             guard_schema(read_table(spark, path).schema, df.schema)
         prefix = f"{partition_col}="
@@ -423,7 +428,7 @@ def _combine(old_t: DataFrame, new: DataFrame, keys: list[str], on_match: str,
 
 def _rewrite(new: DataFrame, path: str, keys: list[str], partition_col: str, on_match: str,
              order_by: Sequence[str], delete_col: str | None, check_keys: bool,
-             on_schema_change: str, limit: int) -> None:
+             on_schema_change: str, limit: int, unique: bool = True) -> None:
     spark = new.sparkSession
     batch = new
     if on_match in ("earliest", "latest"):
@@ -431,7 +436,7 @@ def _rewrite(new: DataFrame, path: str, keys: list[str], partition_col: str, on_
             raise WriteError(f"NULL in key {keys}")     # _pick would fold such rows into one
         batch = _pick(new, keys, on_match, order_by)    # several rows per key inside the batch
         check_keys = False
-    touched = _inspect_batch(batch, keys, partition_col, check_keys, limit)
+    touched = _inspect_batch(batch, keys, partition_col, check_keys, limit, unique)
     if not fs.has_data(spark, path):
         first = batch
         if delete_col:

@@ -30,4 +30,4 @@ def register(name: str, oracle: str | None = None) -> Callable[[QueryFn], QueryF
 
 
 def load_all() -> None:
-    from auric.queries import audit, core, layout, quality, stream, writes  # noqa: F401
+    from auric.queries import audit, core, layout, quality, stream, versioned, writes  # noqa: F401

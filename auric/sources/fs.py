@@ -7,6 +7,9 @@ Only metadata calls live here — no data passes through the driver.
 
 from __future__ import annotations
 
+import uuid
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -100,3 +103,41 @@ def total_bytes(spark: SparkSession, path: str) -> int:
     """Bytes stored under ``path`` (a metadata call)."""
     fs, p = _fs(spark, path)
     return int(fs.getContentSummary(p).getLength()) if fs.exists(p) else 0
+
+
+def publish_text(spark: SparkSession, path: str, text: str) -> bool:
+    """Create ``path`` with ``text`` unless it exists; readers see it whole or not at all.
+
+    The text is written beside it and renamed without overwriting, which is
+    atomic on HDFS.  Returns False if another writer came first.
+    """
+    jvm = spark.sparkContext._jvm
+    fs, p = _fs(spark, path)
+    tmp = f"{p.getParent().toString()}/.{p.getName()}.{uuid.uuid4().hex}"
+    write_text(spark, tmp, text)
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(p.toUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    none = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
+    try:
+        context.rename(jvm.org.apache.hadoop.fs.Path(tmp), p, none)
+        return True
+    except Py4JJavaError as e:
+        if not fs.exists(p):
+            raise
+        del e
+        return False
+    finally:
+        delete(spark, tmp)
+
+
+def list_files(spark: SparkSession, path: str) -> list[str]:
+    """Names of the visible files directly under ``path``."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    return sorted(st.getPath().getName() for st in fs.listStatus(p)
+                  if st.isFile() and not st.getPath().getName().startswith("."))
+
+
+def modified_ms(spark: SparkSession, path: str) -> int:
+    fs, p = _fs(spark, path)
+    return int(fs.getFileStatus(p).getModificationTime())

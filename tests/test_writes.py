@@ -179,3 +179,36 @@ def test_null_keys_are_rejected(spark, work, on_match):
     df = spark.createDataFrame([(None, 1), (None, 2), (1, 3)], "id long, v long")
     with pytest.raises(W.WriteError):
         W.merge_upsert(df, work("nulls"), "id", on_match=on_match, order_by=["v"])
+
+
+def test_delete_insert_takes_several_rows_of_a_key(spark, work):
+    """Grouping by more columns than the key (a customer whose segment changes within
+    a day) gives two rows of one key: the key's old rows go, both come in."""
+    schema = "event_date date, customer_id string, segment string, n long"
+    d = dt.date(2024, 1, 1)
+    path = work("segments")
+    W.delete_insert(spark.createDataFrame([(d, "a", "SMB", 3), (d, "b", "SMB", 1)], schema), path,
+                    ["event_date", "customer_id"], "event_date")
+    both = spark.createDataFrame([(d, "a", "SMB", 2), (d, "a", "Startup", 1)], schema)
+    for _ in range(2):
+        W.delete_insert(both, path, ["event_date", "customer_id"], "event_date")
+    got = sorted((r.customer_id, r.segment, r.n) for r in W.read_table(spark, path).collect())
+    assert got == [("a", "SMB", 2), ("a", "Startup", 1), ("b", "SMB", 1)]
+    with pytest.raises(W.WriteError):
+        W.delete_insert(spark.createDataFrame([(d, None, "SMB", 2)], schema), path, ["event_date", "customer_id"], "event_date")
+
+
+def test_daily_features_of_a_customer_who_changes_segment(spark, work):
+    """The feature update and the window rewrite go on when a group is finer than the key."""
+    from auric.plans import gold, incremental, silver
+    from auric.sources import driver_tables as dtb
+    ev = silver.silver_events(dtb.runtime_events(spark, "/root/testdata/sf0.001"))
+    moved = ev.withColumn("segment", F.when(F.col("event_id") % 2 == 0, F.lit("Moved")).otherwise(F.col("segment")))
+    path = work("feature-segments")
+    for replace_window in (False, True):
+        incremental.update_feature_daily(ev, path)
+        incremental.update_feature_daily(moved, path, replace_window=replace_window)
+        start = F.date_sub(F.lit(moved.agg(F.max("event_date")).first()[0]), 3)
+        got, want = (df.where(F.col("event_date") >= start) for df in (W.read_table(spark, path), gold.feature_daily(moved)))
+        assert got.groupBy("event_date", "customer_id").count().where("count > 1").count() > 0
+        assert _fp(got, want.columns) == _fp(want, want.columns)
