@@ -81,7 +81,10 @@ _TITLE = frozenset(("header", "masthead", "banner"))
 #: Around a main part a form is layout: some servers put whole pages into one.
 _AROUND = SKIP - {"form"}
 _SKIP_ROLE = frozenset("navigation banner contentinfo complementary search dialog alert menu form".split())
-_TOKEN = re.compile(r"<!--.*?(?:-->|$)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
+_STOP = re.compile(r"[>\"']")
+#: Elements that a path names at most; deeper ones share their parent's path.
+MAX_DEPTH = 256
 _ATTRIBUTE = re.compile(r"([a-zA-Z_:][-\w:.]*)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
 _SPACES = re.compile(r"\s+")
 TOKENS = pa.list_(pa.struct([("token", pa.int64()), ("tag", pa.bool_()), ("n", pa.int32())]))
@@ -91,6 +94,60 @@ def _attributes(text: str) -> dict[str, str]:
     return {k.lower(): v.strip("\"'") for k, v in _ATTRIBUTE.findall(text)}
 
 
+class Markup:
+    """Tags, comments and declarations of a page, one after another.
+
+    Every character is looked at a bounded number of times, also in a page that
+    is cut off or never closes its quotes: where no ">" is left nothing more is a
+    tag, and a quote from which no end was found is remembered.
+    """
+
+    def __init__(self, page: str):
+        self.page, self.last = page, page.rfind(">")
+        self.dead: set[int] = set()  # quotes from which a tag has no end
+        self.name_end = 0
+
+    def tag_end(self, at: int) -> int:
+        """The place of the ">" that ends a tag, quoted values skipped; -1 for none."""
+        seen = []
+        while at <= self.last:
+            m = _STOP.search(self.page, at)
+            if m[0] == ">":
+                return m.start()
+            seen.append(m.start())
+            close = -1 if m.start() in self.dead else self.page.find(m[0], m.end())
+            if close < 0:
+                break
+            at = close + 1
+        self.dead.update(seen)
+        return -1
+
+    def next(self, at: int) -> tuple[int, int, bool, str, str] | None:
+        """(start, end, whether it closes, name, attributes); no name for comments
+        and declarations; None if there is no more."""
+        page = self.page
+        while (start := page.find("<", at)) >= 0:
+            if page.startswith("<!--", start):
+                end = page.find("-->", start + 4)
+                return start, len(page) if end < 0 else end + 3, False, "", ""
+            if start > self.last:
+                if (start := page.find("<!--", start)) < 0:
+                    return None
+                return start, len(page), False, "", ""
+            if page[start + 1:start + 2] in ("!", "?"):
+                return start, page.find(">", start) + 1, False, "", ""
+            first = start + 1 + page.startswith("/", start + 1)
+            letter = page[first:first + 1]
+            if letter.isascii() and letter.isalpha():
+                if self.name_end <= first:  # names that begin inside another one end with it
+                    self.name_end = _TAG.match(page, start).end()
+                end = self.tag_end(self.name_end)
+                if end >= 0:
+                    return start, end + 1, first > start + 1, page[first:self.name_end], page[self.name_end:end]
+            at = start + 1
+        return None
+
+
 def read(page: str) -> Iterator[tuple[str, str, str]]:
     """('tag', path, name), ('text', path, raw text) and ('end', path, name) in page order.
 
@@ -98,33 +155,38 @@ def read(page: str) -> Iterator[tuple[str, str, str]]:
     the standard closes implicitly (paragraphs, list items, cells) are closed.
     """
     open_: list[tuple[str, str]] = []  # element and its path
+    held: dict[str, int] = {}  # open elements by name
+    markup = Markup(page)
     at = 0
 
     def path() -> str:
         return open_[-1][1] if open_ else ""
 
     def close(names: frozenset[str], stop: frozenset[str]) -> Iterator[tuple[str, str, str]]:
+        if not any(held.get(n) for n in names):
+            return
         for k in range(len(open_) - 1, -1, -1):
             if open_[k][0] in names:
                 while len(open_) > k:
                     n, p = open_.pop()
+                    held[n] -= 1
                     yield "end", p, n
                 return
             if open_[k][0] in stop:
                 return
 
     while at < len(page):
-        m = _TOKEN.search(page, at)
-        text = page[at:m.start() if m else len(page)]
+        m = markup.next(at)
+        text = page[at:m[0] if m else len(page)]
         if text:
             yield "text", path(), text
         if not m:
             return
-        at = m.end()
-        name = (m[2] or "").lower()
+        _, at, closes, name, given = m
+        name = name.lower()
         if not name:
             continue
-        if m[1]:
+        if closes:
             yield from close(frozenset((name,)), frozenset(("article", "main", "body")) if name in INLINE | {"p"} else frozenset())
             continue
         if name in CLOSES_P:
@@ -132,14 +194,15 @@ def read(page: str) -> Iterator[tuple[str, str, str]]:
         if name in ("li", "option", "tr", "td", "th", "dt", "dd"):
             yield from close(frozenset((name,)), frozenset(("ul", "ol", "select", "table", "dl", "body")))
         step = name
-        if m[3]:
-            attributes = _attributes(m[3])
+        if given:
+            attributes = _attributes(given)
             mark = " ".join(filter(None, (attributes.get("class"), attributes.get("id"), attributes.get("role"))))
             step = f"{name}.{mark.replace('/', ' ')}" if mark else name
-        open_.append((name, f"{path()}/{step}" if open_ else step))
+        open_.append((name, path() if len(open_) >= MAX_DEPTH else f"{path()}/{step}" if open_ else step))
+        held[name] = held.get(name, 0) + 1
         yield "tag", path(), name
-        if name in VOID or (m[3] or "").endswith("/") and name not in INLINE:
-            open_.pop()
+        if name in VOID or given.endswith("/") and name not in INLINE:
+            held[open_.pop()[0]] -= 1
         elif name in RAW:
             end = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
             if end:
@@ -149,7 +212,7 @@ def read(page: str) -> Iterator[tuple[str, str, str]]:
             else:
                 at = len(page)
             p = path()
-            open_.pop()
+            held[open_.pop()[0]] -= 1
             yield "end", p, name
 
 
