@@ -20,6 +20,7 @@ are ignored.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,10 +34,8 @@ from auric.llm.textbatch import gram_hash, prefix_hash, runs, saved, span_hash,
 MIN_WORDS = 20
 REPEAT_WINDOW = 8
 MAX_REPEAT_PERCENT = 30
-#: A line in more distinct documents of a host than this, and than this share
-#: of the host's documents, is boilerplate.
+#: A line in more distinct documents of a host than this is boilerplate, however large the host.
 MAX_LINE_DOCUMENTS = 20
-MAX_LINE_SHARE = 0.001
 #: A document is depleted if fewer words than MIN_WORDS or than this share of
 #: its words remain.
 MIN_REMAINING = 0.2
@@ -46,6 +45,7 @@ SYMBOLS = np.zeros(256, bool)
 SYMBOLS[list(b"#*$%&|<>")] = True
 
 _ZERO_DIGITS = bytes.maketrans(b"123456789", b"000000000")
+_LETTER = re.compile(rb"[A-Za-z\x80-\xff]")
 
 FIGURES = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
 
@@ -87,7 +87,11 @@ def line_figures(text: bytes) -> tuple[int, list[int], list[int]]:
         if line in seen:
             repeats += 1
         seen.add(line)
-        normal = b" ".join(tokens).lower().translate(_ZERO_DIGITS)
+        # Numbers count as equal where words with letters tell the line; tables of numbers differ.
+        lettered = [_LETTER.search(t) is not None for t in tokens]
+        if 2 * sum(lettered) >= len(tokens) > sum(lettered):
+            tokens = [t if word else t.translate(_ZERO_DIGITS) for t, word in zip(tokens, lettered, strict=True)]
+        normal = b" ".join(tokens).lower()
         h = xxhash.xxh3_64_intdigest(normal)
         h = h - (1 << 64) if h >= 1 << 63 else h
         lines[h] = lines.get(h, 0) + len(tokens)
@@ -127,15 +131,13 @@ def document_figures(docs: DataFrame, id_col: str = "doc_id", host_col: str = "s
         run, f"doc_id {kind[id_col]}, host {kind[host_col]}, _text long, {FIGURES}, line array<long>, line_words array<long>")
 
 
-def frequent_lines(lines: DataFrame, host_documents: DataFrame, most: int = MAX_LINE_DOCUMENTS,
-                   share: float = MAX_LINE_SHARE) -> DataFrame:
+def frequent_lines(lines: DataFrame, most: int = MAX_LINE_DOCUMENTS) -> DataFrame:
     """(host_key, line) above the limit, from (host_key, _text, line)."""
-    n = (lines.groupBy("host_key", "line", "_text").agg(F.lit(1).alias("one"))
-         .groupBy("host_key", "line").agg(F.count("one").alias("n")).where(F.col("n") > most))
-    return n.join(host_documents, "host_key").where(F.col("n") > share * F.col("host_n")).select("host_key", "line")
+    return (lines.groupBy("host_key", "line", "_text").agg(F.lit(1).alias("one"))
+            .groupBy("host_key", "line").agg(F.count("one").alias("n")).where(F.col("n") > most).select("host_key", "line"))
 
 
-def judge(docs: DataFrame, most: int = MAX_LINE_DOCUMENTS, share: float = MAX_LINE_SHARE,
+def judge(docs: DataFrame, most: int = MAX_LINE_DOCUMENTS,
           id_col: str = "doc_id", host_col: str = "source", text_col: str = "text") -> DataFrame:
     """One row per document: the figures, base_failed, n_removed_words and kept."""
     own = saved(document_figures(docs, id_col, host_col, text_col)
@@ -143,8 +145,7 @@ def judge(docs: DataFrame, most: int = MAX_LINE_DOCUMENTS, share: float = MAX_LI
                 .withColumn("row", F.xxhash64("doc_id", "host", "_text")))
     lines = own.select("host_key", "_text", "row", F.explode(F.arrays_zip("line", "line_words")).alias("l")).select(
         "host_key", "_text", "row", F.col("l.line").alias("line"), F.col("l.line_words").alias("line_words"))
-    hosts = own.groupBy("host_key", "_text").agg(F.lit(1).alias("one")).groupBy("host_key").agg(F.count("one").alias("host_n"))
-    frequent = saved(frequent_lines(lines.select("host_key", "line", "_text"), hosts, most, share))
+    frequent = saved(frequent_lines(lines.select("host_key", "line", "_text"), most))
     # repeated rows have one key; their lines are joined once for all of them
     removed = (lines.select("host_key", "line", "row", "line_words").join(frequent, ["host_key", "line"])
                .groupBy("row", "line").agg(F.max("line_words").alias("line_words"))

@@ -184,12 +184,59 @@ def test_frequent_lines_go(spark):
     body = " ".join(f"w{k}" for k in range(30))
     docs = [(i, "Menu 1 of this site\n" + f"{i} " + " ".join(f"d{i}x{k}" for k in range(30)), "h") for i in range(30)]
     docs += [(100 + i, ("Menu  2 of THIS site\n" * 8) + f"own{i}", "h") for i in range(3)] + [(200, body, "h"), (201, body, "h")]
-    got = {r["doc_id"]: r for r in quality_rules.judge(spark.createDataFrame(docs, "doc_id long, text string, source string"), most=20, share=0.0).collect()}
+    got = {r["doc_id"]: r for r in quality_rules.judge(spark.createDataFrame(docs, "doc_id long, text string, source string"), most=20).collect()}
     assert all(got[i]["n_removed_words"] == 5 and got[i]["kept"] for i in range(30))
     assert all(got[100 + i]["n_removed_words"] == 40 and not got[100 + i]["kept"] for i in range(3))
     assert got[200]["kept"] and got[201]["kept"]
 
 
+def test_one_limit_at_every_size_and_numbers_stay(spark):
+    """A line's fate doesn't hang on its host's size, and tables of numbers are no boilerplate."""
+    rnd = np.random.default_rng(1)
+    docs = []
+    for host, n in (("small", 30), ("large", 3000)):
+        for i in range(n):
+            body = " ".join(f"d{i}x{k}" for k in range(30))
+            docs.append((len(docs), f"Share this 12 page\n{body}" if i < 25 else body, host))
+    docs += [(10_000 + i, " ".join(str(x) for x in rnd.integers(1000, 9999, 25)), "numbers") for i in range(60)]
+    got = quality_rules.judge(spark.createDataFrame(docs, "doc_id long, text string, source string")).collect()
+    removed = {r["doc_id"]: r["n_removed_words"] for r in got}
+    with_line = [i for i, t, _ in docs if t.startswith("Share")]
+    assert len({h for _, t, h in docs if t.startswith("Share")}) == 2 and {removed[i] for i in with_line} == {4}
+    assert all(removed[i] == 0 for i, _, h in docs if h == "numbers")
+    assert all(r["kept"] for r in got)
+
+
+def brute_kept(docs, most=20):
+    """`kept` and removed words by plain loops."""
+    def normal(line):
+        w = line.lower().split()
+        word = [re.search(r"[A-Za-z\u0080-\U0010ffff]", x) is not None for x in w]
+        fold = 2 * sum(word) >= len(w)
+        return " ".join(x if k or not fold else re.sub("[1-9]", "0", x) for x, k in zip(w, word, strict=True))
+
+    split = lambda t: [line for line in re.split("\n", t or "") if plain_words(line)]
+    lower = lambda t: (t or "").translate(AZ)
+    texts: dict = {}
+    for _, t, _, s in docs:
+        for line in {normal(" ".join(plain_words(lower(x)))) for x in split(t)}:
+            texts.setdefault((s, line), set()).add(t)
+    out = []
+    for i, t, _, s in docs:
+        gone = sum(len(plain_words(x)) for x in split(t) if len(texts[s, normal(" ".join(plain_words(lower(x))))]) > most)
+        n, rep = brute_rules(t)[0], brute_rules(t)[4]
+        failed = n < 20 or 100 * rep > 30 * n
+        depleted = gone > 0 and (n - gone < 20 or n - gone < 0.2 * n)
+        out.append((i, gone, not failed and not depleted))
+    return sorted(out)
+
+
+def test_kept_brute_force(spark):
+    docs = duckdb.sql("SELECT doc_id, text, lang, source FROM '/root/testdata/sf0.01/documents.parquet' WHERE length(text) < 3000 OR text IS NULL").fetchall()
+    got = quality_rules.judge(spark.createDataFrame(docs, "doc_id long, text string, lang string, source string"))
+    assert rows(got.select("doc_id", "n_removed_words", "kept")) == brute_kept(docs)
+
+
 # --- 6 classifier ---------------------------------------------------------
 
 def test_quality_scores(spark, awkward, nothing):
