@@ -63,9 +63,11 @@ def rank_cohorts(df: DataFrame, key: str, sizes: Sequence[int],
     for s in sizes:
         acc += int(s)
         cuts.append(acc)                    # cohort i holds ranks (cuts[i-1], cuts[i]]
-    # counted once, then read by two branches: checkpoint to the shared folder
-    hashed = _with_hash(df, key).checkpoint(eager=True)
-    buckets, offsets = _bucket_offsets(hashed)
+    # The key alone is read to count; then two filtered scans pick the rows.  The
+    # hash depends on the key only, so all three see the same buckets and nothing
+    # has to be written.
+    hashed = _with_hash(df, key)
+    buckets, offsets = _bucket_offsets(_with_hash(df.select(key), key))
 
     def label_of(rank: int) -> int | None:
         i = bisect_right(cuts, rank - 1)    # first cut >= rank

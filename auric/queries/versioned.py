@@ -1,4 +1,4 @@
-"""Queries on versioned tables and on differences between tables."""
+"""Queries on versioned tables, differences between tables and global quantiles."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from auric.functions.time import date_literal, ts_literal
-from auric.operators import diff
+from auric.operators import diff, quantiles
 from auric.operators.versioned import VersionedTable
 from auric.oracle import sql
 from auric.plans import gold, quality, replay, silver
@@ -124,3 +124,24 @@ def table_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
              .withColumn("csat", F.when(part == 1, F.lit(None)).otherwise(F.col("csat"))))
     right = right.unionByName(left.where(part == 2).withColumn("ticket_id", F.concat("ticket_id", F.lit("-x"))))
     return diff.table_diff(left, right, "ticket_id").select("ticket_id", "difference", "changed_columns")
+
+
+# --- global quantiles -----------------------------------------------------
+PROBABILITIES = (0.0, 0.01, 0.5, 0.95, 0.99, 1.0)
+_MEASURES = {"event_value": ("events", "value + event_id / 1000000.0"), "order_price": ("orders", "o_totalprice"),
+             "line_price": ("lineitem", "l_extendedprice")}
+
+
+@register("global_quantiles", " UNION ALL ".join(
+    f"SELECT '{name}' AS measure, CAST({p} AS DOUBLE) AS p, "
+    f"round(quantile_cont(CAST({expression} AS DOUBLE), {p}), 6) AS quantile FROM {table}"
+    for name, (table, expression) in _MEASURES.items() for p in PROBABILITIES))
+def global_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact quantiles of whole columns, one of them with all values distinct,
+    by selection instead of one buffer of all values."""
+    ensure_conf(spark)
+    rows = []
+    for name, (table, expression) in _MEASURES.items():
+        df = spark.read.parquet(f"{sf_dir}/{table}.parquet").select(F.expr(f"cast({expression} as double)").alias("x"))
+        rows += [(name, p, q) for p, q in zip(PROBABILITIES, quantiles.exact_quantiles(df, "x", PROBABILITIES), strict=True)]
+    return spark.createDataFrame(rows, "measure string, p double, quantile double").withColumn("quantile", F.round("quantile", 6))
