@@ -116,14 +116,12 @@ FROM v_events_dup
 QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY _ingested_at) = 1""")
 
 # Strict integer parse + label map: the Silver validity rule.
-NORMALIZE = """CASE
-    WHEN regexp_matches({c}, '^\\s*[+-]?\\d+\\s*$')
-         AND try_cast({c} AS INTEGER) BETWEEN 1 AND 4 THEN try_cast({c} AS INTEGER)
-    WHEN lower(trim({c})) = 'urgent' THEN 1
-    WHEN lower(trim({c})) = 'high' THEN 2
-    WHEN lower(trim({c})) = 'medium' THEN 3
-    WHEN lower(trim({c})) = 'low' THEN 4
-    ELSE CAST(NULL AS INTEGER) END"""
+# The labels and the numbers they stand for.
+LABELS = "(VALUES ('urgent', 1), ('high', 2), ('medium', 3), ('low', 4)) AS label(word, number)"
+NORMALIZE = f"""coalesce(
+    (SELECT number FROM {LABELS} WHERE word = lower(trim({{c}}))),
+    (SELECT i FROM range(1, 5) AS valid(i)
+     WHERE regexp_matches({{c}}, '^\\s*[+-]?\\d+\\s*$') AND i = try_cast({{c}} AS INTEGER)))"""
 
 REASON = """CASE
     WHEN {c} IS NULL THEN 'priority is null'
@@ -132,7 +130,7 @@ REASON = """CASE
     ELSE 'priority not mappable to 1..4' END"""
 
 cte("cdc_clean", ("v_tickets_cdc",), f"""
-SELECT *, {NORMALIZE.format(c='priority_raw')} AS priority_clean FROM v_tickets_cdc""")
+SELECT *, CAST({NORMALIZE.format(c='priority_raw')} AS INTEGER) AS priority_clean FROM v_tickets_cdc""")
 
 cte("current_state", ("cdc_clean",), """
 SELECT * FROM cdc_clean WHERE priority_clean IS NOT NULL

@@ -59,19 +59,24 @@ def lookback_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------- audits
-_LAG_CTES = """lagged AS (
-    SELECT CAST(date_diff('second', event_time, _ingested_at) AS DOUBLE) / 86400.0 AS lag,
-           _ingested_at > event_time + INTERVAL 1 DAY AS late
-    FROM silver_events),
+# Quantiles by ordered ranks: rank p * (n - 1), between its two neighbours.
+_LAG_CTES = """ranked AS (
+    SELECT lag, row_number() OVER (ORDER BY lag) - 1 AS k, count(*) OVER () AS n
+    FROM (SELECT (epoch(_ingested_at) // 1 - epoch(event_time) // 1) / 86400 AS lag FROM silver_events)),
+spots AS (
+    SELECT p, round(sum(lag * greatest(0, 1 - abs(k - p * (n - 1)))), 6) AS days
+    FROM ranked, (VALUES (0.5::DOUBLE), (0.95::DOUBLE), (0.99::DOUBLE)) AS v(p)
+    GROUP BY p),
+lagged AS (SELECT lag FROM ranked),
 prof AS (
-    SELECT round(quantile_cont(lag, 0.5), 6) AS p50_days,
-           round(quantile_cont(lag, 0.95), 6) AS p95_days,
-           round(quantile_cont(lag, 0.99), 6) AS p99_days,
-           round(max(lag), 6) AS max_days,
-           round(CAST(avg(CASE WHEN late THEN 1.0 ELSE 0.0 END) AS DOUBLE), 6) AS late_share,
-           count(*) AS n_rows,
-           CAST(ceil(round(quantile_cont(lag, 0.99), 6)) AS INT) AS lookback_days
-    FROM lagged)"""
+    SELECT (SELECT days FROM spots WHERE p = 0.5) AS p50_days,
+           (SELECT days FROM spots WHERE p = 0.95) AS p95_days,
+           (SELECT days FROM spots WHERE p = 0.99) AS p99_days,
+           (SELECT round(max(lag), 6) FROM ranked) AS max_days,
+           (SELECT round(count(*) FILTER (age > INTERVAL 1 DAY) / count(*), 6)
+            FROM (SELECT _ingested_at - event_time AS age FROM silver_events)) AS late_share,
+           (SELECT count(*) FROM ranked) AS n_rows,
+           CAST((SELECT ceil(days) FROM spots WHERE p = 0.99) AS INT) AS lookback_days)"""
 _LAG = """SELECT prof.*,
        round((SELECT count(*) FROM lagged WHERE lag > prof.lookback_days) / prof.n_rows, 6)
            AS beyond_share
@@ -141,21 +146,19 @@ def _naive_target(se: DataFrame) -> DataFrame:
 
 
 @register("missing_pairs", sql("""
-SELECT s.event_date, count(DISTINCT s.customer_id) AS n_missing
-FROM silver_events s LEFT JOIN naive_gold g
-  ON g.event_date = s.event_date AND g.customer_id = s.customer_id
-WHERE g.customer_id IS NULL GROUP BY 1""", "silver_events", local=_NAIVE_GOLD))
+SELECT event_date, count(*) AS n_missing
+FROM (SELECT event_date, customer_id FROM silver_events EXCEPT SELECT event_date, customer_id FROM naive_gold)
+GROUP BY event_date""", "silver_events", local=_NAIVE_GOLD))
 def missing_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     se = silver_events_of(spark, sf_dir)
     return audit.missing_by_day(se, _naive_target(se))
 
 
 @register("missing_arrivals", sql("""
-SELECT s.event_date, min(s.ingested_date) AS first_arrival, max(s.ingested_date) AS last_arrival,
-       count(*) AS n_rows
-FROM silver_events s LEFT JOIN naive_gold g
-  ON g.event_date = s.event_date AND g.customer_id = s.customer_id
-WHERE g.customer_id IS NULL GROUP BY 1""", "silver_events", local=_NAIVE_GOLD))
+SELECT event_date, min(ingested_date) AS first_arrival, max(ingested_date) AS last_arrival, count(*) AS n_rows
+FROM (SELECT *, bool_or(ingested_date = event_date) OVER (PARTITION BY event_date, customer_id) AS same_day
+      FROM silver_events)
+WHERE NOT same_day GROUP BY event_date""", "silver_events"))
 def missing_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
     se = silver_events_of(spark, sf_dir)
     return audit.missing_arrivals(se, _naive_target(se))
