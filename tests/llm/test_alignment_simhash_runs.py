@@ -59,8 +59,9 @@ def brute_alignment(docs):
                 own.append((x, ids_b[j]))
                 j += 1
         groups, x, y = [], 0, 0
+        place_a, place_b = ({e: k for k, e in enumerate(ends)} for ends in (ends_a, ends_b))
         for end in sorted((set(ends_a) & set(ends_b)) - {0}):
-            nx, ny = ends_a.index(end), ends_b.index(end)
+            nx, ny = place_a[end], place_b[end]
             groups.append(",".join(map(str, ids_a[x:nx])) + "|" + ",".join(map(str, ids_b[y:ny])))
             x, y = nx, ny
         digest = hashlib.sha256(";".join(groups).encode()).hexdigest() if ids_a else ""
