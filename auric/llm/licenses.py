@@ -1,23 +1,27 @@
 r"""Licence scans with a positional index of rare words.
 
-Templates are short licence texts.  Every template is indexed under its
-words' postings (word, offset).  The documents give each word's frequency,
-and a template is looked up by its rarest words: where a file holds the
-rarest one, the postings of the others, shifted by their offsets, are
-intersected with it.
+Templates are short licence phrases and sentences of licence texts.  The
+documents give each word's frequency; a file is looked up by the rarest word
+of each phrase, and only where it holds one are the postings (word, place) of
+its licence words kept.
 
 * A *phrase* template matches where all its words stand consecutively: the
-  intersection of all its shifted postings.
-* A *text* template matches where at least `VOTES` of its `RARE` rarest words
-  agree on a start, most of its words (`COVERAGE`) follow from there, and its
-  mandatory key phrase stands among them word for word.
+  postings of its words, the rarest first, are shifted by their offsets and
+  intersected.
+* A *notice* has a mandatory key phrase, which is found in the same way.  Its
+  place gives every other word of the notice a place, and the notice matches
+  where at least `COVERAGE` of its words stand within `SLACK` words of theirs.
+
+The order of lookups decides only the work: what a file matches depends on
+its own words alone.
 
 Everything happens within a row by array functions, so a scan needs no
 shuffle beyond the count of the templates' words (a fixed, small set).
 
 Defined cases: null and empty texts have no words, no places and score 0;
-ties between equally rare words go to the smaller offset; repeated rows and
-ids each give a row; other columns are ignored; an empty table gives no rows.
+ties between equally rare words go to the smaller offset; a place found twice
+counts once; repeated rows and ids each give a row; other columns are ignored;
+an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -57,14 +61,29 @@ NOTICES = (
      "unencumbered software released into the public domain"),
     ("cc-by-sa", "creative commons attribution sharealike", "creative commons attribution sharealike"),
     ("epl", "eclipse public license", "eclipse public license"),
+    ("mit", "the above copyright notice and this permission notice shall be included in all copies or substantial "
+            "portions of the software", "this permission notice shall be included in all copies"),
+    ("bsd", "redistributions of source code must retain the above copyright notice this list of conditions and "
+            "the following disclaimer", "redistributions of source code must retain the above copyright notice"),
+    ("zlib", "altered source versions must be plainly marked as such and must not be misrepresented as being the "
+             "original software", "altered source versions must be plainly marked as such"),
+    ("boost", "boost software license", "boost software license"),
+    ("wtfpl", "do what the fuck you want to public license", "do what the fuck you want to public license"),
+    ("cc0", "to the extent possible under law the author has waived all copyright and related or neighboring rights "
+            "to this work", "waived all copyright and related or neighboring rights"),
+    ("cc-by-nc", "creative commons attribution noncommercial", "creative commons attribution noncommercial"),
+    ("cc-by-nd", "creative commons attribution noderivatives", "creative commons attribution noderivatives"),
+    ("artistic", "the artistic license", "the artistic license"),
+    ("gfdl", "permission is granted to copy distribute and or modify this document under the terms of the gnu free "
+             "documentation license", "gnu free documentation license"),
+    ("ofl", "this font software is licensed under the sil open font license", "sil open font license"),
+    ("psf", "python software foundation license", "python software foundation license"),
 )
 
-#: Share of a text template's words that must follow from the agreed start.
+#: Share of a notice's words that must stand near the places that its key phrase gives them.
 COVERAGE = 0.8
-#: Words that may be inserted or missing before a rare word or after the end.
+#: Words that may be inserted or missing between the key phrase and another word.
 SLACK = 4
-#: Rarest words by which a text template is looked up, and how many must agree.
-RARE, VOTES = 4, 2
 
 # Fixed value: the contract's word rule, on text with A-Z in lower case.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -89,10 +108,20 @@ class Template:
     key: tuple[str, ...] = ()
     base: bool = False
 
-    def rarest(self, frequency: dict[str, int]) -> list[tuple[str, int]]:
-        """Distinct words with their first offset, the rarest first."""
-        first = {w: i for i, w in reversed(list(enumerate(self.words)))}
-        return sorted(first.items(), key=lambda x: (frequency.get(x[0], 0), x[1]))
+    @property
+    def phrase(self) -> tuple[str, ...]:
+        """The words that must stand consecutively."""
+        return self.words if self.base else self.key
+
+    @property
+    def offset(self) -> int:
+        """The place of the phrase in the template."""
+        n = len(self.phrase)
+        return next(i for i in range(len(self.words)) if self.words[i:i + n] == self.phrase)
+
+    def by_rarity(self, frequency: dict[str, int]) -> list[tuple[str, int]]:
+        """The phrase's words with their offsets, the rarest first."""
+        return sorted(((w, i) for i, w in enumerate(self.phrase)), key=lambda x: (frequency.get(x[0], 0), x[1]))
 
 
 def templates() -> list[Template]:
@@ -117,41 +146,39 @@ def _shifted(word: str, offset: int) -> Column:
 
 
 def _phrase_starts(t: Template, frequency: dict[str, int]) -> Column:
-    offsets = {(w, i) for i, w in enumerate(t.words)}
-    order = sorted(offsets, key=lambda x: (frequency.get(x[0], 0), x[1]))
+    """Places where the template's phrase stands."""
+    order = t.by_rarity(frequency)
     out = _shifted(*order[0])
     for word, offset in order[1:]:
         out = F.array_intersect(out, _shifted(word, offset))
-    return F.array_distinct(out)
+    held = F.exists("postings", lambda p: p["word"] == order[0][0])
+    return F.when(held, F.array_distinct(out)).otherwise(F.array().cast("array<int>"))
+
 
+def _notice_matches(t: Template, frequency: dict[str, int]) -> Column:
+    """(start, share of the notice's words) at every place of its key phrase that verifies."""
+    placed = F.array(*[F.struct(F.lit(w).alias("word"), F.lit(i - t.offset).alias("at")) for i, w in enumerate(t.words)])
 
-def _text_matches(t: Template, frequency: dict[str, int]) -> Column:
-    """(start, share of the template's words) at every start that verifies."""
-    lists = F.array(*[_shifted(*r) for r in t.rarest(frequency)[:RARE]])
-    starts = F.filter(F.array_distinct(F.flatten(lists)), lambda s: F.size(F.filter(
-        lists, lambda of: F.exists(of, lambda o: F.abs(o - s) <= SLACK))) >= VOTES)
-    vocabulary = sorted(set(t.words))
-    key = " " + " ".join(t.key) + " "
+    def near(s: Column, word: Column) -> Column:
+        low, high = F.greatest(s + word["at"] - SLACK, F.lit(0)), F.greatest(s + word["at"] + SLACK + 1, F.lit(0))
+        return F.array_contains(F.slice("words", low + 1, high - low), word["word"])
 
     def verify(s: Column) -> Column:
-        near = F.slice("words", F.greatest(s - SLACK, F.lit(0)) + 1, len(t.words) + 2 * SLACK)
-        share = F.size(F.array_intersect(near, _literal(vocabulary))) / F.lit(float(len(vocabulary)))
-        whole = F.concat(F.lit(" "), F.array_join(near, " "), F.lit(" "))
-        return F.struct(s.alias("start"), F.when(whole.contains(key), share).otherwise(0.0).alias("share"))
+        share = F.size(F.filter(placed, lambda word: near(s, word))) / F.lit(float(len(t.words)))
+        return F.struct((s - t.offset).alias("start"), share.alias("share"))
 
-    return F.filter(F.transform(starts, verify), lambda m: m["share"] >= COVERAGE)
+    return F.filter(F.transform(_phrase_starts(t, frequency), verify), lambda m: m["share"] >= COVERAGE)
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Licence findings of every row: its words, the places of base phrases,
     labels of base and other templates, and a score."""
     all_templates = templates()
-    vocabulary = sorted({w for t in all_templates for w in t.words})
+    vocabulary = sorted({w for t in all_templates for w in t.phrase})
     words = docs.select(docs[id_col].alias("id"), word_array(docs[text_col]).alias("words"))
     frequency = word_frequency(words, vocabulary)
-    rare = {w for t in all_templates if not t.base for w, _ in t.rarest(frequency)[:RARE]}
-    anchors = sorted({t.rarest(frequency)[0][0] for t in all_templates if t.base} | rare)
-    indexed = sorted({w for t in all_templates if t.base for w in t.words} | rare)
+    anchors = sorted({t.by_rarity(frequency)[0][0] for t in all_templates})
+    indexed = sorted({w for t in all_templates for w in t.phrase})
     # postings only where a file holds some template's rare word
     postings = F.when(
         F.arrays_overlap("words", _literal(anchors)),
@@ -160,7 +187,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     found = words.withColumn("postings", postings)
     base = F.array(*[F.struct(F.lit(t.label).alias("label"), _phrase_starts(t, frequency).alias("starts"))
                      for t in all_templates if t.base])
-    texts = F.array(*[F.struct(F.lit(t.label).alias("label"), _text_matches(t, frequency).alias("hits"))
+    texts = F.array(*[F.struct(F.lit(t.label).alias("label"), _notice_matches(t, frequency).alias("hits"))
                       for t in all_templates if not t.base])
     none = F.size("postings") == 0
     found = found.select(
@@ -169,7 +196,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
         F.when(~none, F.filter(texts, lambda b: F.size(b["hits"]) > 0)).alias("texts"))
     starts = F.flatten(F.transform("base", lambda b: b["starts"]))
     base_labels = F.coalesce(F.array_distinct(F.transform("base", lambda b: b["label"])), F.array().cast("array<string>"))
-    text_labels = F.coalesce(F.transform("texts", lambda b: b["label"]), F.array().cast("array<string>"))
+    text_labels = F.coalesce(F.array_distinct(F.transform("texts", lambda b: b["label"])), F.array().cast("array<string>"))
     best = F.coalesce(F.array_max(F.flatten(F.transform(
         "texts", lambda b: F.transform(b["hits"], lambda h: h["share"])))), F.lit(0.0))
     return found.select(
