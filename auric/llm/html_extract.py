@@ -9,13 +9,14 @@ writes.  Their structure tokens, nested by their paths, are the template; a
 text token in a valid class is written by the template too.  What stands
 between the template's tokens are its slots.
 
-Extraction goes through a page block by block; a block belongs to the slot
-of the deepest template token around it.  Blocks that the template itself
-writes are left out wherever they stand, in an article too, and so are blocks
-in menus, headers, footers, sidebars, notices, adverts, forms, scripts,
-styles and reader comments (by tag, role, class or id).  Of what is left, the
-article or main part counts alone unless a slot outside holds more text than
-it; then, and where there is none, all slots count.
+Extraction goes through a page block by block.  Left out are blocks that the
+template itself writes, and blocks in menus, headers, footers, sidebars,
+notices, adverts, forms, scripts, styles and reader comments (by tag, role,
+class or id).  Inside an article or main part the template's blocks go only
+after its last slot; headings and lines between slots are the article's own,
+however many pages have them.  The article or main part counts alone, unless
+an element beside it is named as text (class or id "text", "story", ...);
+then, and where there is none, all slots count.  No length decides.
 
 Pages of a host with the same blocks (after the tag rules, so adverts and
 menus don't matter) count as one page, and a valid class holds a structure
@@ -40,6 +41,7 @@ from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 
@@ -75,6 +77,8 @@ _COMMENT = re.compile(r"comments?|replies|respond|disqus", re.I)
 _AFFIX = re.compile(
     r"\d+|site|global|top|bottom|left|right|main|primary|secondary|wrap|wrapper|container|inner|outer|area|section|block|box|bar|"
     r"list|items?|buttons?|links?|icons?|slot|unit|posts?|form|text|message|signup", re.I)
+#: Names of an element that holds a page's text outside its main part.
+_TEXT = re.compile(r"text|content|story|entry|articlebody", re.I)
 _PARTS = re.compile(r"[_-]+")
 #: The title block's own names, which a header of an article may have.
 _TITLE = frozenset(("header", "masthead", "banner"))
@@ -323,32 +327,42 @@ def parts(page: str) -> Iterator[tuple[str, str, bool, str]]:
     yield from block()
 
 
-def slots(page: str, template: frozenset[int]) -> list[tuple[str, bool, str]]:
-    """(slot, in main part, text) of every block that neither the tag rules
-    leave out nor the template writes, in page order.
+def _text_parts(paths: list[str], main_paths: list[str]) -> bool:
+    """Whether one of the paths goes through an element that is named as text
+    (by class or id) and that holds none of the main part's paths."""
+    mains = sorted(f"{m}/" for m in main_paths)
+    known: set[str] = {""}
+    for path in set(paths):
+        at = path
+        while at not in known:
+            known.add(at)
+            if _named(at.rpartition("/")[2].partition(".")[2], _TEXT):
+                here = bisect_left(mains, f"{at}/")
+                if here == len(mains) or not mains[here].startswith(f"{at}/"):
+                    return True
+            at = at.rpartition("/")[0]
+    return False
 
-    The slot is the path of the deepest template token around the block."""
-    known: dict[str, str] = {}
 
-    def slot(path: str) -> str:
-        if path not in known:
-            at = path
-            while at and structure(at) not in template:
-                at = at.rpartition("/")[0]
-            known[path] = at
-        return known[path]
+def slots(page: str, template: frozenset[int]) -> list[tuple[str, bool, str]]:
+    """(path, in main part, text) of every block that neither the tag rules
+    leave out nor the template writes, in page order.
 
-    return [(slot(path), main, text) for kind, path, main, text in parts(page)
-            if kind == "text" and text_token(path, text) not in template]
+    In the main part the template's blocks stay up to the page's last own one:
+    a heading or line between the slots of an article belongs to it, what the
+    template writes after the last slot closes it.  A main part without a block
+    of its own stays whole."""
+    blocks = [(path, main, text, text_token(path, text) not in template)
+              for kind, path, main, text in parts(page) if kind == "text"]
+    last = max((i for i, (_, main, _, own) in enumerate(blocks) if main and own), default=len(blocks))
+    return [(path, main, text) for i, (path, main, text, own) in enumerate(blocks) if own or main and i <= last]
 
 
 def extract(page: str, template: frozenset[int]) -> str:
     """Text of the main slots of a page, a line for each block."""
     blocks = slots(page, template)
-    size: Counter = Counter()
-    for at, main, text in blocks:
-        size["" if main else at, main] += len(text)
-    main_only = bool(size) and max((n, main) for (_, main), n in size.items())[1]
+    inside = [path for path, main, _ in blocks if main]
+    main_only = bool(inside) and not _text_parts([path for path, main, _ in blocks if not main], inside)
     return "\n".join(text for _, main, text in blocks if main or not main_only)
 
 

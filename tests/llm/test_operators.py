@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 
 from collections import Counter
@@ -120,6 +121,47 @@ def test_longer_notices(spark):
     assert got[3][1] == "mit" and 0.8 <= got[3][2] < 1
 
 
+def brute_notices(text):
+    """Labels and best share: every place of a key phrase, every word of its notice looked for around its own place."""
+    w, labels, best = lower_words(text), set(), 0.0
+    for label, notice, key in licenses.NOTICES:
+        t, k = notice.split(), key.split()
+        at = next(i for i in range(len(t)) if t[i:i + len(k)] == k)
+        for s in range(len(w) - len(k) + 1):
+            if w[s:s + len(k)] == k:
+                near = [range(max(s - at + i - licenses.SLACK, 0), max(s - at + i + licenses.SLACK + 1, 0)) for i in range(len(t))]
+                share = sum(t[i] in w[near[i].start:near[i].stop] for i in range(len(t))) / len(t)
+                if share >= licenses.COVERAGE:
+                    labels.add(label)
+                    best = max(best, share)
+    return labels, best
+
+
+def test_notices_brute_force(spark):
+    """Random cuts of every notice: the same findings whatever else is in the table."""
+    rng = random.Random(5)
+    texts = ["", "or modify it under the terms", " ".join(licenses.NOTICES[0][2].split())]
+    for _, notice, _ in licenses.NOTICES:
+        words = notice.split()
+        for _ in range(12):
+            a, b = rng.randint(0, 5), rng.randint(0, 5)
+            cut = words[a:len(words) - b]
+            for _ in range(rng.randint(0, 4)):
+                cut.insert(rng.randint(0, len(cut)), rng.choice(["x", "the", "software", "license"]))
+            texts.append(" ".join(["Some"] * rng.randint(0, 6) + cut) + rng.choice(["", ". " + notice.upper()]))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    other = spark.createDataFrame([(1000 + i, n) for i, (_, n, _) in enumerate(licenses.NOTICES)] + [(2000, "associated documentation files")],
+                                  "doc_id long, text string")
+    got = {r["doc_id"]: r for r in licenses.scan(docs).collect()}
+    for i, text in enumerate(texts):
+        labels, best = brute_notices(text)
+        base = {x for x in got[i]["base_labels"].split(",") if x}
+        assert got[i]["labels"] == ",".join(sorted(labels | base)), text
+        assert abs(got[i]["score"] - (1.0 if base else best)) < 1e-12, text
+    again = {r["doc_id"]: r for r in licenses.scan(docs.unionByName(other)).where("doc_id < 1000").collect()}
+    assert again == got and sum(bool(r["labels"]) for r in got.values()) > len(texts) // 2
+
+
 # --- 4 mix ----------------------------------------------------------------
 
 def test_mix_matches_sql(spark):
@@ -358,6 +400,19 @@ def test_html_template_decides_inside_articles(spark):
     assert got[107] == "The long report number 7 stands outside.\nCard 7"
 
 
+def test_html_headings_of_every_article_stay(spark):
+    """Headings between the slots of a template are the articles' own; a longer box beside a short article isn't its text."""
+    page = ("<html><body><article><h2>Summary</h2><p>Words {0} first.</p><h2>Conclusion</h2><p>Words {0} last.</p>"
+            "<p>All rights reserved</p></article></body></html>")
+    box = "<html><body><article><p>Short {0}.</p></article><div class='box'>An unrelated box, number {0}, longer than the article</div></body></html>"
+    got = html_texts(spark, [(i, "http://a.example/x", page.format(i)) for i in range(30)]
+                     + [(100 + i, "http://b.example/x", box.format(i)) for i in range(30)]
+                     + [(200 + i, "http://c.example/x", "<article><p>The same on every page</p></article>" + f"<div class='ad'>{i}</div>") for i in range(9)])
+    assert got[7] == "Summary\nWords 7 first.\nConclusion\nWords 7 last."
+    assert got[107] == "Short 7."
+    assert got[207] == "The same on every page"
+
+
 def test_html_copies_are_no_template(spark):
     """A third of a host's pages are copies, some with other adverts or titles; a host of four pages has its own template."""
     frame = "<html><body><div class='top'>All about {1}</div><div class='ad'>Offer {0}</div><div class='text'>{2}</div></body></html>"
