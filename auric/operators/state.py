@@ -28,8 +28,12 @@ def first_per_key(df: DataFrame, keys: str | Sequence[str], order: Sequence[Colu
 
 def latest_per_key(df: DataFrame, keys: str | Sequence[str],
                    order_by: Sequence[str] = ("event_time", "cdc_seq")) -> DataFrame:
-    """Row with the greatest ``order_by`` tuple per key (ties: undefined as in SQL)."""
-    return first_per_key(df, keys, [F.col(c).desc() for c in order_by])
+    """Row with the greatest ``order_by`` tuple per key.
+
+    Remaining columns act as a tie-break, so two runs pick the same row.
+    """
+    keys = _as_list(keys)
+    return first_per_key(df, keys, [F.col(c).desc() for c in order_by] + _tie_break(df, keys, order_by))
 
 
 def earliest_per_key(df: DataFrame, keys: str | Sequence[str],
@@ -40,10 +44,12 @@ def earliest_per_key(df: DataFrame, keys: str | Sequence[str],
     two deliveries arrive at the same instant with different payloads.
     """
     keys = _as_list(keys)
-    rest = [c for c in df.columns if c not in keys and c not in order_by
-            and _orderable(df, c)]
-    order = [F.col(c).asc() for c in order_by] + [F.col(c).asc_nulls_first() for c in rest]
-    return first_per_key(df, keys, order)
+    return first_per_key(df, keys, [F.col(c).asc() for c in order_by] + _tie_break(df, keys, order_by))
+
+
+def _tie_break(df: DataFrame, keys: list[str], order_by: Sequence[str]) -> list[Column]:
+    return [F.col(c).asc_nulls_first() for c in df.columns
+            if c not in keys and c not in order_by and _orderable(df, c)]
 
 
 def _orderable(df: DataFrame, name: str) -> bool:

@@ -14,6 +14,7 @@ from auric.session import ensure_conf, workspace
 from auric.sources import driver_tables as dtb
 from auric.sources.jsonl import EVENT_SCHEMA
 from auric.streaming import ingest
+from auric.streaming.features import FeatureUpkeep
 
 TOPIC_FILES = 12                   # at least; more as the table grows
 TOPIC_FILE_BYTES = 64 * 1024 * 1024
@@ -85,10 +86,10 @@ def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_feature_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily features kept current from the stream, late events included."""
     topic = _topic(spark, sf_dir)
-    silver_path, gold_path = workspace(spark, "silver-events"), workspace(spark, "gold-features")
+    path, gold_path = workspace(spark, "feature-state"), workspace(spark, "gold-features")
     ckpt = workspace(spark, "ckpt")
     make = lambda: ingest.read_topic(spark, topic, EVENT_SCHEMA, FILES_PER_TRIGGER)
-    ingest.run_with_restart(make, ingest.feature_upkeep(silver_path, gold_path), ckpt, None)
+    ingest.run_with_restart(make, FeatureUpkeep(path, gold_path), ckpt, None)
     return read_gold(spark, gold_path)
 
 

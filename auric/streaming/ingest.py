@@ -30,8 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from auric.operators.write import MAX_TOUCHED_PARTITIONS, delete_insert, merge_upsert, read_table
-from auric.plans import gold
+from auric.operators.write import merge_upsert, read_table
 from auric.sources import fs
 from auric.sources.jsonl import JSON_WRITE_OPTIONS, _TS_FORMAT
 
@@ -126,32 +125,5 @@ def dedup_stream(stream: DataFrame, key: str | Sequence[str], event_time: str,
             .withWatermark(wm, delay).dropDuplicatesWithinWatermark(keys).drop(wm))
 
 
-def feature_upkeep(silver_path: str, gold_path: str) -> Callable[[DataFrame, int], None]:
-    """foreachBatch handler: store the batch's events (earliest delivery wins,
-    partitioned by event_date), then recompute the daily features of every
-    (day, customer) the batch touched from the stored events of those days
-    only, and replace those keys in Gold.
-
-    Per batch the work is proportional to the days it touches, not to the
-    history.  Late events correct their day instead of being dropped, the way
-    the lookback re-computation does in batch; a streaming aggregate would
-    need an approximate distinct and would discard rows behind the watermark.
-    """
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        events = batch.withColumn("event_date", F.to_date("event_time"))
-        delete_insert(events, silver_path, ["event_date", "event_id"], "event_date",
-                      on_match="earliest", order_by=["_ingested_at"])
-        spark = batch.sparkSession
-        touched = events.select("event_date", "customer_id").distinct()
-        days = [r[0] for r in touched.select("event_date").distinct()
-                .limit(MAX_TOUCHED_PARTITIONS + 1).collect()]
-        if len(days) > MAX_TOUCHED_PARTITIONS:
-            raise ValueError("micro-batch touches too many days")
-        stored = read_table(spark, silver_path).where(F.col("event_date").isin(days))
-        redo = gold.feature_daily(stored.join(touched, ["event_date", "customer_id"], "left_semi"))
-        delete_insert(redo, gold_path, gold.FEATURE_KEYS, "event_date")
-    return handle
-
-
 def has_table(spark: SparkSession, path: str) -> bool:
     return fs.has_data(spark, path)
