@@ -110,13 +110,15 @@ class FeatureUpkeep:
         events = spark.read.schema(events.schema).parquet(staged)
         days = self._days(events)
         if days:
-            self._accept(events, batch_id, days)
-            accepted, replaced = self._accepted(events.schema, spark, batch_id, days)
+            replaces = self._accept(events, batch_id, days)
+            accepted = self._read(spark, events.schema, [f"log/batch_id={batch_id}"])
             changes = accepted.withColumn(SIGN, F.lit(1))
-            if replaced is not None:
-                changes = changes.unionByName(replaced.withColumn(SIGN, F.lit(-1)))
+            if replaces:
+                log = self.events(spark, events.schema, batch_id).where(F.col("event_date").isin(days))
+                stored = log.join(accepted.select(*EVENT_KEY), EVENT_KEY, "left_semi")
+                changes = changes.unionByName(earliest_per_key(stored, EVENT_KEY, [ARRIVAL]).withColumn(SIGN, F.lit(-1)))
             self._write(facts(changes), "state", f"batch_id={batch_id}")
-            self._to_gold(spark, batch_id, days, changes.select(*FEATURE_KEYS).distinct(), replaced is not None)
+            self._to_gold(spark, batch_id, days, changes.select(*FEATURE_KEYS).distinct(), replaces)
         fs.delete(spark, staged)
         if self.snapshot_every and (batch_id + 1) % self.snapshot_every == 0:
             self._write(self.state(spark, batch_id), "snapshot", f"upto={batch_id}")
@@ -166,9 +168,11 @@ class FeatureUpkeep:
         return net(found) if found is not None else spark.createDataFrame([], schema)
 
     # ------------------------------------------------------------ a batch
-    def _accept(self, events: DataFrame, batch_id: int, days: list) -> None:
-        """Write the batch's events that are new or earlier than the stored ones."""
+    def _accept(self, events: DataFrame, batch_id: int, days: list) -> bool:
+        """Write the batch's events that are new or earlier than the stored ones;
+        whether any of them may replace a stored one."""
         new = earliest_per_key(events, EVENT_KEY, [ARRIVAL])
+        replaces = False
         log = self.events(events.sparkSession, events.schema, batch_id)
         if log is not None:
             log = log.where(F.col("event_date").isin(days))
@@ -177,26 +181,15 @@ class FeatureUpkeep:
             marked = new.join(known, EVENT_KEY, "left")
             fresh = marked.where(F.col("_here").isNull())
             contested = marked.where(F.col("_here") & ~F.coalesce(F.col("_known") < F.col(ARRIVAL), F.lit(False)))
-            if contested.limit(1).count():
+            replaces = contested.limit(1).count() > 0
+            if replaces:
                 contested = contested.select(*events.columns)
                 stored = log.join(contested.select(*EVENT_KEY), EVENT_KEY, "left_semi")
                 fresh = fresh.select(*events.columns).unionByName(
                     earliest_per_key(stored.unionByName(contested), EVENT_KEY, [ARRIVAL]))
             new = fresh.select(*events.columns)
         self._write(new, "log", f"batch_id={batch_id}")
-
-    def _accepted(self, schema: T.StructType, spark: SparkSession, batch_id: int,
-                  days: list) -> tuple[DataFrame, DataFrame | None]:
-        """The batch's accepted events and the stored ones that they replace (None for none)."""
-        accepted = self._read(spark, schema, [f"log/batch_id={batch_id}"])
-        log = self.events(spark, schema, batch_id)
-        if log is None:
-            return accepted, None
-        log = log.where(F.col("event_date").isin(days))
-        ids = accepted.select(*EVENT_KEY)
-        if not log.select(*EVENT_KEY).join(ids, EVENT_KEY, "left_semi").limit(1).count():
-            return accepted, None
-        return accepted, earliest_per_key(log.join(ids, EVENT_KEY, "left_semi"), EVENT_KEY, [ARRIVAL])
+        return replaces
 
     def _to_gold(self, spark: SparkSession, batch_id: int, days: list, touched: DataFrame, emptied: bool) -> None:
         """Finalise the touched keys and replace them in Gold."""
