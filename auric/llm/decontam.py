@@ -1,25 +1,29 @@
-r"""Benchmark decontamination with a positional inverted index.
+r"""Benchmark decontamination with a distributed positional inverted index.
 
 Every benchmark item is cut into windows of 13 consecutive words (an item of
-fewer words is one window).  The documents give each benchmark word's
-collection frequency, and a window is looked up by its rarest word: that
-word's postings (document, position), shifted by its offset in the window,
-are the candidate starts.  They are intersected with the shifted postings of
-the next rarest word and then of all the others, which leaves exactly the
-places where the window stands word for word.  Candidates that hold the
-rarest words near each other, but not the whole window, are proximity
-matches.
-
-The index is kept per document: the other words' postings are read at their
-offset from the candidate in the same row, so only rows of rare words, not
-the postings of all words, meet the benchmark.  The benchmark side is
-broadcast only if it has been counted below `BROADCAST_ROWS`; beyond that
-the joins on words are ordinary shuffled joins.
+fewer words is one window).  The documents are split into words once, and the
+postings (word, document, position) of the benchmark's vocabulary are written
+as a table, the index; all that follows reads postings, not texts:
+
+1. a window's words are ranked by their number of postings, rarest first;
+2. the postings of the rarest word, shifted by its offset in the window, are
+   the candidate starts;
+3. they are intersected with the postings of the next rarest words, which must
+   stand near the start; what is left are proximity matches;
+4. these are intersected with the postings of all words of the window, each
+   shifted by its own offset; starts that are in all lists are exact matches.
+
+Each step joins on the document and the word (and the position, or its block),
+so a frequent word or a document with many postings is spread, and postings are
+first reduced to the words or documents that the step asks for.  The benchmark
+side of a join is broadcast only if it has been counted below
+`BROADCAST_ROWS`; beyond that the joins are ordinary shuffled joins.
 
 Defined cases: null or empty texts have no words, windows or hits; items
 without words are ignored; repeated items each count by their id; rows with a
-repeated id are told apart by their text; equal frequencies go to the smaller
-offset; empty tables give no rows or no hits; other columns are ignored.
+repeated id are told apart by their text, equal rows have equal results; equal
+frequencies go to the smaller offset; empty tables give no rows or no hits;
+other columns are ignored.
 """
 
 from __future__ import annotations
@@ -28,18 +32,20 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from auric.llm.licenses import word_array
-from auric.llm.textbatch import saved, text_key
+from auric.llm.textbatch import saved, text_key, written
 
 WINDOW = 13
 #: Contaminated: at least one word in this many is hit.
 SHARE = 20
-#: No word of a text: it ends every document's postings.
+#: No word of a text: it stands after the last word of every document, at its number of words.
 END = " "
-#: The benchmark's windows are broadcast up to so many rows (a window takes some 200 bytes).
+#: The benchmark's side of a join is broadcast up to so many rows (a window takes some 200 bytes).
 BROADCAST_ROWS = 200_000
 #: Rarest words of a window that must stand near each other, and how near.
 NEAR_WORDS = 4
 NEAR_SLACK = 6
+#: Nearness is looked up by blocks of so many positions.
+BLOCK = 32
 
 
 def small(df: DataFrame, n_rows: int) -> DataFrame:
@@ -54,89 +60,103 @@ def item_windows(items: DataFrame, size: int = WINDOW) -> DataFrame:
         "item_id", "start", F.expr("slice(words, start + 1, len)").alias("window"))
 
 
-def frequencies(words: DataFrame, vocabulary: DataFrame) -> DataFrame:
-    """How often every word of the benchmark occurs in all documents (0 included)."""
+def positional_index(docs: DataFrame, vocabulary: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The postings (doc, at, word) of the vocabulary in all documents, positions
+    from 0, as a stored table; an END posting of every document holds its number
+    of words.  `doc` is (doc_id, _text), equal for equal rows."""
     n = vocabulary.count()
-    seen = (words.select(F.explode("words").alias("word"))
-            .join(small(vocabulary, n), "word", "left_semi")
-            .groupBy("word").agg(F.count(F.lit(1)).alias("n")))
-    return vocabulary.join(seen, "word", "left").select("word", F.coalesce("n", F.lit(0)).alias("n"))
-
-
-def ranked_windows(windows: DataFrame, frequency: DataFrame) -> DataFrame:
-    """Windows with their distinct words, rarest first, as `rare` (word, offset)."""
-    at = windows.select("item_id", "start", "window", F.posexplode("window").alias("offset", "word"))
-    return (at.join(frequency, "word")
-            .groupBy("item_id", "start", "window")
-            .agg(F.array_sort(F.collect_list(F.struct("n", "offset", "word"))).alias("by_rarity"))
-            .select("item_id", "window", F.size("window").alias("len"),
-                    F.col("by_rarity")[0]["word"].alias("anchor"),
-                    F.col("by_rarity")[0]["offset"].alias("offset"),
-                    F.get("by_rarity", F.lit(1)).alias("second"),
-                    F.array_distinct(F.transform(F.slice("by_rarity", 1, NEAR_WORDS), lambda x: x["word"])).alias("rare"))
-            .withColumn("step", F.col("second")["offset"] - F.col("offset"))
-            .withColumn("second", F.col("second")["word"]))
-
-
-def candidates(words: DataFrame, index: DataFrame) -> DataFrame:
-    """Starts at which a window's rarest word stands where it should, with
-    `exact` (the whole window follows) or `near`; and a row with `n_words` for
-    every document."""
-    n = index.count()
-    end = index.sparkSession.range(1).select(F.lit(END).alias("word"))
-    index = index.withColumnRenamed("anchor", "word").unionByName(end, allowMissingColumns=True)
-    # positions count from 0; `words` holds every document's own postings
-    # (an END mark after them meets the index's own row for it, once for every document)
-    posting = F.posexplode(F.concat("words", F.array(F.lit(END)))).alias("at", "word")
-    if n <= BROADCAST_ROWS:
-        joined = words.select("doc_id", "_text", "words", posting).join(F.broadcast(index), "word")
-    else:  # postings meet the index without the words, which are joined again once a document
-        found = (words.select("doc_id", "_text", posting).join(index, "word")
-                 .groupBy("doc_id", "_text").agg(F.collect_set(F.struct("at", *index.columns)).alias("found"))
-                 .withColumnsRenamed({"doc_id": "_id", "_text": "_t"}))
-        joined = (words.join(found, words["doc_id"].eqNullSafe(found["_id"]) & (words["_text"] == found["_t"]))
-                  .select("doc_id", "_text", "words", F.inline("found")))
-    start = F.col("at") - F.col("offset")
-    inside = (start >= 0) & (start + F.col("len") <= F.size("words"))
-    second = F.col("second").isNull() | (F.get("words", F.col("at") + F.col("step")) == F.col("second"))
-    whole = F.expr("slice(words, at - offset + 1, len)") == F.col("window")
-    near = F.slice("words", F.greatest(start - NEAR_SLACK, F.lit(0)) + 1, F.col("len") + 2 * NEAR_SLACK)
-    close = F.size(F.array_intersect(near, "rare")) == F.size("rare")
-    exact = F.coalesce(inside & second & whole, F.lit(False))
-    last = F.col("word") == END
-    return (joined.select("doc_id", "_text", "item_id", start.alias("start"), "len",
-                          exact.alias("exact"), F.coalesce(~exact & (F.col("len") > NEAR_WORDS) & close, F.lit(False)).alias("near"),
-                          F.when(last, F.col("at").cast("long")).alias("n_words"))
-            .where("exact or near or n_words is not null"))
+    wanted = vocabulary.unionByName(docs.sparkSession.range(1).select(F.lit(END).alias("word")))
+    doc = F.struct(docs[id_col].alias("doc_id"), text_key(docs[text_col]).alias("_text")).alias("doc")
+    words = F.concat(word_array(docs[text_col]), F.array(F.lit(END)))
+    return written(docs.select(doc, F.posexplode(words).alias("at", "word")).join(small(wanted, n), "word", "left_semi"))
+
+
+def ranked_windows(windows: DataFrame, index: DataFrame) -> DataFrame:
+    """A row per window: `terms` (offset, word), the rarest term as `anchor` and
+    `offset`, and its rarest distinct words as `rare`, the anchor first."""
+    frequency = index.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    at = windows.select("item_id", "start", F.posexplode("window").alias("offset", "word"), F.col("window").alias("same"))
+    ranked = (at.join(frequency, "word", "left")
+              .groupBy("item_id", "start", "same")
+              .agg(F.array_sort(F.collect_set(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "offset", "word"))).alias("by_rarity")))
+    return ranked.select(
+        F.monotonically_increasing_id().alias("win"), "item_id", F.size("by_rarity").alias("len"),
+        F.transform("by_rarity", lambda t: F.struct(t["offset"].alias("offset"), t["word"].alias("word"))).alias("terms"),
+        F.col("by_rarity")[0]["word"].alias("anchor"), F.col("by_rarity")[0]["offset"].alias("offset"),
+        F.array_distinct(F.transform(F.slice("by_rarity", 1, NEAR_WORDS), lambda t: t["word"])).alias("rare"))
+
+
+def starts(index: DataFrame, windows: DataFrame, n: int) -> DataFrame:
+    """Starts (doc, win, start) that the postings of each window's rarest word give."""
+    lists = windows.select(F.col("anchor").alias("word"), "offset", "win")
+    return (index.join(small(lists, n), "word")
+            .select("doc", "win", (F.col("at") - F.col("offset")).alias("start")).distinct())
+
+
+def near_starts(found: DataFrame, index: DataFrame, windows: DataFrame, n: int) -> DataFrame:
+    """Those starts near which all the rarest words of the window stand."""
+    about = found.join(small(windows.select("win", "len", "rare"), n), "win")
+    low, high = F.col("start") - NEAR_SLACK, F.col("start") + F.col("len") + (NEAR_SLACK - 1)
+    blocks = F.sequence(F.floor(low / BLOCK), F.floor(high / BLOCK))
+    others = F.slice("rare", 2, NEAR_WORDS)
+    need = (about.select("doc", "win", "start", low.alias("low"), high.alias("high"), F.size(others).alias("n_others"),
+                         blocks.alias("blocks"), F.explode(others).alias("word"))
+            .withColumn("block", F.explode("blocks")).drop("blocks"))
+    wanted = windows.select(F.explode(F.slice("rare", 2, NEAR_WORDS)).alias("word")).distinct()
+    postings = (index.join(small(wanted, n * NEAR_WORDS), "word", "left_semi")
+                .withColumn("block", F.floor(F.col("at") / BLOCK)))
+    close = (need.join(postings, ["doc", "word", "block"]).where(F.col("at").between(F.col("low"), F.col("high")))
+             .groupBy("doc", "win", "start", "n_others").agg(F.count_distinct("word").alias("n"))
+             .where("n = n_others").select("doc", "win", "start"))
+    return close.unionByName(about.where(F.size("rare") == 1).select("doc", "win", "start"))
+
+
+def exact_starts(found: DataFrame, index: DataFrame, windows: DataFrame, n: int) -> DataFrame:
+    """Those starts at which every word of the window has a posting at its own offset."""
+    need = (found.join(small(windows.select("win", "len", "terms"), n), "win")
+            .select("doc", "win", "start", "len", F.explode("terms").alias("term"))
+            .select("doc", "win", "start", "len", F.col("term.word").alias("word"),
+                    (F.col("start") + F.col("term.offset")).alias("at")))
+    left = saved(found.select("doc").distinct())
+    postings = index.join(small(left, left.count()), "doc", "left_semi")
+    return (need.join(postings, ["doc", "word", "at"])
+            .groupBy("doc", "win", "start", "len").agg(F.count_distinct("at").alias("n"))
+            .where("n = len").select("doc", "win", "start"))
+
+
+def _lookup(docs, benchmark, size, id_col, text_col, item_col, item_text) -> tuple[DataFrame, DataFrame]:
+    """The index, and the matches (doc, item_id, start, len, exact, near) found in it."""
+    items = benchmark.select(benchmark[item_col].alias("item_id"), word_array(benchmark[item_text]).alias("words"))
+    cut = saved(item_windows(items, size))
+    index = positional_index(docs, saved(cut.select(F.explode("window").alias("word")).distinct()), id_col, text_col)
+    windows = saved(ranked_windows(cut, index))
+    n = windows.count()
+    close = saved(near_starts(starts(index, windows, n), index, windows, n))
+    exact = exact_starts(close, index, windows, n).withColumn("exact", F.lit(True))
+    found = (close.join(exact, ["doc", "win", "start"], "left")
+             .join(small(windows.select("win", "item_id", "len"), n), "win")
+             .select("doc", "item_id", "start", "len", F.coalesce("exact", F.lit(False)).alias("exact"))
+             .withColumn("near", ~F.col("exact") & (F.col("len") > NEAR_WORDS))
+             .where("exact or near"))
+    return index, saved(found)
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, id_col: str = "doc_id",
             text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
     """Exact and proximity matches: (doc_id, item_id, start, len, exact, near)."""
-    found = candidates(*_index(docs, benchmark, size, id_col, text_col, item_col, item_text))
-    return found.where("n_words is null").drop("_text", "n_words")
-
-
-def _index(docs, benchmark, size, id_col, text_col, item_col, item_text):
-    words = docs.select(docs[id_col].alias("doc_id"), text_key(docs[text_col]).alias("_text"),
-                        word_array(docs[text_col]).alias("words"))
-    items = benchmark.select(benchmark[item_col].alias("item_id"), word_array(benchmark[item_text]).alias("words"))
-    windows = saved(item_windows(items, size))
-    vocabulary = windows.select(F.explode("window").alias("word")).distinct()
-    frequency = saved(frequencies(words, saved(vocabulary)))
-    return words, saved(ranked_windows(windows, frequency))
+    _, found = _lookup(docs, benchmark, size, id_col, text_col, item_col, item_text)
+    return found.select("doc.doc_id", "item_id", "start", "len", "exact", "near")
 
 
 def _hit_words(found: DataFrame) -> DataFrame:
     """Words inside any exact match, per document: matches in order of their
     start add what lies beyond the furthest end so far."""
-    spans = found.where("exact").groupBy("doc_id", "_text", "start").agg(F.max("len").alias("len"))
-    before = (Window.partitionBy("doc_id", "_text").orderBy("start")
-              .rowsBetween(Window.unboundedPreceding, -1))
+    spans = found.where("exact").groupBy("doc", "start").agg(F.max("len").alias("len"))
+    before = Window.partitionBy("doc").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
     end = F.col("start") + F.col("len")
     reached = F.coalesce(F.max(end).over(before), F.lit(0))
     return (spans.withColumn("new", F.greatest(end - F.greatest("start", reached), F.lit(0)))
-            .groupBy("doc_id", "_text").agg(F.sum("new").cast("long").alias("n_hit")))
+            .groupBy("doc").agg(F.sum("new").cast("long").alias("n_hit")))
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, share: int = SHARE,
@@ -147,19 +167,16 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, sha
     Columns: doc_id, _text (fingerprint of the text), n_words, n_hit,
     n_items, items, items_sha256, n_near_items, contaminated.
     """
-    found = saved(candidates(*_index(docs, benchmark, size, id_col, text_col, item_col, item_text)))
+    index, found = _lookup(docs, benchmark, size, id_col, text_col, item_col, item_text)
     names = F.array_sort(F.collect_set(F.when(F.col("exact"), F.col("item_id").cast("string"))))
-    items = (found.where("n_words is null").groupBy("doc_id", "_text").agg(names.alias("items"),
-                                                  F.countDistinct(F.when(F.col("near"), F.col("item_id"))).alias("n_near_items")))
-    hits = _hit_words(found)
-    rows = found.where("n_words is not null").select("doc_id", "_text", "n_words")
-    for part in (items, hits):
-        side = part.withColumnsRenamed({"doc_id": "_id", "_text": "_t"})
-        rows = rows.join(side, rows["doc_id"].eqNullSafe(side["_id"]) & (rows["_text"] == side["_t"]), "left").drop("_id", "_t")
+    items = found.groupBy("doc").agg(names.alias("items"),
+                                     F.count_distinct(F.when(F.col("near"), F.col("item_id"))).alias("n_near_items"))
+    rows = (index.where(F.col("word") == END).select("doc", F.col("at").cast("long").alias("n_words"))
+            .join(items, "doc", "left").join(_hit_words(found), "doc", "left"))
     items_or_none: Column = F.coalesce("items", F.array().cast("array<string>"))
     n_hit = F.coalesce("n_hit", F.lit(0))
     return rows.select(
-        "doc_id", "_text", "n_words", n_hit.cast("long").alias("n_hit"),
+        "doc.doc_id", "doc._text", "n_words", n_hit.cast("long").alias("n_hit"),
         F.size(items_or_none).cast("long").alias("n_items"), items_or_none.alias("items"),
         F.sha2(F.array_join(items_or_none, ",").cast("binary"), 256).alias("items_sha256"),
         F.coalesce("n_near_items", F.lit(0)).cast("long").alias("n_near_items"),

@@ -347,6 +347,45 @@ def test_proximity_matches(spark):
     assert got == {(1, False, True), (2, True, False)}
 
 
+def brute_places(w, windows):
+    """(item, start, exact) of windows that stand whole, or whose rarest words stand near."""
+    return {(item, s) for item, v in windows for s in range(len(w) - len(v) + 1) if w[s:s + len(v)] == v}
+
+
+def test_index_against_brute_force(spark):
+    rng = np.random.default_rng(7)
+    vocabulary = [f"w{k}" for k in range(6)] + ["rare", "rarer"]
+    say = lambda n: " ".join(rng.choice(vocabulary, n, p=[.3, .25, .2, .1, .06, .04, .03, .02]))
+    items = [(k, say(int(n))) for k, n in enumerate([1, 2, 5, 13, 14, 40, 40])] + [(3, "w0 w0 w0"), (None, "w1 w0 w1")]
+    texts = [say(int(n)) for n in rng.integers(0, 300, 40)]
+    texts += [say(50) + " " + items[5][1] + " " + say(9), items[4][1] + " " + items[4][1], items[6][1][3:]] + ["w0 " * 900] * 3
+    docs = [(k if k % 9 else None, t) for k, t in enumerate(texts)] + [(1, texts[1])] * 5
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = rows(decontam.contamination(spark.createDataFrame(docs, "doc_id long, text string"), bench).select(*COLUMNS7))
+    words = [(i, lower_words(t)) for i, t in items]
+    named = [(i, v) for i, v in words if i is not None]
+    want = []
+    for i, t in docs:
+        n, hit, _, _, bad = brute_contamination(t, words)
+        want.append((i, n, hit, *brute_contamination(t, named)[2:4], bad))
+    assert got == sorted(want, key=lambda r: tuple((x is None, x) for x in r))
+    # every place of every window, whatever else is in the table
+    place = {(r["doc_id"], r["item_id"], r["start"], r["len"]) for r in decontam.matches(
+        spark.createDataFrame(docs, "doc_id long, text string"), bench).where("exact").collect()}
+    for i, t in docs:
+        if i is not None:
+            cut = [(k, v[s:s + 13]) for k, v in words for s in range(max(1, len(v) - 12))]
+            assert {(k, s) for k, s in brute_places(lower_words(t), cut)} == {p[1:3] for p in place if p[0] == i}
+
+
+def test_index_holds_postings_of_the_benchmark_only(spark):
+    docs = spark.createDataFrame([(1, "a b c a"), (2, None), (3, "c c")], "doc_id long, text string")
+    vocabulary = spark.createDataFrame([("a",), ("b",)], "word string")
+    index = decontam.positional_index(docs, vocabulary)
+    assert {(r["doc"]["doc_id"], r["at"], r["word"]) for r in index.collect()} == {
+        (1, 0, "a"), (1, 1, "b"), (1, 3, "a"), (1, 4, " "), (2, 0, " "), (3, 2, " ")}
+
+
 # --- 8 html ---------------------------------------------------------------
 
 PAGE = ('<html><head><title>T</title><script>var t="</p>";</script></head><body class="has-sidebar"><nav><a href="/x">Home</a></nav>'
