@@ -2,8 +2,8 @@ r"""Benchmark decontamination with a distributed positional inverted index.
 
 Every benchmark item is cut into windows of 13 consecutive words (an item of
 fewer words is one window).  The documents are split into words once, and the
-postings (word, document, position) of the benchmark's vocabulary are written
-as a table, the index; all that follows reads postings, not texts:
+postings (document, position, number of the word) of the benchmark's vocabulary
+are written as a table, the index; all that follows reads postings, not texts:
 
 1. a window's words are ranked by their number of postings, rarest first;
 2. the postings of the rarest word, shifted by its offset in the window, are
@@ -38,7 +38,7 @@ WINDOW = 13
 #: Contaminated: at least one word in this many is hit.
 SHARE = 20
 #: No word of a text: it stands after the last word of every document, at its number of words.
-END = " "
+END, END_TERM = " ", -1
 #: The benchmark's side of a join is broadcast up to so many rows (a window takes some 200 bytes).
 BROADCAST_ROWS = 200_000
 #: Rarest words of a window that must stand near each other, and how near.
@@ -60,36 +60,43 @@ def item_windows(items: DataFrame, size: int = WINDOW) -> DataFrame:
         "item_id", "start", F.expr("slice(words, start + 1, len)").alias("window"))
 
 
+def numbered(words: DataFrame) -> DataFrame:
+    """The vocabulary (word, term): a number for every distinct word."""
+    return saved(words.distinct().select("word", F.monotonically_increasing_id().alias("term")))
+
+
 def positional_index(docs: DataFrame, vocabulary: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The postings (doc, at, word) of the vocabulary in all documents, positions
-    from 0, as a stored table; an END posting of every document holds its number
-    of words.  `doc` is (doc_id, _text), equal for equal rows."""
+    """The postings (doc, at, term) of the vocabulary in all documents, positions
+    from 0, as a stored table; a posting END_TERM of every document holds its
+    number of words.  `doc` is (doc_id, _text), equal for equal rows."""
     n = vocabulary.count()
-    wanted = vocabulary.unionByName(docs.sparkSession.range(1).select(F.lit(END).alias("word")))
+    end = docs.sparkSession.range(1).select(F.lit(END).alias("word"), F.lit(END_TERM).cast("long").alias("term"))
     doc = F.struct(docs[id_col].alias("doc_id"), text_key(docs[text_col]).alias("_text")).alias("doc")
     words = F.concat(word_array(docs[text_col]), F.array(F.lit(END)))
-    return written(docs.select(doc, F.posexplode(words).alias("at", "word")).join(small(wanted, n), "word", "left_semi"))
+    return written(docs.select(doc, F.posexplode(words).alias("at", "word"))
+                   .join(small(vocabulary.unionByName(end), n), "word").select("doc", "at", "term"))
 
 
-def ranked_windows(windows: DataFrame, index: DataFrame) -> DataFrame:
-    """A row per window: `terms` (offset, word), the rarest term as `anchor` and
-    `offset`, and its rarest distinct words as `rare`, the anchor first."""
-    frequency = index.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
-    at = windows.select("item_id", "start", F.posexplode("window").alias("offset", "word"), F.col("window").alias("same"))
-    ranked = (at.join(frequency, "word", "left")
-              .groupBy("item_id", "start", "same")
-              .agg(F.array_sort(F.collect_set(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "offset", "word"))).alias("by_rarity")))
+def ranked_windows(windows: DataFrame, index: DataFrame, vocabulary: DataFrame) -> DataFrame:
+    """A row per window: `terms` (offset, term), the rarest as `anchor` and
+    `offset`, and its rarest distinct terms as `rare`, the anchor first."""
+    n = vocabulary.count()
+    counted = vocabulary.join(small(index.groupBy("term").agg(F.count(F.lit(1)).alias("n")), n), "term", "left")
+    at = windows.select("item_id", "start", F.posexplode("window").alias("offset", "word"), "window")
+    ranked = (at.join(small(counted, n), "word")
+              .groupBy("item_id", "start", "window")
+              .agg(F.array_sort(F.collect_set(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "offset", "term"))).alias("by_rarity")))
     return ranked.select(
         F.monotonically_increasing_id().alias("win"), "item_id", F.size("by_rarity").alias("len"),
-        F.transform("by_rarity", lambda t: F.struct(t["offset"].alias("offset"), t["word"].alias("word"))).alias("terms"),
-        F.col("by_rarity")[0]["word"].alias("anchor"), F.col("by_rarity")[0]["offset"].alias("offset"),
-        F.array_distinct(F.transform(F.slice("by_rarity", 1, NEAR_WORDS), lambda t: t["word"])).alias("rare"))
+        F.transform("by_rarity", lambda t: F.struct(t["offset"].alias("offset"), t["term"].alias("term"))).alias("terms"),
+        F.col("by_rarity")[0]["term"].alias("anchor"), F.col("by_rarity")[0]["offset"].alias("offset"),
+        F.array_distinct(F.transform(F.slice("by_rarity", 1, NEAR_WORDS), lambda t: t["term"])).alias("rare"))
 
 
 def starts(index: DataFrame, windows: DataFrame, n: int) -> DataFrame:
     """Starts (doc, win, start) that the postings of each window's rarest word give."""
-    lists = windows.select(F.col("anchor").alias("word"), "offset", "win")
-    return (index.join(small(lists, n), "word")
+    lists = windows.select(F.col("anchor").alias("term"), "offset", "win")
+    return (index.join(small(lists, n), "term")
             .select("doc", "win", (F.col("at") - F.col("offset")).alias("start")).distinct())
 
 
@@ -100,13 +107,13 @@ def near_starts(found: DataFrame, index: DataFrame, windows: DataFrame, n: int)
     blocks = F.sequence(F.floor(low / BLOCK), F.floor(high / BLOCK))
     others = F.slice("rare", 2, NEAR_WORDS)
     need = (about.select("doc", "win", "start", low.alias("low"), high.alias("high"), F.size(others).alias("n_others"),
-                         blocks.alias("blocks"), F.explode(others).alias("word"))
+                         blocks.alias("blocks"), F.explode(others).alias("term"))
             .withColumn("block", F.explode("blocks")).drop("blocks"))
-    wanted = windows.select(F.explode(F.slice("rare", 2, NEAR_WORDS)).alias("word")).distinct()
-    postings = (index.join(small(wanted, n * NEAR_WORDS), "word", "left_semi")
+    wanted = windows.select(F.explode(F.slice("rare", 2, NEAR_WORDS)).alias("term")).distinct()
+    postings = (index.join(small(wanted, n * NEAR_WORDS), "term", "left_semi")
                 .withColumn("block", F.floor(F.col("at") / BLOCK)))
-    close = (need.join(postings, ["doc", "word", "block"]).where(F.col("at").between(F.col("low"), F.col("high")))
-             .groupBy("doc", "win", "start", "n_others").agg(F.count_distinct("word").alias("n"))
+    close = (need.join(postings, ["doc", "term", "block"]).where(F.col("at").between(F.col("low"), F.col("high")))
+             .groupBy("doc", "win", "start", "n_others").agg(F.count_distinct("term").alias("n"))
              .where("n = n_others").select("doc", "win", "start"))
     return close.unionByName(about.where(F.size("rare") == 1).select("doc", "win", "start"))
 
@@ -114,12 +121,12 @@ def near_starts(found: DataFrame, index: DataFrame, windows: DataFrame, n: int)
 def exact_starts(found: DataFrame, index: DataFrame, windows: DataFrame, n: int) -> DataFrame:
     """Those starts at which every word of the window has a posting at its own offset."""
     need = (found.join(small(windows.select("win", "len", "terms"), n), "win")
-            .select("doc", "win", "start", "len", F.explode("terms").alias("term"))
-            .select("doc", "win", "start", "len", F.col("term.word").alias("word"),
-                    (F.col("start") + F.col("term.offset")).alias("at")))
+            .select("doc", "win", "start", "len", F.explode("terms").alias("place"))
+            .select("doc", "win", "start", "len", F.col("place.term").alias("term"),
+                    (F.col("start") + F.col("place.offset")).alias("at")))
     left = saved(found.select("doc").distinct())
     postings = index.join(small(left, left.count()), "doc", "left_semi")
-    return (need.join(postings, ["doc", "word", "at"])
+    return (need.join(postings, ["doc", "term", "at"])
             .groupBy("doc", "win", "start", "len").agg(F.count_distinct("at").alias("n"))
             .where("n = len").select("doc", "win", "start"))
 
@@ -128,8 +135,9 @@ def _lookup(docs, benchmark, size, id_col, text_col, item_col, item_text) -> tup
     """The index, and the matches (doc, item_id, start, len, exact, near) found in it."""
     items = benchmark.select(benchmark[item_col].alias("item_id"), word_array(benchmark[item_text]).alias("words"))
     cut = saved(item_windows(items, size))
-    index = positional_index(docs, saved(cut.select(F.explode("window").alias("word")).distinct()), id_col, text_col)
-    windows = saved(ranked_windows(cut, index))
+    vocabulary = numbered(cut.select(F.explode("window").alias("word")))
+    index = positional_index(docs, vocabulary, id_col, text_col)
+    windows = saved(ranked_windows(cut, index, vocabulary))
     n = windows.count()
     close = saved(near_starts(starts(index, windows, n), index, windows, n))
     exact = exact_starts(close, index, windows, n).withColumn("exact", F.lit(True))
@@ -171,7 +179,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, sha
     names = F.array_sort(F.collect_set(F.when(F.col("exact"), F.col("item_id").cast("string"))))
     items = found.groupBy("doc").agg(names.alias("items"),
                                      F.count_distinct(F.when(F.col("near"), F.col("item_id"))).alias("n_near_items"))
-    rows = (index.where(F.col("word") == END).select("doc", F.col("at").cast("long").alias("n_words"))
+    rows = (index.where(F.col("term") == END_TERM).select("doc", F.col("at").cast("long").alias("n_words"))
             .join(items, "doc", "left").join(_hit_words(found), "doc", "left"))
     items_or_none: Column = F.coalesce("items", F.array().cast("array<string>"))
     n_hit = F.coalesce("n_hit", F.lit(0))

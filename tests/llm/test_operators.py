@@ -380,10 +380,10 @@ def test_index_against_brute_force(spark):
 
 def test_index_holds_postings_of_the_benchmark_only(spark):
     docs = spark.createDataFrame([(1, "a b c a"), (2, None), (3, "c c")], "doc_id long, text string")
-    vocabulary = spark.createDataFrame([("a",), ("b",)], "word string")
+    vocabulary = spark.createDataFrame([("a", 7), ("b", 8)], "word string, term long")
     index = decontam.positional_index(docs, vocabulary)
-    assert {(r["doc"]["doc_id"], r["at"], r["word"]) for r in index.collect()} == {
-        (1, 0, "a"), (1, 1, "b"), (1, 3, "a"), (1, 4, " "), (2, 0, " "), (3, 2, " ")}
+    assert {(r["doc"]["doc_id"], r["at"], r["term"]) for r in index.collect()} == {
+        (1, 0, 7), (1, 1, 8), (1, 3, 7), (1, 4, -1), (2, 0, -1), (3, 2, -1)}
 
 
 # --- 8 html ---------------------------------------------------------------
