@@ -8,8 +8,9 @@ are written as a table, the index; all that follows reads postings, not texts:
 1. a window's words are ranked by their number of postings, rarest first;
 2. the postings of the rarest word, shifted by its offset in the window, are
    the candidate starts;
-3. they are intersected with the postings of the next rarest words, which must
-   stand near the start; what is left are proximity matches;
+3. they are intersected with the postings of the next rarest word, which must
+   stand near the start; documents without a start left have done, and in the
+   others the third and fourth word must do the same: proximity matches;
 4. these are intersected with the postings of all words of the window, each
    shifted by its own offset; starts that are in all lists are exact matches.
 
@@ -100,32 +101,36 @@ def starts(index: DataFrame, windows: DataFrame, n: int) -> DataFrame:
             .select("doc", "win", (F.col("at") - F.col("offset")).alias("start")).distinct())
 
 
-def near_starts(found: DataFrame, index: DataFrame, windows: DataFrame, n: int) -> DataFrame:
-    """Those starts near which all the rarest words of the window stand."""
-    about = found.join(small(windows.select("win", "len", "rare"), n), "win")
+def near_starts(found: DataFrame, postings: DataFrame, windows: DataFrame, n: int, first: int, last: int) -> DataFrame:
+    """Those starts near which the window's rarest words number `first` to `last` (from 1) stand."""
+    others = F.slice("rare", first, last - first + 1)
+    about = found.join(small(windows.select("win", "len", others.alias("others")), n), "win")
     low, high = F.col("start") - NEAR_SLACK, F.col("start") + F.col("len") + (NEAR_SLACK - 1)
     blocks = F.sequence(F.floor(low / BLOCK), F.floor(high / BLOCK))
-    others = F.slice("rare", 2, NEAR_WORDS)
-    need = (about.select("doc", "win", "start", low.alias("low"), high.alias("high"), F.size(others).alias("n_others"),
-                         blocks.alias("blocks"), F.explode(others).alias("term"))
+    need = (about.select("doc", "win", "start", low.alias("low"), high.alias("high"), F.size("others").alias("n_others"),
+                         blocks.alias("blocks"), F.explode("others").alias("term"))
             .withColumn("block", F.explode("blocks")).drop("blocks"))
-    wanted = windows.select(F.explode(F.slice("rare", 2, NEAR_WORDS)).alias("term")).distinct()
-    postings = (index.join(small(wanted, n * NEAR_WORDS), "term", "left_semi")
-                .withColumn("block", F.floor(F.col("at") / BLOCK)))
-    close = (need.join(postings, ["doc", "term", "block"]).where(F.col("at").between(F.col("low"), F.col("high")))
+    wanted = windows.select(F.explode(others).alias("term")).distinct()
+    there = (postings.join(small(wanted, n * (last - first + 1)), "term", "left_semi")
+             .withColumn("block", F.floor(F.col("at") / BLOCK)))
+    close = (need.join(there, ["doc", "term", "block"]).where(F.col("at").between(F.col("low"), F.col("high")))
              .groupBy("doc", "win", "start", "n_others").agg(F.count_distinct("term").alias("n"))
              .where("n = n_others").select("doc", "win", "start"))
-    return close.unionByName(about.where(F.size("rare") == 1).select("doc", "win", "start"))
+    return close.unionByName(about.where(F.size("others") == 0).select("doc", "win", "start"))
 
 
-def exact_starts(found: DataFrame, index: DataFrame, windows: DataFrame, n: int) -> DataFrame:
+def postings_of(found: DataFrame, index: DataFrame) -> DataFrame:
+    """The postings of those documents that still have a start, as a stored table."""
+    left = saved(found.select("doc").distinct())
+    return written(index.join(small(left, left.count()), "doc", "left_semi"))
+
+
+def exact_starts(found: DataFrame, postings: DataFrame, windows: DataFrame, n: int) -> DataFrame:
     """Those starts at which every word of the window has a posting at its own offset."""
     need = (found.join(small(windows.select("win", "len", "terms"), n), "win")
             .select("doc", "win", "start", "len", F.explode("terms").alias("place"))
             .select("doc", "win", "start", "len", F.col("place.term").alias("term"),
                     (F.col("start") + F.col("place.offset")).alias("at")))
-    left = saved(found.select("doc").distinct())
-    postings = index.join(small(left, left.count()), "doc", "left_semi")
     return (need.join(postings, ["doc", "term", "at"])
             .groupBy("doc", "win", "start", "len").agg(F.count_distinct("at").alias("n"))
             .where("n = len").select("doc", "win", "start"))
@@ -139,8 +144,11 @@ def _lookup(docs, benchmark, size, id_col, text_col, item_col, item_text) -> tup
     index = positional_index(docs, vocabulary, id_col, text_col)
     windows = saved(ranked_windows(cut, index, vocabulary))
     n = windows.count()
-    close = saved(near_starts(starts(index, windows, n), index, windows, n))
-    exact = exact_starts(close, index, windows, n).withColumn("exact", F.lit(True))
+    found = saved(starts(index, windows, n))
+    close = saved(near_starts(found, index, windows, n, 2, 2))
+    postings = postings_of(close, index)
+    close = saved(near_starts(close, postings, windows, n, 3, NEAR_WORDS))
+    exact = exact_starts(close, postings, windows, n).withColumn("exact", F.lit(True))
     found = (close.join(exact, ["doc", "win", "start"], "left")
              .join(small(windows.select("win", "item_id", "len"), n), "win")
              .select("doc", "item_id", "start", "len", F.coalesce("exact", F.lit(False)).alias("exact"))
