@@ -43,6 +43,26 @@ def json_extract_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jsonl.read_cdc(spark, path).drop("_source")
 
 
+@register("cdc_broken_lines", sql("""
+SELECT op, count(*) FILTER (WHERE cdc_seq % 20 <> 0) AS n_records, count(*) FILTER (WHERE cdc_seq % 20 = 0) AS n_broken,
+       coalesce(max(CASE WHEN cdc_seq % 20 = 0 THEN 'line is not a JSON object' END), '') AS reject_reason
+FROM v_tickets_cdc GROUP BY op""", "v_tickets_cdc"))
+def cdc_broken_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every 20th change record arrives cut off: it is set aside with its text, the others are read."""
+    ensure_conf(spark)
+    path = workspace(spark, "landing-cut")
+    lines = jsonl.cdc_json_lines(dt.tickets_cdc(spark, sf_dir))
+    seq = F.regexp_extract("value", r'"cdc_seq":(\d+)', 1).cast("bigint")
+    cut = F.when(seq % 20 == 0, F.expr("left(value, length(value) - 1)")).otherwise(F.col("value"))
+    jsonl.write_lines(lines.select(cut.alias("value")), path)
+    records, broken = jsonl.read_cdc_checked(spark, path)
+    none = F.lit(None).cast("string")
+    both = records.select("op", none.alias("why")).unionByName(
+        broken.select(F.regexp_extract("line", r'"op":"(\w+)"', 1).alias("op"), F.col("reject_reason").alias("why")))
+    return both.groupBy("op").agg(F.count_if(F.col("why").isNull()).alias("n_records"), F.count("why").alias("n_broken"),
+                                  F.coalesce(F.max("why"), F.lit("")).alias("reject_reason"))
+
+
 @register("transcripts_array", sql(
     "SELECT transcript_id, ticket_id, lang, CAST(len(turns) AS INT) AS n_turns, "
     "array_to_string(turns, chr(10)) AS turns_text, event_time, _ingested_at "

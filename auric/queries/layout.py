@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from auric.operators.compaction import compact_files
 from auric.operators.layout import compact, export_sorted_jsonl, layout_summary
 from auric.oracle import sql
 from auric.plans.dashboard import dashboard, dashboard_wrapped
@@ -100,6 +101,21 @@ def compact_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(write_compacted(spark, write_small_files(spark, sf_dir)))
 
 
+@register("compact_incremental", sql("SELECT * EXCLUDE (_ingested_at, ingested_date) FROM silver_events", "silver_events"))
+def compact_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row survives when a table that grew by appended batches is compacted
+    file by file, twice: after the first batches and again after the others."""
+    ensure_conf(spark)
+    path = workspace(spark, "gold-events-appended")
+    events = gold_events(spark, sf_dir)
+    for batches in ((0, 1, 2), (3, 4)):
+        for k in batches:
+            (events.where(F.pmod(F.xxhash64("event_id"), F.lit(5)) == k).repartition(4, "event_date")
+             .write.mode("append").partitionBy("event_date").parquet(path))
+        compact_files(spark, path, ("customer_name", "event_time"))
+    return spark.read.parquet(path)
+
+
 @register("layout_audit")
 def layout_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files and rows per file before and after compaction (no SQL oracle)."""

@@ -7,6 +7,9 @@
 * :func:`read_events` is a typed read (FAILFAST, as a typed warehouse load).
 * :func:`read_transcripts` reads ``turns`` as ``array<string>``.
 
+* :func:`read_cdc_checked` sets aside the lines that :func:`read_cdc` would turn
+  into rows of NULLs, with their text and a reason.
+
 The raw JSON line can also arrive as a column (a message value); then
 :func:`parse_cdc_column` extracts the same fields with ``from_json``.
 """
@@ -83,6 +86,30 @@ def read_cdc(spark: SparkSession, path: str) -> DataFrame:
     return _cdc_select(_reader(spark, CDC_SCHEMA, "PERMISSIVE").json(path))
 
 
+BROKEN, WRONG_TYPE, NO_KEY = "line is not a JSON object", "a field has the wrong type", "ticket_id is missing"
+
+
+def read_cdc_checked(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """``(records, broken)``: the change records, and every other line as
+    (file_path, line, reject_reason).
+
+    A line is broken if it isn't a whole JSON object, if a field can't be read as
+    its type, or if it names no ticket.  Blank lines are neither.
+    """
+    kept = T.StructType([*CDC_SCHEMA.fields, T.StructField("_broken", T.StringType())])
+    read = F.from_json("value", kept, {"timestampNTZFormat": _TS_FORMAT, "mode": "PERMISSIVE",
+                                       "columnNameOfCorruptRecord": "_broken"})
+    lines = spark.read.text(path).where(F.trim("value") != "").select(
+        F.col("value").alias("line"), F.col("_metadata.file_path").alias("file_path"), read.alias("r"))
+    whole = F.try_parse_json("line")
+    reason = (F.when(whole.isNull() | ~F.coalesce(F.schema_of_variant(whole), F.lit("")).startswith("OBJECT"), F.lit(BROKEN))
+              .when(F.col("r").isNull() | F.col("r._broken").isNotNull(), F.lit(WRONG_TYPE))
+              .when(F.col("r.ticket_id").isNull(), F.lit(NO_KEY)))
+    told = lines.withColumn("reject_reason", reason)
+    records = _cdc_select(told.where("reject_reason is null").select("r.*").drop("_broken"))
+    return records, told.where("reject_reason is not null").select("file_path", "line", "reject_reason")
+
+
 def parse_cdc_column(line: str | Column) -> Column:
     c = F.col(line) if isinstance(line, str) else line
     return F.from_json(c, CDC_SCHEMA, {"timestampNTZFormat": _TS_FORMAT})
