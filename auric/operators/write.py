@@ -311,15 +311,17 @@ def merge_upsert(df: DataFrame, path: str, keys: str | Sequence[str],
             if meta.get("keys") != keys:
                 raise WriteError(f"table keyed on {meta.get('keys')}, batch on {keys}")
             buckets = int(meta["buckets"])
+        elif any(d.startswith(f"{BUCKET_COL}=") for d in fs.list_dirs(spark, path)):
+            raise WriteError(f"{path} holds buckets but no {META_FILE}, so their number isn't known")
         elif buckets is None:
             buckets = size_buckets(df, target_bucket_bytes)
         new = with_bucket(df, keys, buckets)
-        _rewrite(new, path, keys, BUCKET_COL, on_match, order_by,
-                 delete_col, check_keys, on_schema_change, buckets)
-        if not meta:
+        create = None
+        if not meta:    # written before any data, so that no bucket ever stands without its count
             stored = new.drop(delete_col) if delete_col else new
-            _save_meta(spark, path, {"keys": keys, "buckets": buckets,
-                                     "schema": stored.schema.json()})
+            create = {"keys": keys, "buckets": buckets, "schema": stored.schema.json()}
+        _rewrite(new, path, keys, BUCKET_COL, on_match, order_by,
+                 delete_col, check_keys, on_schema_change, buckets, create=create)
         size = fs.total_bytes(spark, path)
         if size > REBUCKET_FACTOR * target_bucket_bytes * buckets:
             rebucket(spark, path, math.ceil(size / target_bucket_bytes))
@@ -428,7 +430,7 @@ def _combine(old_t: DataFrame, new: DataFrame, keys: list[str], on_match: str,
 
 def _rewrite(new: DataFrame, path: str, keys: list[str], partition_col: str, on_match: str,
              order_by: Sequence[str], delete_col: str | None, check_keys: bool,
-             on_schema_change: str, limit: int, unique: bool = True) -> None:
+             on_schema_change: str, limit: int, unique: bool = True, create: dict | None = None) -> None:
     spark = new.sparkSession
     batch = new
     if on_match in ("earliest", "latest"):
@@ -441,6 +443,8 @@ def _rewrite(new: DataFrame, path: str, keys: list[str], partition_col: str, on_
         first = batch
         if delete_col:
             first = batch.where(~F.coalesce(F.col(delete_col), F.lit(False))).drop(delete_col)
+        if create:
+            _save_meta(spark, path, create)
         _dynamic_overwrite(first, path, partition_col)
         return
     old = read_table(spark, path)
@@ -451,10 +455,17 @@ def _rewrite(new: DataFrame, path: str, keys: list[str], partition_col: str, on_
         return
     old_t = old.where(F.col(partition_col).isin(touched)).select(*stored_cols)
     out = _combine(old_t, batch, keys, on_match, order_by, delete_col)
-    emptied: list = []
-    if delete_col:
+    if create:
+        _save_meta(spark, path, create)
+    if not delete_col:
+        _dynamic_overwrite(out, path, partition_col)
+        return
+    out = stage(out, "merge-result", force=True)    # read twice, joined once
+    try:
         present = {r[0] for r in out.select(partition_col).distinct().collect()}
-        emptied = [p for p in touched if p not in present]
-    _dynamic_overwrite(out, path, partition_col)
-    for p in emptied:       # dynamic overwrite leaves a partition with no rows untouched
-        fs.delete(spark, f"{path.rstrip('/')}/{partition_col}={_partition_text(p)}")
+        _dynamic_overwrite(out, path, partition_col)
+        for p in touched:       # dynamic overwrite leaves a partition with no rows untouched
+            if p not in present:
+                fs.delete(spark, f"{path.rstrip('/')}/{partition_col}={_partition_text(p)}")
+    finally:
+        _unstage(out)

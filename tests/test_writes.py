@@ -212,3 +212,32 @@ def test_daily_features_of_a_customer_who_changes_segment(spark, work):
         got, want = (df.where(F.col("event_date") >= start) for df in (W.read_table(spark, path), gold.feature_daily(moved)))
         assert got.groupBy("event_date", "customer_id").count().where("count > 1").count() > 0
         assert _fp(got, want.columns) == _fp(want, want.columns)
+
+
+def test_a_crash_in_the_first_merge_keeps_the_bucket_count(spark, work, monkeypatch):
+    path = work("first")
+    rows = spark.range(200).selectExpr("id AS k", "id * 2 AS v")
+    real = W._dynamic_overwrite
+
+    def written_then_lost(*args):
+        real(*args)
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(W, "_dynamic_overwrite", written_then_lost)
+    with pytest.raises(RuntimeError, match="lost"):
+        W.merge_upsert(rows, path, "k", buckets=7)
+    monkeypatch.setattr(W, "_dynamic_overwrite", real)
+    W.merge_upsert(spark.range(150, 300).selectExpr("id AS k", "id * 3 AS v"), path, "k", buckets=3)
+    got = {r["k"]: r["v"] for r in W.read_table(spark, path).collect()}
+    assert got == {k: 2 * k if k < 150 else 3 * k for k in range(300)}
+    assert W.read_table(spark, path).count() == 300 and W.table_meta(spark, path)["buckets"] == 7
+
+
+def test_buckets_without_their_count_are_refused(spark, work):
+    from auric.sources import fs
+    path = work("nometa")
+    rows = spark.range(20).selectExpr("id AS k", "id AS v")
+    W.merge_upsert(rows, path, "k", buckets=4)
+    fs.delete(spark, f"{path}/{W.META_FILE}")
+    with pytest.raises(W.WriteError, match="number isn't known"):
+        W.merge_upsert(rows, path, "k")
