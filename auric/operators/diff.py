@@ -86,6 +86,30 @@ def unequal_ranges(left: DataFrame, right: DataFrame, keys: str | Sequence[str],
     return bits, sorted(found, key=lambda r: r["range"])
 
 
+#: A snapshot's digests are of this many bits of the key hash (65,536 ranges).
+SNAPSHOT_BITS = 16
+
+
+def digest_snapshot(df: DataFrame, keys: str | Sequence[str], columns: Sequence[str] | None = None,
+                    bits: int = SNAPSHOT_BITS) -> DataFrame:
+    """(range, n, total): the digests of a table at this moment, a bounded number of
+    rows to be stored in place of a copy and given to ``changed_ranges`` later."""
+    return _digest(df, sorted(columns or df.columns), _keys(keys), bits)
+
+
+def changed_ranges(before: DataFrame, after: DataFrame, bits: int = SNAPSHOT_BITS) -> DataFrame:
+    """The key ranges in which two snapshots differ: ``range``, the first and last
+    key hash in it as 16 hex digits, and the rows before and after."""
+    both = (before.select("range", F.col("n").alias("n_before"), F.col("total").alias("before"))
+            .join(after.select("range", F.col("n").alias("n_after"), F.col("total").alias("after")), "range", "full")
+            .where(~(F.col("n_before").eqNullSafe(F.col("n_after")) & F.col("before").eqNullSafe(F.col("after")))))
+    start = F.shiftleft("range", 64 - bits)
+    digits = lambda c: F.lower(F.lpad(F.hex(c), 16, "0"))
+    return both.select("range", digits(start).alias("first_hash"),
+                       digits(start.bitwiseOR(F.lit((1 << (64 - bits)) - 1))).alias("last_hash"),
+                       F.coalesce("n_before", F.lit(0)).alias("n_before"), F.coalesce("n_after", F.lit(0)).alias("n_after"))
+
+
 def _within(df: DataFrame, keys: Sequence[str], bits: int, ranges: list[dict]) -> DataFrame:
     if not ranges:
         return df.where(F.lit(False))

@@ -107,6 +107,37 @@ def replay_equals_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
         for title, (name, keys, backfill) in sides.items()])
 
 
+_STABLE = "CAST(2 AS BIGINT) AS n_runs, CAST(count(*) AS BIGINT) AS n_rows, CAST(0 AS BIGINT) AS n_changed_ranges, TRUE AS stable"
+
+
+@register("replay_stability", _REPLAY_SQL.replace(_COUNTS, _STABLE))
+def replay_stability(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same days replayed twice into the same tables, from feeds that arrive in
+    another order the second time: digests of Gold after each run, and the number
+    of key ranges in which they differ (``diff.changed_ranges`` names them)."""
+    ensure_conf(spark)
+    days = replay.run_dates(FIRST_DAY, _END - dt.timedelta(days=1))
+    layout = replay.Layout(workspace(spark, "replay"))
+    tables = {"training_set": "ticket_id", "feature_daily": gold.FEATURE_KEYS, "doc_chunks": "chunk_id"}
+    runs: dict[str, list[DataFrame]] = {name: [] for name in tables}
+    for parts in (3, 8):
+        feeds = {"tickets_cdc": dtb.tickets_cdc(spark, sf_dir),
+                 "events": dtb.with_replayed_duplicates(dtb.runtime_events(spark, sf_dir)),
+                 "transcripts": dtb.transcripts(spark, sf_dir)}
+        replay.replay(spark, {n: df.repartition(parts) for n, df in feeds.items()}, layout, days, LOOKBACK)
+        for name, keys in tables.items():
+            path = workspace(spark, f"digests-{name}")
+            diff.digest_snapshot(read_gold(spark, layout.path("gold", name)), keys).write.parquet(path)
+            runs[name].append(spark.read.parquet(path))
+    rows = []
+    for name, snapshots in runs.items():
+        changed = diff.changed_ranges(*snapshots).agg(F.count(F.lit(1)).alias("n_changed_ranges"))
+        rows.append(snapshots[-1].agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows")).select(
+            F.lit(f"gold_{name}").alias("table_name"), F.lit(len(snapshots)).cast("bigint").alias("n_runs"), "n_rows",
+            changed.scalar().alias("n_changed_ranges")).withColumn("stable", F.col("n_changed_ranges") == 0))
+    return quality.union_all(rows)
+
+
 @register("table_diff", sql(
     "SELECT ticket_id, 'only_left' AS difference, CAST(NULL AS VARCHAR) AS changed_columns FROM training_set "
     "WHERE first_response_sec % 97 = 0 "

@@ -69,3 +69,24 @@ def test_tables_that_differ_everywhere(spark, monkeypatch):
 def test_columns_must_agree(spark):
     with pytest.raises(diff.DiffError):
         diff.table_diff(spark.range(1).toDF("k"), spark.range(1).select(F.col("id").alias("k"), F.lit(1).alias("x")), "k")
+
+
+def test_snapshots_name_the_ranges_that_changed(spark):
+    from auric.operators import diff
+    rows = spark.range(3000).selectExpr("id AS k", "if(id % 7 = 0, null, id * 2) AS v", "if(id % 11 = 0, null, 'x') AS w")
+    before = diff.digest_snapshot(rows, "k")
+    # other order and column order: nothing changed
+    again = rows.select("w", "k", "v").repartition(7)
+    assert diff.changed_ranges(before, diff.digest_snapshot(again, "k")).count() == 0
+    # one row changed, one lost, one added twice, one NULL moved to the other column
+    twice = spark.range(9000, 9001).selectExpr("id AS k", "id AS v", "'x' AS w")
+    other = rows.where("k <> 5").selectExpr(
+        "k", "if(k = 77, null, if(k = 100, -1, v)) AS v", "if(k = 77, 'y', w) AS w").unionByName(twice).unionByName(twice)
+    got = diff.changed_ranges(before, diff.digest_snapshot(other, "k")).collect()
+    hashes = {r["k"]: r["h"] for r in spark.createDataFrame([(5,), (77,), (100,), (9000,)], "k long").selectExpr(
+        "k", "lower(lpad(hex(xxhash64(k)), 16, '0')) AS h").collect()}
+    assert len(got) == 4 and {k for k, h in hashes.items() for r in got if r["first_hash"] <= h <= r["last_hash"]} == set(hashes)
+    assert sum(r["n_after"] - r["n_before"] for r in got) == 1
+    empty = diff.digest_snapshot(rows.where("false"), "k")
+    assert diff.changed_ranges(empty, empty).count() == 0
+    assert sum(r["n_after"] for r in diff.changed_ranges(empty, before).collect()) == 3000
