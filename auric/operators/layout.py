@@ -56,8 +56,15 @@ def table_bytes(df: DataFrame) -> int:
 def compact(df: DataFrame, dst: str, partition_by: str = "event_date",
             sort_by: Sequence[str] = ("customer_name", "event_time"),
             n_tasks: int | None = None, target_file_bytes: int = TARGET_FILE_BYTES,
-            row_group_bytes: int | None = None, max_records_per_file: int | None = None) -> None:
-    """Rewrite ``df`` into ``dst``; fails if the rows written are not those read."""
+            row_group_bytes: int | None = None, max_records_per_file: int | None = None,
+            page_rows: int | None = None, bloom_columns: Sequence[str] = ()) -> None:
+    """Rewrite ``df`` into ``dst``; fails if the rows written are not those read.
+
+    ``page_rows`` bounds the rows of a page, the unit that a sorted column's page
+    index skips.  ``bloom_columns`` are near-unique columns that the files are not
+    sorted by: their row groups get Bloom filters, which an equality skips by
+    (written without a dictionary, which would take the filter's place).
+    """
     if n_tasks is None:
         n_tasks = max(1, math.ceil(table_bytes(df) / target_file_bytes))
     keys = [partition_by, *sort_by]
@@ -67,6 +74,11 @@ def compact(df: DataFrame, dst: str, partition_by: str = "event_date",
         w = w.option("parquet.block.size", str(row_group_bytes))
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", str(max_records_per_file))
+    if page_rows:
+        w = w.option("parquet.page.row.count.limit", str(page_rows))
+    for c in bloom_columns:
+        w = (w.option(f"parquet.bloom.filter.enabled#{c}", "true").option(f"parquet.enable.dictionary#{c}", "false")
+             .option("parquet.bloom.filter.adaptive.enabled", "true"))
     w.parquet(dst)
     before, after = df.count(), df.sparkSession.read.parquet(dst).count()
     if before != after:

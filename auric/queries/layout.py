@@ -101,6 +101,23 @@ def compact_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(write_compacted(spark, write_small_files(spark, sf_dir)))
 
 
+def write_lookup(spark: SparkSession, small_path: str) -> str:
+    """Compacted for two kinds of point query: pages of few rows for the customer
+    that the files are sorted by, Bloom filters for the ticket."""
+    path = workspace(spark, "gold-events-lookup")
+    compact(spark.read.parquet(small_path), path, "event_date", ("customer_name", "event_time"),
+            page_rows=500, bloom_columns=("ticket_id",))
+    return path
+
+
+@register("dashboard_page_index", _DASH_SQL)
+def dashboard_page_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pruned dashboard over pages of few rows: the page index leaves out other customers."""
+    ensure_conf(spark)
+    ev = spark.read.parquet(write_lookup(spark, write_small_files(spark, sf_dir)))
+    return dashboard(ev, top_customer(ev), DASHBOARD_DAY)
+
+
 @register("compact_incremental", sql("SELECT * EXCLUDE (_ingested_at, ingested_date) FROM silver_events", "silver_events"))
 def compact_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every row survives when a table that grew by appended batches is compacted

@@ -48,3 +48,20 @@ def test_compaction_keeps_every_row_and_cuts_files(spark, work):
     s_small = layout_summary(a, "small").first()
     s_comp = layout_summary(b, "compacted").first()
     assert s_comp.n_files < s_small.n_files and s_comp.n_rows == s_small.n_rows
+
+
+def test_page_index_and_bloom_filters_skip_rows(spark, work):
+    small = L.write_small_files(spark, "/root/testdata/sf0.1")
+    plain, lookup = spark.read.parquet(L.write_compacted(spark, small)), spark.read.parquet(L.write_lookup(spark, small))
+    top = L.top_customer(plain)
+    before, after = (scan_metrics(dashboard(df, top, L.DASHBOARD_DAY)) for df in (plain, lookup))
+    assert dashboard(lookup, top, L.DASHBOARD_DAY).collect() == dashboard(plain, top, L.DASHBOARD_DAY).collect()
+    # a ticket inside most files' range that few files hold
+    one = plain.groupBy("ticket_id").count().orderBy("count", "ticket_id").first()["ticket_id"]
+    without = work("no-bloom")
+    plain.write.option("parquet.enable.dictionary#ticket_id", "false").partitionBy("event_date").parquet(without)
+    found = [scan_metrics(df.where(df.ticket_id == one)) for df in (spark.read.parquet(without), lookup)]
+    print(before, after, found)
+    assert after["rows_scanned"] < before["rows_scanned"]
+    assert found[1]["rows_scanned"] < found[0]["rows_scanned"]
+    assert lookup.where(lookup.ticket_id == one).count() == plain.where(plain.ticket_id == one).count() > 0
