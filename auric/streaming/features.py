@@ -171,26 +171,35 @@ class FeatureUpkeep:
     def _accept(self, events: DataFrame, batch_id: int, days: list) -> bool:
         """Write the batch's events that are new or earlier than the stored ones;
         whether any of them may replace a stored one."""
-        new = earliest_per_key(events, EVENT_KEY, [ARRIVAL])
-        replaces = False
         log = self.events(events.sparkSession, events.schema, batch_id)
-        if log is not None:
-            log = log.where(F.col("event_date").isin(days))
-            known = (log.select(*EVENT_KEY, ARRIVAL).join(new.select(*EVENT_KEY), EVENT_KEY, "left_semi")
-                     .groupBy(*EVENT_KEY).agg(F.min(ARRIVAL).alias("_known"), F.lit(True).alias("_here")))
-            marked = new.join(known, EVENT_KEY, "left")
-            fresh = marked.where(F.col("_here").isNull())
-            contested = marked.where(F.col("_here") & ~F.coalesce(F.col("_known") < F.col(ARRIVAL), F.lit(False)))
-            replaces = contested.limit(1).count() > 0
-            if replaces:
-                contested = contested.select(*events.columns)
-                stored = log.join(contested.select(*EVENT_KEY), EVENT_KEY, "left_semi")
-                fresh = fresh.select(*events.columns).unionByName(
-                    earliest_per_key(stored.unionByName(contested), EVENT_KEY, [ARRIVAL]))
-            new = fresh.select(*events.columns)
-        self._write(new, "log", f"batch_id={batch_id}")
+        if log is None:
+            self._write(earliest_per_key(events, EVENT_KEY, [ARRIVAL]), "log", f"batch_id={batch_id}")
+            return False
+        log = log.where(F.col("event_date").isin(days))
+        # Ids and arrival times tell which keys are known and whether one of their
+        # deliveries here isn't later than the stored ones; whole rows are sorted once.
+        known = self._known(events, log, batch_id)
+        fresh = earliest_per_key(events.join(known.select(*EVENT_KEY), EVENT_KEY, "left_anti"), EVENT_KEY, [ARRIVAL])
+        replaced = known.where("_replaced").select(*EVENT_KEY)
+        replaces = replaced.limit(1).count() > 0
+        if replaces:
+            contested = earliest_per_key(events.join(replaced, EVENT_KEY, "left_semi"), EVENT_KEY, [ARRIVAL])
+            stored = log.join(replaced, EVENT_KEY, "left_semi")
+            fresh = fresh.unionByName(earliest_per_key(stored.unionByName(contested), EVENT_KEY, [ARRIVAL]))
+        self._write(fresh, "log", f"batch_id={batch_id}")
+        fs.delete(events.sparkSession, f"{self.path}/known/batch_id={batch_id}")
         return replaces
 
+    def _known(self, events: DataFrame, log: DataFrame, batch_id: int) -> DataFrame:
+        """The batch's keys that the log holds, and whether the batch may replace them."""
+        spark, path = events.sparkSession, f"{self.path}/known/batch_id={batch_id}"
+        stored, here = log.select(*EVENT_KEY, ARRIVAL), events.select(*EVENT_KEY, ARRIVAL)
+        known = stored.join(here.select(*EVENT_KEY), EVENT_KEY, "left_semi").groupBy(*EVENT_KEY).agg(F.min(ARRIVAL).alias("_known"))
+        later = F.coalesce(F.col("_known") < F.col(ARRIVAL), F.lit(False))
+        found = here.join(known, EVENT_KEY).groupBy(*EVENT_KEY).agg(F.bool_or(~later).alias("_replaced"))
+        found.write.mode("overwrite").parquet(path)
+        return spark.read.schema(found.schema).parquet(path)
+
     def _to_gold(self, spark: SparkSession, batch_id: int, days: list, touched: DataFrame, emptied: bool) -> None:
         """Finalise the touched keys and replace them in Gold."""
         now = self.state(spark, batch_id).where(F.col("event_date").isin(days))
