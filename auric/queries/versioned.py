@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from auric.functions.time import date_literal, ts_literal
 from auric.operators import diff, quantiles
 from auric.operators.versioned import VersionedTable
+from auric.operators.write import stage
 from auric.oracle import sql
 from auric.plans import gold, quality, replay, silver
 from auric.plans.incremental import read_gold
@@ -84,26 +85,35 @@ _REPLAY_SQL = sql(
 ).replace("\nFROM v_base", f"\nFROM v_base WHERE ts + to_seconds(delay_s) < TIMESTAMP '{_END} 00:00:00'")
 
 
+def _feeds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The three feeds, stored once for all days and sides, events with redeliveries."""
+    feeds = dtb.landed({"tickets_cdc": dtb.tickets_cdc(spark, sf_dir), "events": dtb.runtime_events(spark, sf_dir),
+                        "transcripts": dtb.transcripts(spark, sf_dir)})
+    return feeds | {"events": dtb.with_replayed_duplicates(feeds["events"])}
+
+
 @register("replay_equals_backfill", _REPLAY_SQL)
 def replay_equals_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Gold after a day-by-day replay against the set-based backfill of the same
     days: rows of both sides and how many differ."""
     ensure_conf(spark)
-    feeds = {"tickets_cdc": dtb.tickets_cdc(spark, sf_dir),
-             "events": dtb.with_replayed_duplicates(dtb.runtime_events(spark, sf_dir)),
-             "transcripts": dtb.transcripts(spark, sf_dir)}
+    feeds = _feeds(spark, sf_dir)
     days = replay.run_dates(FIRST_DAY, _END - dt.timedelta(days=1))
     layout = replay.Layout(workspace(spark, "replay"))
     replay.replay(spark, feeds, layout, days, LOOKBACK)
-    arrived = feeds["transcripts"].where(F.col("_ingested_at") < ts_literal(_END.isoformat()))
+    by_end = F.col("_ingested_at") < ts_literal(_END.isoformat())
+    arrived = feeds["transcripts"].where(by_end)
+    # a later delivery can't be an event's earliest unless all are later, and those
+    # the backfill leaves out; a delivery without a time comes before all others
+    events = feeds["events"].where(by_end | F.col("_ingested_at").isNull())
     sides = {
         "gold_training_set": ("training_set", "ticket_id", replay.backfill_training_set(feeds["tickets_cdc"], days[0], days[-1])),
         "gold_feature_daily": ("feature_daily", gold.FEATURE_KEYS, replay.backfill_feature_daily(
-            silver.silver_events(feeds["events"]), days[0], days[-1], LOOKBACK)),
+            silver.silver_events(events), days[0], days[-1], LOOKBACK)),
         "gold_doc_chunks": ("doc_chunks", "chunk_id", gold.doc_chunks(silver.silver_transcripts(arrived))),
     }
     return quality.union_all([
-        diff.diff_counts(read_gold(spark, layout.path("gold", name)), backfill, keys, title)
+        diff.diff_counts(read_gold(spark, layout.path("gold", name)), stage(backfill, f"backfill-{name}"), keys, title)
         for title, (name, keys, backfill) in sides.items()])
 
 
@@ -120,11 +130,9 @@ def replay_stability(spark: SparkSession, sf_dir: str) -> DataFrame:
     layout = replay.Layout(workspace(spark, "replay"))
     tables = {"training_set": "ticket_id", "feature_daily": gold.FEATURE_KEYS, "doc_chunks": "chunk_id"}
     runs: dict[str, list[DataFrame]] = {name: [] for name in tables}
+    feeds = _feeds(spark, sf_dir)
     for parts in (3, 8):
-        feeds = {"tickets_cdc": dtb.tickets_cdc(spark, sf_dir),
-                 "events": dtb.with_replayed_duplicates(dtb.runtime_events(spark, sf_dir)),
-                 "transcripts": dtb.transcripts(spark, sf_dir)}
-        replay.replay(spark, {n: df.repartition(parts) for n, df in feeds.items()}, layout, days, LOOKBACK)
+        replay.replay(spark, {n: dtb.shuffled(df, parts) for n, df in feeds.items()}, layout, days, LOOKBACK)
         for name, keys in tables.items():
             path = workspace(spark, f"digests-{name}")
             diff.digest_snapshot(read_gold(spark, layout.path("gold", name)), keys).write.parquet(path)
