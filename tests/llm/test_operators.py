@@ -4,6 +4,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
 
 from collections import Counter
 
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from auric.llm import (decontam, html_extract, jaccard_join, langid, licenses, mixing, quality_classifier, quality_rules,
                        suffix_dedup, tokens)
-from auric.llm.textbatch import table
+from auric.llm.textbatch import saved, table, written
 from tools.oracle_check import TABLES, digest
 
 
@@ -571,6 +572,24 @@ def test_near_copies(spark, monkeypatch, chunk):
     assert got == brute_components(docs)
 
 
+def shuffle_files(spark):
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return set(re.findall(r"shuffle_\d+_\d+_\d+\.data", files.mkString(" ")))
+
+
+@pytest.mark.parametrize("keep", [saved, written])
+def test_shuffle_files_go_when_a_step_is_stored(spark, keep):
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, setting = shuffle_files(spark), spark.conf.get(name)
+    out = keep(spark.range(5000).repartition(3, "id").groupBy((F.col("id") % 7).alias("k")).count())
+    for _ in range(40):  # they go in the background
+        if not (left := shuffle_files(spark) - before):
+            break
+        time.sleep(0.25)
+    assert not left and spark.conf.get(name) == setting
+    assert sorted(r["k"] for r in out.collect()) == list(range(7))
+
+
 def test_similar_awkward(spark, awkward, nothing):
     assert rows(jaccard_join.similar_documents(awkward).select(*COLUMNS10)) == brute_components([(i, t) for i, t, _, _ in AWKWARD])
     docs = [(i, t) for i, t, _, _ in small_documents()]
