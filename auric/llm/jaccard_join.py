@@ -14,7 +14,10 @@ sets are one *node*.  Two nodes link when 100 * |A and B| >= 80 * |A or B|.
 2. Rounds of contraction: each member of a group is compared with one seeded
    centre of it, and what links is joined to one component.  This takes a
    comparison per node and round, also in a group of very many near copies.
-3. Groups whose members are still in several components are gathered into
+3. Groups whose members are still in several components are *open*.  Nodes
+   that share too few shingles in open groups are left out, and each node
+   leaves its weakest groups as long as no link can be lost.  In small groups
+   the pairs that share enough are compared; larger ones are gathered into
    blocks, and each block is searched with a *signature tree*: its nodes hold the bitmaps of their sets combined
    by OR and their range of sizes, and a dual traversal leaves out pairs of
    nodes whose largest possible overlap is too small for their sizes or whose
@@ -47,10 +50,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from auric.llm.textbatch import LOWER, gram_hash, mix64, prefix_hash, runs, saved, span_hash, text_key, words, written
+from auric.llm.textbatch import LOWER, gram_hash, mix64, prefix_hash, runs, saved, shuffles_dropped, span_hash, text_key, words, written
 
 SHINGLE = 5
 #: One shingle in so many is added to a prefix.
@@ -60,8 +63,11 @@ PERCENT = 80
 #: One text in so many is looked at for frequent shingles; a shingle is
 #: frequent from so many texts of the sample on; so many are listed at most.
 SAMPLE, FREQUENT, MAX_FREQUENT = 16, 4, 1 << 17
-#: Rounds of contraction after the first, for groups with more members than SMALL.
+#: Rounds of contraction after the first, for groups with more members than SMALL;
+#: the pairs of groups that are open after them and no larger are listed.
 ROUNDS, SMALL = 3, 8
+#: Passes that leave out nodes with too few shingles in groups that are open.
+PASSES = 2
 #: Members of a chunk of a large group, and sets of a leaf of the tree.
 CHUNK, LEAF = 4000, 32
 #: Sets and shingles of a chunk of a large component whose links are counted.
@@ -140,9 +146,10 @@ def frequent_shingles(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
                 g, n = np.unique(shingles(data, offsets)[0], return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(g.view(np.int64)), pa.array(n.astype(np.int64))], names=["g", "n"])
 
-    sample = docs.where((F.pmod("_text", F.lit(SAMPLE)) == 0) & F.col("text").isNotNull()).dropDuplicates(["_text"])
-    rows = (sample.select("text").mapInArrow(run, "g long, n long").groupBy("g").agg(F.sum("n").alias("n"))
-            .where(F.col("n") >= FREQUENT).orderBy(F.col("n").desc(), "g").limit(MAX_FREQUENT).toPandas())
+    with shuffles_dropped(docs.sparkSession):
+        sample = docs.where((F.pmod("_text", F.lit(SAMPLE)) == 0) & F.col("text").isNotNull()).dropDuplicates(["_text"])
+        rows = (sample.select("text").mapInArrow(run, "g long, n long").groupBy("g").agg(F.sum("n").alias("n"))
+                .where(F.col("n") >= FREQUENT).orderBy(F.col("n").desc(), "g").limit(MAX_FREQUENT).toPandas())
     g = rows["g"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(g)
     return g[order], rows["n"].to_numpy(np.int64)[order]
@@ -491,6 +498,55 @@ def block_links(rows: DataFrame) -> DataFrame:
             .mapInArrow(run, "a long, b long"))
 
 
+def open_groups(groups: DataFrame, comps: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(group, node, shared, comp, least, size): what is left of the groups for
+    links between components.
+
+    Two nodes of different components that link share enough prefix shingles,
+    in groups that have several components among sizes that may link; so nodes
+    that share too few in such groups have no link to find.  Fewer nodes close
+    further groups.  A size class spans more than 1.25 ** 0.5 here: sizes that
+    may link are at most two apart."""
+    n = F.col("n_shingles")
+    size = F.floor(F.log(n) / F.log(F.lit(1.12))).cast("int")
+    rows = written(groups.join(comps, "node").join(nodes.select("node", least_shared(n).alias("least"), size.alias("size")), "node"))
+    for _ in range(PASSES):
+        several = (rows.groupBy("group", "size").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+                   .select("group", F.explode(F.sequence(F.col("size") - 2, F.col("size") + 2)).alias("size"), "lo", "hi")
+                   .groupBy("group", "size").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).where("lo <> hi"))
+        rows = rows.join(several.select("group", "size"), ["group", "size"])
+        enough = rows.groupBy("node").agg(F.sum("shared").alias("s"), F.first("least").alias("l")).where("s >= l").select("node")
+        rows = written(rows.join(enough, "node"))
+    return rows
+
+
+def strongest(rows: DataFrame) -> DataFrame:
+    """The open groups without the weakest of each node: those that stand for
+    the fewest shingles, the ones with most members first, up to one shingle
+    less than a link needs.
+
+    The order is the same for all nodes, and two nodes that link share as much
+    as either needs, so the last group that they share stays for both.  What
+    goes are mostly shingles that unrelated texts share by chance.  These would
+    hang clusters together, the more so the larger the corpus is."""
+    members = rows.groupBy("group").agg(F.count(F.lit(1)).alias("members"))
+    order = Window.partitionBy("node").orderBy("shared", F.desc("members"), "group").rowsBetween(Window.unboundedPreceding, 0)
+    left = rows.join(members, "group").withColumn("upto", F.sum("shared").over(order)).where("upto >= least").drop("members", "upto")
+    spans = left.groupBy("group").agg(F.count(F.lit(1)).alias("members"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+    return written(left.join(spans.where("lo <> hi").select("group", "members"), "group"))
+
+
+def small_group_pairs(small: DataFrame, rows: DataFrame) -> DataFrame:
+    """The pairs (a, b) of nodes of small groups that share enough in all open groups."""
+    of = lambda x: small.select("group", F.col("node").alias(x), F.col("comp").alias(f"comp_{x}"), F.col("size").alias(f"size_{x}"))
+    pairs = (of("a").join(of("b"), "group").where("a < b and comp_a <> comp_b and abs(size_a - size_b) <= 2")
+             .select("a", "b").distinct())
+    both = (pairs.join(rows.select(F.col("node").alias("a"), "group", "shared", F.col("least").alias("least_a")), "a")
+            .join(rows.select(F.col("node").alias("b"), "group", F.col("least").alias("least_b")), ["b", "group"]))
+    return written(both.groupBy("a", "b").agg(F.sum("shared").alias("s"), F.max(F.greatest("least_a", "least_b")).alias("l"))
+                   .where("s >= l").select("a", "b"))
+
+
 def open_blocks(groups: DataFrame) -> DataFrame:
     """(block, side, node, comp) for the groups (group, node, comp) with
     several components, so that every two nodes of a group meet in a block.
@@ -612,8 +668,11 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         if not pairs.limit(1).count():
             break
         comps = joined(comps, compare(pairs, sets))
-    blocks = open_blocks(groups.select("group", "node").join(comps, "node")).join(sets, "node")
-    comps = joined(comps, block_links(blocks))
+    groups = open_groups(groups.select("group", "node", "shared"), comps, nodes)
+    strong = strongest(groups)
+    found = compare(small_group_pairs(strong.where(F.col("members") <= SMALL), groups), sets)
+    blocks = open_blocks(strong.where(F.col("members") > SMALL).select("group", "node", "comp")).join(sets, "node")
+    comps = joined(comps, found.unionByName(block_links(blocks)))
     named = nodes.select("node", "smallest", "copies").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     names = named.groupBy("comp").agg(F.min("smallest").alias("component_id"))
     of_node = named.join(names, "comp").select("node", "comp", "component_id", "copies")

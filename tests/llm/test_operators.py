@@ -572,6 +572,40 @@ def test_near_copies(spark, monkeypatch, chunk):
     assert got == brute_components(docs)
 
 
+def families():
+    """Families of documents that share half of their words, and now and then a phrase with one of the next family."""
+    rng = np.random.default_rng(9)
+    def word(*at):
+        return "x".join(map(str, at))
+    docs = []
+    for f in range(8):
+        passage = [word("p", f, k) for k in range(60)]
+        for j in range(12):
+            own = [word("o", f, j, k) for k in range(44)]
+            own[10:18] = [word("g", f, j, k) for k in range(8)]
+            own[24:32] = [word("g", (f + 1) % 8, j, k) for k in range(8)]
+            docs.append((100 * f + j, " ".join(passage + own)))
+    for i, t in docs[::7]:  # and copies, of which some link
+        w = t.split()
+        for k in rng.integers(0, len(w), int(rng.integers(1, 6))):
+            w[k] = f"edit{i}"
+        docs.append((5000 + i, " ".join(w)))
+    return docs
+
+
+@pytest.mark.parametrize("small", [jaccard_join.SMALL, 2])
+def test_unrelated_families_stay_out_of_one_block(spark, monkeypatch, small):
+    """Phrases that families share by chance don't make every set travel once a chunk of all families."""
+    sent, search = [], jaccard_join.block_links
+    monkeypatch.setattr(jaccard_join, "CHUNK", 20)
+    monkeypatch.setattr(jaccard_join, "SMALL", small)
+    monkeypatch.setattr(jaccard_join, "block_links", lambda rows: (sent.append(rows.count()), search(rows))[1])
+    docs = families()
+    got = rows(jaccard_join.similar_documents(spark.createDataFrame(docs, "doc_id long, text string").repartition(4), links=False).select(*COLUMNS10))
+    assert got == brute_components(docs)
+    assert sent[0] <= 2 * len(docs)
+
+
 def shuffle_files(spark):
     files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
     return set(re.findall(r"shuffle_\d+_\d+_\d+\.data", files.mkString(" ")))
